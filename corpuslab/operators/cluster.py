@@ -18,6 +18,17 @@ from corpuslab.operators.ordering import hash_sample, top_per_group
 
 MAX_CLUSTERS = 4096
 SEED_SAMPLE = 10_000
+DIRECT_ROWS = 20_000
+
+
+@dataclass
+class Stats:
+    """Outcome of one scan for one model; ``partials`` counts the rows the tasks sent."""
+
+    sums: np.ndarray
+    counts: np.ndarray
+    inertia: float
+    partials: int
 
 
 @dataclass(frozen=True)
@@ -49,11 +60,14 @@ def spread_seeds(points: np.ndarray, k: int, rng: np.random.Generator) -> np.nda
     return np.array(chosen)
 
 
-def lloyd_pass(vectors: DataFrame, models: dict[int, np.ndarray], vec: str = "embedding") -> dict[int, tuple]:
-    """One scan that assigns every vector in every model: ``model -> (sums, counts, inertia)``.
+def lloyd_pass(
+    vectors: DataFrame, models: dict[int, np.ndarray], vec: str = "embedding", direct: bool = False
+) -> dict[int, Stats]:
+    """One scan that assigns every vector in every model.
 
     Tasks reduce their rows to one partial sum per (model, cluster); only those are shuffled, and the
-    driver receives one row per (model, cluster).
+    driver receives one row per (model, cluster). ``direct`` leaves out that shuffle, for callers that
+    know the number of partial rows to be small.
     """
     schema = "model INT, cluster INT, n BIGINT, cost DOUBLE, total ARRAY<DOUBLE>"
     tables = {m: np.asarray(c, dtype=np.float64) for m, c in models.items()}
@@ -87,22 +101,20 @@ def lloyd_pass(vectors: DataFrame, models: dict[int, np.ndarray], vec: str = "em
                 names=["model", "cluster", "n", "cost", "total"],
             )
 
-    merged = (
-        vectors.select(vec)
-        .mapInArrow(partial, schema)
-        .groupBy("model", "cluster")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("cost").alias("cost"),
-            vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
+    partials = vectors.select(vec).mapInArrow(partial, schema)
+    if not direct:
+        total = vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
+        partials = partials.groupBy("model", "cluster").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"), total, F.count(F.lit(1)).alias("parts")
         )
-    )
-    out = {m: (np.zeros_like(c), np.zeros(len(c), dtype=np.int64), 0.0) for m, c in tables.items()}
-    for row in merged.collect():
-        sums, counts, cost = out[row.model]
-        sums[row.cluster] = row.total
-        counts[row.cluster] = row.n
-        out[row.model] = (sums, counts, cost + row.cost)
+    rows = partials.collect()
+    out = {m: Stats(np.zeros_like(c), np.zeros(len(c), dtype=np.int64), 0.0, 0) for m, c in tables.items()}
+    for row in rows:
+        found = out[row.model]
+        found.sums[row.cluster] += row.total
+        found.counts[row.cluster] += row.n
+        found.inertia += row.cost
+        found.partials += 1 if direct else row.parts
     return out
 
 
@@ -117,20 +129,24 @@ def run_lloyd(
     centers = {i: np.array(starts[key], dtype=np.float64) for i, key in enumerate(keys)}
     rounds = dict.fromkeys(centers, 0)
     active = set(centers)
+    direct = False
     for _ in range(max_iter):
         if not active:
             break
-        stats = lloyd_pass(vectors, {m: centers[m] for m in active}, vec)
-        for m in list(active):
-            sums, counts, _cost = stats[m]
-            moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centers[m])
+        stats = lloyd_pass(vectors, {m: centers[m] for m in active}, vec, direct)
+        direct = sum(found.partials for found in stats.values()) <= DIRECT_ROWS
+        for m, found in stats.items():
+            means = found.sums / np.maximum(found.counts, 1)[:, None]
+            moved = np.where(found.counts[:, None] > 0, means, centers[m])
             shift = float(((moved - centers[m]) ** 2).sum())
             centers[m] = moved
             rounds[m] += 1
             if shift <= tol:
                 active.discard(m)
     final = lloyd_pass(vectors, centers, vec)
-    return [Fit(len(centers[i]), key[1], centers[i], final[i][1], final[i][2], rounds[i]) for i, key in enumerate(keys)]
+    return [
+        Fit(len(centers[i]), key[1], centers[i], final[i].counts, final[i].inertia, rounds[i]) for i, key in enumerate(keys)
+    ]
 
 
 def fit_kmeans_scan(

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.session import cut_lineage, scratch_path
 
+EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 COOLDOWN_SECONDS = 24 * 60 * 60
 KEY_LIMIT = 1_000_000
 UNION_LIMIT = 50
 
 
+def micros(column: str, dtype: str) -> Column:
+    """Microseconds since the epoch; times without zone are not shifted by the session's zone."""
+    if dtype == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), F.col(column))
+    return F.unix_micros(column)
+
+
+def from_micros(column: Column, dtype: str) -> Column:
+    if dtype == "timestamp_ntz":
+        return F.timestamp_add("MICROSECOND", column, F.expr(EPOCH))
+    return F.timestamp_micros(column)
+
+
 def cooldown_anchors(
     errors: DataFrame, key: str, stamp: str, seconds: int = COOLDOWN_SECONDS, key_limit: int = KEY_LIMIT
 ) -> DataFrame:
@@ -21,44 +35,42 @@ def cooldown_anchors(
     cooldown window at a time: each step is a pre-aggregated minimum over that window's rows, so no
     task ever holds such a key. One window holds at most one anchor, which makes both ways equal.
     """
-    times = errors.select(key, stamp).distinct()
+    dtype = dict(errors.dtypes)[stamp]
+    times = errors.select(key, micros(stamp, dtype).alias("_t")).distinct()
     sizes = times.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     long_keys = sizes.filter(F.col("_n") > key_limit).select(key)
     if long_keys.isEmpty():
-        return _fold(times, key, stamp, seconds)
-    long_keys = cut_lineage(long_keys)
-    short = times.join(long_keys, key, "left_anti")
-    return _fold(short, key, stamp, seconds).unionByName(
-        _walk(times.join(long_keys, key, "left_semi"), key, stamp, seconds)
-    )
+        anchors = _fold(times, key, seconds)
+    else:
+        long_keys = cut_lineage(long_keys)
+        short = _fold(times.join(long_keys, key, "left_anti"), key, seconds)
+        anchors = short.unionByName(_walk(times.join(long_keys, key, "left_semi"), key, seconds))
+    return anchors.select(key, from_micros(F.col("_anchor"), dtype).alias("anchor_ts"))
 
 
-def _fold(times: DataFrame, key: str, stamp: str, seconds: int) -> DataFrame:
-    micros = F.sort_array(F.collect_list(F.unix_micros(stamp)))
+def _fold(times: DataFrame, key: str, seconds: int) -> DataFrame:
     gap = seconds * 1_000_000
 
     def step(anchors, t):
         opens = (F.size(anchors) == 0) | (t - F.element_at(anchors, -1) >= gap)
         return F.when(opens, F.concat(anchors, F.array(t))).otherwise(anchors)
 
-    listed = times.groupBy(key).agg(micros.alias("_t"))
+    listed = times.groupBy(key).agg(F.sort_array(F.collect_list("_t")).alias("_t"))
     empty = F.array().cast("array<bigint>")
     guarded = F.aggregate(
         "_t", empty, lambda a, t: F.when(F.size(a) == 0, F.array(t)).otherwise(step(a, t))
     )
-    return listed.select(key, F.timestamp_micros(F.explode(guarded)).alias("anchor_ts"))
+    return listed.select(key, F.explode(guarded).alias("_anchor"))
 
 
-def _walk(times: DataFrame, key: str, stamp: str, seconds: int) -> DataFrame:
+def _walk(times: DataFrame, key: str, seconds: int) -> DataFrame:
     """Window by window over a table partitioned by window, so every row is read once in all."""
     spark = times.sparkSession
     path = scratch_path(spark, "cooldown")
-    times.select(
-        key, F.unix_micros(stamp).alias("_t"), F.floor(F.unix_seconds(stamp) / F.lit(seconds)).alias("_window")
-    ).write.partitionBy("_window").parquet(path)
+    gap = seconds * 1_000_000
+    times.withColumn("_window", F.floor(F.col("_t") / F.lit(gap))).write.partitionBy("_window").parquet(path)
     placed = spark.read.parquet(path)
     windows = [r[0] for r in placed.select("_window").distinct().orderBy("_window").collect()]
-    gap = seconds * 1_000_000
     state = spark.createDataFrame([], placed.select(key, F.col("_t").alias("_anchor")).schema)
     found = state
     for step, w in enumerate(windows, 1):
@@ -69,11 +81,11 @@ def _walk(times: DataFrame, key: str, stamp: str, seconds: int) -> DataFrame:
         if step % UNION_LIMIT == 0:
             found = cut_lineage(found)
         state = cut_lineage(state.join(opened.select(key), key, "left_anti").unionByName(opened))
-    return found.select(key, F.timestamp_micros("_anchor").alias("anchor_ts"))
+    return found
 
 
 def available_keys(anchors: DataFrame, key: str, now, seconds: int = COOLDOWN_SECONDS) -> DataFrame:
     """``key, last_anchor, available`` at ``now``: free again once the full cooldown has passed."""
     last = anchors.groupBy(key).agg(F.max("anchor_ts").alias("last_anchor"))
-    passed = F.unix_micros(now) - F.unix_micros("last_anchor")
-    return last.withColumn("available", passed >= seconds * 1_000_000)
+    age = F.col("_now") - F.col("last_anchor")
+    return last.withColumn("_now", now).withColumn("available", age >= F.make_dt_interval(secs=F.lit(seconds))).drop("_now")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field, replace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -15,6 +17,15 @@ from corpuslab.functions import vectors as vx
 from corpuslab.operators import cluster as cl
 
 
+@dataclass(frozen=True)
+class Scan:
+    """Chosen k, the curve it was chosen from and the model fitted for each k."""
+
+    k: int
+    values: dict[int, float]
+    fits: dict[int, cl.Fit] = field(default_factory=dict)
+
+
 def curve(spark, values: dict[int, float], name: str) -> DataFrame:
     return spark.createDataFrame(sorted((int(k), float(v)) for k, v in values.items()), f"k INT, {name} DOUBLE")
 
@@ -54,22 +65,24 @@ def seeded_inertia(vectors: DataFrame, seeds: np.ndarray, ks: list[int], vec: st
 def elbow_scan(
     vectors: DataFrame, k_min: int = rules.K_MIN, k_max: int = rules.K_MAX_ELBOW, sample: int | None = 4096,
     n: int | None = None, seed: int = 42, id_col: str = "id", vec: str = "embedding", n_init: int = 3,
-) -> tuple[int, dict[int, float]]:
-    """``(selected k, {k: inertia})``; models are fitted on ``sample`` rows (None: all), scored on all rows."""
+) -> Scan:
+    """Inertia over k; models are fitted on ``sample`` rows (None: all) and scored on all rows."""
     n = vectors.count() if n is None else n
     if n <= 1:
-        return 1, {1: 0.0}
+        return Scan(1, {1: 0.0})
     low, high = rules.scan_bounds(n, k_min, k_max)
     fits = _fit(vectors, list(range(low, high + 1)), sample, n, seed, id_col, vec, n_init)
-    scored = cl.lloyd_pass(vectors, {k: fit.centers for k, fit in fits.items()}, vec)
-    values = {k: scored[k][2] for k in fits}
-    return elbow_choice(values), values
+    values = {k: fit.inertia for k, fit in fits.items()}
+    return Scan(elbow_choice(values), values, fits)
 
 
 def _fit(vectors, ks, sample, n, seed, id_col, vec, n_init):
+    """Fits for all k; those made on a sample get the counts and inertia of the whole table."""
     if sample is None or n <= sample:
         return cl.fit_kmeans_scan(vectors, ks, n_init=n_init, seed=seed, id_col=id_col, vec=vec)
-    return cl.fit_on_sample(vectors, ks, sample, id_col, vec, n_init=n_init, seed=seed)
+    fits = cl.fit_on_sample(vectors, ks, sample, id_col, vec, n_init=n_init, seed=seed)
+    whole = cl.lloyd_pass(vectors, {k: fit.centers for k, fit in fits.items()}, vec)
+    return {k: replace(fit, counts=whole[k].counts, inertia=whole[k].inertia) for k, fit in fits.items()}
 
 
 def silhouette(labelled: DataFrame, cluster: str = "cluster", vec: str = "embedding") -> float:
@@ -172,14 +185,14 @@ def silhouette_choice(
     vectors: DataFrame, k_min: int = rules.K_MIN, k_max: int = rules.K_MAX, adaptive: bool = False,
     sample: int | None = None, n: int | None = None, seed: int = 42, id_col: str = "id", vec: str = "embedding",
     n_init: int = 10,
-) -> tuple[int, dict[int, float]]:
-    """``(selected k, {k: score})``: greatest score wins, smallest k on ties."""
+) -> Scan:
+    """Cosine silhouette over k: greatest score wins, smallest k on ties."""
     n = vectors.count() if n is None else n
     if n <= 2:
-        return 1, {1: 0.0}
+        return Scan(1, {1: 0.0})
     low, high = rules.scan_bounds(n, k_min, k_max, adaptive)
     fits = _fit(vectors, list(range(low, high + 1)), sample, n, seed, id_col, vec, n_init)
     scores = silhouette_scan(vectors, {k: fit.centers for k, fit in fits.items()}, vec)
     if not scores or max(scores.values()) <= -1.0:
-        return rules.fallback_k(n), {rules.fallback_k(n): 0.0}
-    return min(scores, key=lambda k: (-scores[k], k)), dict(sorted(scores.items()))
+        return Scan(rules.fallback_k(n), {rules.fallback_k(n): 0.0})
+    return Scan(min(scores, key=lambda k: (-scores[k], k)), dict(sorted(scores.items())), fits)

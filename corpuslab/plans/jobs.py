@@ -13,7 +13,7 @@ from corpuslab.operators import select_k as sk
 from corpuslab.operators.dedup import dedup_summary, dedup_vectors, verify_dedup
 from corpuslab.operators.enrich import enrich_priority
 from corpuslab.operators.profile import analysis_report
-from corpuslab.session import cut_lineage
+from corpuslab.session import written_table
 from corpuslab.sources import sinks
 
 
@@ -56,10 +56,9 @@ PRESETS = {
 
 @dataclass(frozen=True)
 class ClusterOutcome:
-    """Tables of a finished job; all but ``centers``, ``scan`` and ``summary`` are lazy."""
+    """Tables of a finished job; all but ``scan`` and ``fit`` are lazy."""
 
-    k: int
-    scan: dict[int, float]
+    scan: sk.Scan
     fit: cl.Fit
     labelled: DataFrame
     results: DataFrame
@@ -77,11 +76,11 @@ def prepare_features(vectors: DataFrame, job: ClusterJob) -> DataFrame:
     return cl.pca_project(out, job.pca_dims)
 
 
-def choose_k(features: DataFrame, job: ClusterJob, n: int) -> tuple[int, dict[int, float]]:
+def choose_k(features: DataFrame, job: ClusterJob, n: int) -> sk.Scan:
     if job.choose == "guarded":
-        return min(job.k, n), {}
+        return sk.Scan(min(job.k, n), {})
     if job.choose == "given":
-        return job.k, {}
+        return sk.Scan(job.k, {})
     try:
         if job.choose == "elbow":
             return sk.elbow_scan(features, rules.K_MIN, job.k_max, job.sample, n, job.seed, n_init=job.n_init)
@@ -89,23 +88,29 @@ def choose_k(features: DataFrame, job: ClusterJob, n: int) -> tuple[int, dict[in
             features, rules.K_MIN, job.k_max, job.adaptive, job.sample, n, job.seed, n_init=job.n_init
         )
     except Exception:  # a scan that cannot run falls back to a plain choice
-        return rules.fallback_k(n), {}
+        return sk.Scan(rules.fallback_k(n), {})
+
+
+def final_fit(features: DataFrame, job: ClusterJob, n: int, scan: sk.Scan) -> cl.Fit:
+    """The scan's own model for the chosen k (a refit with equal seeds would repeat it), else a fresh fit."""
+    if scan.k in scan.fits:
+        return scan.fits[scan.k]
+    options = {"n_init": job.n_init, "max_iter": job.max_iter, "seed": job.seed}
+    if job.sample is None or n <= job.sample:
+        return cl.fit_kmeans(features, scan.k, **options)
+    fit = cl.fit_on_sample(features, [scan.k], job.sample, **options)[scan.k]
+    whole = cl.lloyd_pass(features, {0: fit.centers})[0]
+    return replace(fit, counts=whole.counts, inertia=whole.inertia)
 
 
 def run_cluster_job(vectors: DataFrame, comments: DataFrame | None, job: ClusterJob, base: str = "corpus") -> ClusterOutcome:
     """Vectors (``file, pos, id, embedding, original_pos``) to labels, reports and per-cluster lists."""
     spark = vectors.sparkSession
-    features = cut_lineage(prepare_features(vectors, job))  # read many times by the fits below
+    features = written_table(prepare_features(vectors, job), "features")  # scanned many times below
     n = features.count()
     original = vectors.count() if job.dedup else n
-    k, scan = choose_k(features, job, n)
-    options = {"n_init": job.n_init, "max_iter": job.max_iter, "seed": job.seed}
-    if job.sample is not None and n > job.sample:
-        fit = cl.fit_on_sample(features, [k], job.sample, **options)[k]
-        sums = cl.lloyd_pass(features, {0: fit.centers})[0]
-        fit = replace(fit, counts=sums[1], inertia=sums[2])
-    else:
-        fit = cl.fit_kmeans(features, k, **options)
+    scan = choose_k(features, job, n)
+    fit = final_fit(features, job, n, scan)
     labelled = cl.assign(features, fit.centers)
     centers = cl.centers_frame(spark, fit.centers)
     measured = cl.with_distance(labelled, centers, spread_by="pos")
@@ -128,12 +133,12 @@ def run_cluster_job(vectors: DataFrame, comments: DataFrame | None, job: Cluster
         F.lit(int(fit.centers.shape[1])).alias("embedding_dim"),
         F.lit(int((fit.counts > 0).sum())).alias("num_clusters"),
         F.lit(float(fit.inertia)).alias("inertia"),
-        F.array(*[F.lit(s) for s in scan]).cast("array<int>").alias("scan_ks"),
-        F.array(*[F.lit(float(s)) for s in scan.values()]).cast("array<double>").alias("scan_values"),
+        F.array(*[F.lit(k) for k in scan.values]).cast("array<int>").alias("scan_ks"),
+        F.array(*[F.lit(float(v)) for v in scan.values.values()]).cast("array<double>").alias("scan_values"),
         "per_cluster_counts",
         "outputs",
     )
-    return ClusterOutcome(k, scan, fit, labelled, results, cl.cluster_stats(labelled), picked, manifest, summary)
+    return ClusterOutcome(scan, fit, labelled, results, cl.cluster_stats(labelled), picked, manifest, summary)
 
 
 def write_cluster_job(outcome: ClusterOutcome, path: str) -> None:

@@ -402,9 +402,9 @@ def hash_embed(spark, sf):
 
 @register("embed_documents", f"""
 WITH {TOKENS_SQL}
-SELECT doc_id, bucket, round(n / len, 5) + 0.0 AS weight FROM counts JOIN lengths USING (doc_id)""")
+SELECT doc_id, bucket, round(CAST(CAST(n / len AS FLOAT) AS DOUBLE), 6) + 0.0 AS weight FROM counts JOIN lengths USING (doc_id)""")
 def embed_documents(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = encode.embed(docs, "text", encode.hashed_token_encoder(64)).select("doc_id", F.posexplode("embedding"))
-    weight = st.rounded(F.col("col").cast("double"), 5)
+    weight = st.rounded(F.col("col").cast("double"))
     return found.filter("col != 0").select("doc_id", F.col("pos").alias("bucket"), weight.alias("weight"))

@@ -56,12 +56,12 @@ def norm_range(spark, sf):
 WITH scaled AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 3 * label) AS v FROM embeddings),
 sized AS (SELECT vec_id, v, {norm_sql('v')} AS n FROM scaled),
 cells AS (SELECT vec_id, n, unnest(range(0, len(v))) AS dim, unnest(v) AS x FROM sized)
-SELECT vec_id, dim, {rounded_sql('CASE WHEN n > 0 THEN x / n ELSE x END', 5)} AS value FROM cells""")
+SELECT vec_id, dim, {rounded_sql('CAST(CAST(CASE WHEN n > 0 THEN x / n ELSE x END AS FLOAT) AS DOUBLE)')} AS value FROM cells""")
 def l2_normalize(spark, sf):
     scaled = F.transform("embedding", lambda x: x.cast("double") * 3 * F.col("label"))
     unit = cl.l2_normalize(_emb(spark, sf).select("vec_id", scaled.alias("embedding")))
     cells = unit.select("vec_id", F.posexplode("embedding").alias("dim", "value"))
-    return cells.withColumn("value", rounded(F.col("value").cast("double"), 5))
+    return cells.withColumn("value", rounded(F.col("value").cast("double")))
 
 
 @register("sanity_checks", f"""
@@ -380,7 +380,7 @@ SELECT 'part' || file_no || '.npz' AS file, pos, CAST(vec_id AS VARCHAR) AS id,
 def npz_import(spark, sf):
     emb = _emb(spark, sf).select("vec_id", "embedding").withColumn("part", id_block("vec_id", 200))
 
-    def pack(key, rows: pa.Table) -> pa.Table:
+    def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("vec_id")
         buffer, ids = io.BytesIO(), rows.column("vec_id").to_numpy()
         np.savez_compressed(
@@ -413,20 +413,20 @@ def kmeans_fit(spark, sf):
 def kmeans_sampled(spark, sf):
     emb = st.vectors(spark, sf).drop("cluster")
     fit = cl.fit_on_sample(emb, [5], cl.batch_size(emb.count()))[5]
-    inertia = cl.lloyd_pass(emb, {0: fit.centers})[0][2]
+    inertia = cl.lloyd_pass(emb, {0: fit.centers})[0].inertia
     return cl.cluster_sizes(cl.assign(emb, fit.centers)).withColumn("inertia", rounded(F.lit(inertia)))
 
 
 @register("elbow_scan")
 def elbow_scan(spark, sf):
-    _, values = sk.elbow_scan(st.vectors(spark, sf))
-    return _round(sk.elbow_distances(sk.curve(spark, values, "inertia")), "inertia", "distance")
+    scan = sk.elbow_scan(st.vectors(spark, sf))
+    return _round(sk.elbow_distances(sk.curve(spark, scan.values, "inertia")), "inertia", "distance")
 
 
 @register("silhouette_select")
 def silhouette_select(spark, sf):
-    chosen, scores = sk.silhouette_choice(st.vectors(spark, sf), k_max=10, n_init=2)
-    out = sk.curve(spark, scores, "score").withColumn("selected", F.col("k") == chosen)
+    scan = sk.silhouette_choice(st.vectors(spark, sf), k_max=10, n_init=2)
+    out = sk.curve(spark, scan.values, "score").withColumn("selected", F.col("k") == scan.k)
     return _round(out, "score")
 
 

@@ -52,3 +52,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: like a checkpoint, but later scans read single columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

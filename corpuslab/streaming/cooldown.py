@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from corpuslab.operators.cooldown import COOLDOWN_SECONDS
+from corpuslab.operators.cooldown import COOLDOWN_SECONDS, from_micros, micros
 
 
 def cooldown_stream(errors: DataFrame, key: str, stamp: str, seconds: int = COOLDOWN_SECONDS) -> DataFrame:
@@ -20,8 +20,8 @@ def cooldown_stream(errors: DataFrame, key: str, stamp: str, seconds: int = COOL
     micro-batches, as the clock that stamps them is.
     """
     gap = seconds * 1_000_000
-    key_type = dict(errors.dtypes)[key]
-    narrow = errors.select(F.col(key), F.unix_micros(stamp).alias("_t"))
+    types = dict(errors.dtypes)
+    narrow = errors.select(F.col(key), micros(stamp, types[stamp]).alias("_t"))
 
     def advance(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         anchor = state.get[0] if state.exists else None
@@ -37,6 +37,6 @@ def cooldown_stream(errors: DataFrame, key: str, stamp: str, seconds: int = COOL
         yield pd.DataFrame({key: [group[0]] * len(opened), "_anchor": opened})
 
     anchors = narrow.groupBy(key).applyInPandasWithState(
-        advance, f"{key} {key_type}, _anchor BIGINT", "anchor BIGINT", "append", GroupStateTimeout.NoTimeout
+        advance, f"{key} {types[key]}, _anchor BIGINT", "anchor BIGINT", "append", GroupStateTimeout.NoTimeout
     )
-    return anchors.select(key, F.timestamp_micros("_anchor").alias("anchor_ts"))
+    return anchors.select(key, from_micros(F.col("_anchor"), types[stamp]).alias("anchor_ts"))
