@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 # Patterns and strings that decide results.
 URL = r"https?://\S+"
-CONTROL_EDGES = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
+CONTROLS = "".join(chr(c) for c in range(0x21))
+UNICODE_SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_BREAKS = r"[\n\r]+"
 BRACED = r"\A\{(.*)\}\z"
-UNICODE_EDGES = r"\A[\s\p{Z}\x0B\x1C-\x1F\x85]+|[\s\p{Z}\x0B\x1C-\x1F\x85]+\z"
 QUERY_PREFIX = "query: "
 EMPTY_QUERY = "query: empty comment"
 COMMENTS_SUFFIX = "_comments.json"
@@ -19,12 +21,13 @@ SAMPLE_RATE = 0.01
 
 def strip_controls(c: Column) -> Column:
     """Remove every character up to U+0020 from both ends (SQL ``trim`` removes only blanks)."""
-    return F.regexp_replace(c, CONTROL_EDGES, "")
+    return F.btrim(c, F.lit(CONTROLS))
 
 
 def clean_comment(c: Column) -> Column:
     """Delete links, strip the ends, then fold each run of line breaks to one blank."""
-    return F.regexp_replace(strip_controls(F.regexp_replace(c, URL, "")), LINE_BREAKS, " ")
+    unlinked = F.when(F.contains(c, F.lit("://")), F.regexp_replace(c, URL, "")).otherwise(c)
+    return F.regexp_replace(strip_controls(unlinked), LINE_BREAKS, " ")
 
 
 def unwrap_braces(c: Column) -> Column:
@@ -35,7 +38,7 @@ def unwrap_braces(c: Column) -> Column:
 
 def prepare_comment(c: Column) -> Column:
     """Encoder input: Unicode-stripped text behind the query prefix."""
-    text = F.regexp_replace(F.coalesce(c, F.lit("")), UNICODE_EDGES, "")
+    text = F.btrim(F.coalesce(c, F.lit("")), F.lit(UNICODE_SPACES))
     return F.when(F.length(text) == 0, F.lit(EMPTY_QUERY)).otherwise(F.concat(F.lit(QUERY_PREFIX), text))
 
 

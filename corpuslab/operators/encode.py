@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -61,12 +62,12 @@ def hashed_token_encoder(dim: int = 64) -> Callable[[], Encoder]:
         def encode(texts: list[str]) -> np.ndarray:
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for row, text in enumerate(texts):
-                for word in token.findall(text.lower()):
+                for word, times in Counter(token.findall(text.lower())).items():
                     if word not in buckets:
                         if len(buckets) > 1_000_000:
                             buckets.clear()
                         buckets[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-                    out[row, buckets[word]] += 1
+                    out[row, buckets[word]] += times
             return out
 
         return encode

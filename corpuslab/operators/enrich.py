@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.operators.joins import latest_per_key, skew_join
-from corpuslab.operators.ordering import global_index, id_block
+from corpuslab.operators.ordering import running_offsets
 
 
 def text_by_id(comments: DataFrame) -> DataFrame:
@@ -26,17 +26,29 @@ def enrich_by_position(vectors: DataFrame, comments: DataFrame) -> DataFrame:
     return vectors.join(texts, ["file", "pos"], "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
-def text_by_global_index(comments: DataFrame, block: Column | None = None) -> DataFrame:
-    """``original_pos, text`` with positions counted over all files in name order."""
-    block = id_block("pos") if block is None else block
-    indexed = global_index(comments.select("file", "pos", "text"), "file", block, ["pos"], "original_pos")
-    return indexed.select("original_pos", "text")
+def text_by_global_index(comments: DataFrame) -> DataFrame:
+    """``original_pos, text`` with positions counted over all files in name order.
 
+    Positions inside files are known, so a file's offset is all that is added; skipped items count.
+    """
+    sizes = comments.groupBy("file").agg((F.max("pos") + 1).alias("_n"))
+    offsets = running_offsets(sizes, ["file"], "_n", "_offset").select("file", "_offset")
+    rows = skew_join(comments.select("file", "pos", "text"), offsets, ["file"], ["pos"], "inner")
+    return rows.select((F.col("_offset") + F.col("pos")).alias("original_pos"), "text")
 
-def enrich_priority(vectors: DataFrame, comments: DataFrame, row_key: list[str]) -> DataFrame:
-    """Text by original position first, by id where that finds nothing, else NULL."""
-    by_index = text_by_global_index(comments).withColumnRenamed("text", "_by_index")
-    first = vectors.join(by_index, "original_pos", "left")
-    ids = text_by_id(comments).withColumnRenamed("text", "_by_id")
-    both = skew_join(first, ids, ["id"], row_key)
+
+def enrich_priority(vectors: DataFrame, comments: DataFrame, row_key: list[str], few: bool = False) -> DataFrame:
+    """Text by original position first, by id where that finds nothing, else NULL.
+
+    With ``few`` (a short stored table, such as the picked rows of a report) texts are first reduced to
+    wanted keys, which Catalyst broadcasts when the table's size allows, so most text is never shuffled.
+    """
+    by_index = text_by_global_index(comments)
+    by_id = comments
+    if few:
+        by_index = by_index.join(vectors.select("original_pos").distinct(), "original_pos", "left_semi")
+        by_id = comments.join(vectors.select("id").distinct(), "id", "left_semi")
+    first = vectors.join(by_index.withColumnRenamed("text", "_by_index"), "original_pos", "left")
+    ids = text_by_id(by_id).withColumnRenamed("text", "_by_id")
+    both = first.join(ids, "id", "left") if few else skew_join(first, ids, ["id"], row_key)
     return both.withColumn("text", F.coalesce("_by_index", "_by_id")).drop("_by_index", "_by_id")

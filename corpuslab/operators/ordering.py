@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslab.session import cut_lineage
+
 BLOCK = 1 << 20
-RANGE_SPLITS = 200
+RANGE_SPLITS = 1000
+RANGE_ROWS = 100_000
 HASH_DIGITS = 4
 
 
@@ -43,13 +46,16 @@ def position_in_group(
 def running_offsets(counts: DataFrame, order: list[str], n: str, out: str = "offset") -> DataFrame:
     """Exclusive running total of ``n`` over all rows in ``order`` (a unique tuple), in parallel.
 
-    A bounded hash sample of the tuples gives range limits; totals per range (at most
-    ``RANGE_SPLITS`` + 1 rows) are summed first, then each range is summed on its own.
+    A bounded hash sample of the tuples gives range limits, about one per ``RANGE_ROWS`` rows; totals
+    per range (at most ``RANGE_SPLITS`` + 1 rows) are summed first, then each range is summed on its
+    own. ``counts`` is stored first, since it is read several times.
     """
+    counts = cut_lineage(counts)
+    splits = min(RANGE_SPLITS, counts.count() // RANGE_ROWS)
     key = F.struct(*order)
     limits = sorted(
-        tuple(r) for r in counts.select(*order).distinct().orderBy(F.xxhash64(*order)).limit(RANGE_SPLITS).collect()
-    )
+        tuple(r) for r in counts.select(*order).distinct().orderBy(F.xxhash64(*order)).limit(splits).collect()
+    ) if splits else []
     types = dict(counts.dtypes)
 
     def literal(values: tuple) -> Column:
@@ -139,50 +145,58 @@ def top_per_group(
     return part.withColumn(out, last).filter(F.col(out) <= most).filter(F.col(out) <= limit)
 
 
-def exact_percentiles(df: DataFrame, value: str, points: list[float], splits: int = 256) -> DataFrame:
-    """Linear-interpolated percentiles of one column, exact at any size: columns ``p``, ``value``.
+def exact_percentiles(df: DataFrame, columns: list[str], points: list[float], splits: int = 256) -> DataFrame:
+    """Linear-interpolated percentiles of numeric columns, exact at any size: ``column, p, value``.
 
     Equal values are counted once, the distinct values are cut into ranges at approximate
     quantiles, and only ranges that hold a wanted rank are ordered. The built-in ``percentile`` would
-    hold all distinct values in one buffer.
+    hold all distinct values of a column in one buffer.
     """
-    data = df.select(F.col(value).cast("double").alias("x")).filter("x IS NOT NULL")
+    spark = df.sparkSession
     grid = [i / splits for i in range(1, splits)]
-    summary = data.agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("x", grid, 10 * splits).alias("cuts")
+    facts = df.agg(
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(F.col(c).cast("double"), grid, 10 * splits).alias(f"q_{i}") for i, c in enumerate(columns)],
     ).first()
-    spark = df.sparkSession
-    if summary.n == 0:
-        return spark.createDataFrame([(p, None) for p in points], "p DOUBLE, value DOUBLE")
-    cuts = sorted(set(summary.cuts))
-    wanted = [(p, int(p * (summary.n - 1)), p * (summary.n - 1) - int(p * (summary.n - 1))) for p in points]
-    needed = sorted({r for _, low, _ in wanted for r in (low, min(low + 1, summary.n - 1))})
-
-    ranged = data.groupBy("x").agg(F.count(F.lit(1)).alias("c")).withColumn(
-        "_range", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("x")))
-    )
-    everything = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranged.groupBy("_range").agg(F.sum("c").alias("_size")).withColumn(
-        "_before", F.coalesce(F.sum("_size").over(everything), F.lit(0))
+    cuts, ranks, weights = [], [], []
+    for i, name in enumerate(columns):
+        n = facts[f"n_{i}"]
+        cuts.append(sorted(set(facts[f"q_{i}"] or [])))
+        wanted = set()
+        for p in points if n else []:
+            low = int(p * (n - 1))
+            part = p * (n - 1) - low
+            for rank, weight in ((low, 1 - part), (min(low + 1, n - 1), part)):
+                wanted.add(rank)
+                weights.append((name, p, rank, float(weight)))
+        ranks.append(sorted(wanted))
+
+    def per_column(lists: list[list], kind: str) -> Column:
+        arrays = [F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>") for values in lists]
+        return F.element_at(F.array(*arrays), F.col("c") + 1)
+
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)])
+    counted = (
+        df.select(F.inline(cells)).filter("x IS NOT NULL").groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_range", F.size(F.filter(per_column(cuts, "double"), lambda v: v < F.col("x"))))
     )
-    ranks = F.array(*[F.lit(r).cast("bigint") for r in needed])
-    hit = ranges.filter(
-        F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")))
+    before = Window.partitionBy("c").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counted.groupBy("c", "_range").agg(F.sum("n").alias("_size")).withColumn(
+        "_before", F.coalesce(F.sum("_size").over(before), F.lit(0))
     )
-    inside = Window.partitionBy("_range").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = ranges.filter(F.exists(
+        per_column(ranks, "bigint"), lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size"))
+    ))
+    inside = Window.partitionBy("c", "_range").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = (
-        ranged.join(F.broadcast(hit), "_range")  # at most two ranges per wanted point
-        .withColumn("_end", F.col("_before") + F.sum("c").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("c"))
+        counted.join(F.broadcast(hit), ["c", "_range"])  # at most two ranges per column and point
+        .withColumn("_end", F.col("_before") + F.sum("n").over(inside))
+        .withColumn("_start", F.col("_end") - F.col("n"))
     )
-    low = F.explode(F.filter(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_end"))))
-    by_rank = ordered.select(low.alias("r"), "x")
-    points_df = spark.createDataFrame(
-        [(p, lo, min(lo + 1, summary.n - 1), frac) for p, lo, frac in wanted],
-        "p DOUBLE, lo BIGINT, hi BIGINT, frac DOUBLE",
+    inner = F.filter(per_column(ranks, "bigint"), lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
+    names = F.array(*[F.lit(c) for c in columns])
+    found = ordered.select(F.element_at(names, F.col("c") + 1).alias("column"), "x", F.explode(inner).alias("r"))
+    shares = spark.createDataFrame(weights, "column STRING, p DOUBLE, r BIGINT, w DOUBLE")
+    return found.join(F.broadcast(shares), ["column", "r"]).groupBy("column", "p").agg(
+        F.sum(F.col("x") * F.col("w")).alias("value")
     )
-    touching = points_df.select("p", F.explode(F.array(
-        F.struct(F.col("lo").alias("r"), (1 - F.col("frac")).alias("w")),
-        F.struct(F.col("hi").alias("r"), F.col("frac").alias("w")),
-    )).alias("t")).select("p", "t.r", "t.w")
-    return by_rank.join(F.broadcast(touching), "r").groupBy("p").agg(F.sum(F.col("x") * F.col("w")).alias("value"))

@@ -163,22 +163,19 @@ def sample_frame(
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles (linear) and maximum per column, exact at any size."""
-    parts = []
-    for name in columns:
-        base = df.agg(
-            F.count(name).alias("count"), F.avg(name).alias("mean"), F.stddev_samp(name).alias("std"),
-            F.min(name).alias("min"), F.max(name).alias("max"),
-        )
-        quartiles = exact_percentiles(df, name, [0.25, 0.5, 0.75]).agg(
-            *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(c) for p, c in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]
-        )
-        both = base.unionByName(quartiles, allowMissingColumns=True)
-        order = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-        parts.append(both.agg(*[F.max(c).alias(c) for c in order]).select(F.lit(name).alias("column"), *order))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = df.agg(*[f(c).alias(f"{kind}_{i}") for i, c in enumerate(columns) for kind, f in kinds.items()])
+    rows = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{kind}_{i}").alias(kind) for kind in kinds]) for i, c in enumerate(columns)
+    ]
+    base = wide.select(F.inline(F.array(*rows)))
+    named = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
+    quartiles = exact_percentiles(df, columns, list(named)).groupBy("column").agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for p, name in named.items()]
+    )
+    return base.join(quartiles, "column", "left").select(
+        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    )
 
 
 def processing_summary(

@@ -117,7 +117,7 @@ def run_cluster_job(vectors: DataFrame, comments: DataFrame | None, job: Cluster
     picked = cl.extremes(measured, job.nearest, job.farthest, keep=["id", "file", "original_pos"])
     results = cl.cluster_results(labelled)
     if comments is not None:
-        picked = enrich_priority(picked, comments, ["pos", "kind"])
+        picked = enrich_priority(written_table(picked, "picked"), comments, ["pos", "kind"], few=True)
     sizes = cl.cluster_sizes(labelled)
     manifest = cl.files_manifest(picked, sizes, base, job.tag)
     counts = F.map_from_entries(F.collect_list(F.struct(

@@ -59,7 +59,7 @@ WHERE length({st.CLEAN_SQL.format('raw')}) > 0""")
 def clean_comments(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
     size = table(spark, sf, "pages").agg(F.count(F.lit(1)).alias("n")).scalar()
-    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("page_id", F.col("doc_id") % size)
+    docs = st.texts(spark, sf).select("doc_id", "text").withColumn("page_id", F.col("doc_id") % size)
     raw = F.concat_ws(" ", "text", "url")
     return (
         joins.skew_join(docs, pages, ["page_id"], ["doc_id"], "inner")
@@ -73,7 +73,7 @@ WITH s AS (
   SELECT doc_id, regexp_replace(text, '\A[\s\p{Z}\x0B\x1C-\x1F\x85]+|[\s\p{Z}\x0B\x1C-\x1F\x85]+\z', '', 'g') AS t FROM documents)
 SELECT doc_id, CASE WHEN length(t) = 0 THEN 'query: empty comment' ELSE 'query: ' || t END AS prepared FROM s""")
 def prepare_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.prepare_comment(F.col("text")).alias("prepared"))
+    return st.texts(spark, sf).select("doc_id", tx.prepare_comment(F.col("text")).alias("prepared"))
 
 
 @register("txt_to_comments", r"""
@@ -88,7 +88,7 @@ SELECT doc_id, pos, CASE WHEN regexp_matches(line, '\A\{(.*)\}\z')
   THEN regexp_replace(regexp_extract(line, '\A\{(.*)\}\z', 1), '\A[\x00-\x20]+|[\x00-\x20]+\z', '', 'g') ELSE line END AS text
 FROM items""")
 def txt_to_comments(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = st.texts(spark, sf)
     braced = F.concat(F.lit("{ "), F.replace("text", F.lit("\n"), F.lit(" }\n{")), F.lit("}"))
     body = docs.select("doc_id", F.when(F.col("lang") == "en", braced).otherwise(F.col("text")).alias("body"))
     return src.line_comments(body, "doc_id", "body")
@@ -396,7 +396,7 @@ lengths AS (SELECT doc_id, sqrt(sum(n * n)) AS len FROM counts GROUP BY doc_id)"
 WITH {TOKENS_SQL}
 SELECT doc_id, bucket, {st.rounded_sql('n / len')} AS weight FROM counts JOIN lengths USING (doc_id)""")
 def hash_embed(spark, sf):
-    found = encode.hash_embed(table(spark, sf, "documents"), "doc_id", "text")
+    found = encode.hash_embed(st.texts(spark, sf), "doc_id", "text")
     return found.withColumn("weight", st.rounded(F.col("weight")))
 
 
@@ -404,7 +404,7 @@ def hash_embed(spark, sf):
 WITH {TOKENS_SQL}
 SELECT doc_id, bucket, round(CAST(CAST(n / len AS FLOAT) AS DOUBLE), 6) + 0.0 AS weight FROM counts JOIN lengths USING (doc_id)""")
 def embed_documents(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = st.texts(spark, sf).select("doc_id", "text")
     found = encode.embed(docs, "text", encode.hashed_token_encoder(64)).select("doc_id", F.posexplode("embedding"))
     weight = st.rounded(F.col("col").cast("double"))
     return found.filter("col != 0").select("doc_id", F.col("pos").alias("bucket"), weight.alias("weight"))

@@ -17,6 +17,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """documents, spread over the cores when its scan has fewer splits than there are cores.
+
+    Text work is bound by the processor; a small table in one row group would run in one task. A table
+    with many files is left as it is and not shuffled.
+    """
+    docs = table(spark, sf, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+
+
 def comments(spark: SparkSession, sf: str) -> DataFrame:
     """documents as comments: one file per source, positions by document id."""
     docs = table(spark, sf, "documents").select(

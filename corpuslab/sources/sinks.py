@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.operators.joins import skew_join
 from corpuslab.operators.ordering import BLOCK, running_offsets
+from corpuslab.session import cut_lineage
 from corpuslab.sources.comments import CHUNK_ROWS
 
 
@@ -19,7 +20,7 @@ def thread_positions(flat: DataFrame) -> DataFrame:
     keys = ["video_id", "page", "item", "_block"]
     rows = flat.withColumn("_block", F.floor(F.col("seq") / F.lit(BLOCK)).cast("bigint"))
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = running_offsets(counts, keys, "_n", "_offset").drop("_n")
+    offsets = cut_lineage(running_offsets(counts, keys, "_n", "_offset").drop("_n"))
     starts = offsets.groupBy("video_id").agg(F.min("_offset").alias("_start"))
     local = skew_join(offsets, starts, ["video_id"], ["page", "item", "_block"], "inner")
     inside = Window.partitionBy(*keys).orderBy("seq")
