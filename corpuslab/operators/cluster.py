@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.functions import vectors as vx
+from corpuslab.functions.vectors import pairwise_squared, to_matrix
 from corpuslab.operators.joins import attach_bounded
 from corpuslab.operators.ordering import hash_sample, top_per_group
 
@@ -52,10 +53,10 @@ def draw_points(vectors: DataFrame, n: int, id_col: str = "id", vec: str = "embe
 def spread_seeds(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """k-means++ seeding on a bounded sample; fewer seeds if there are fewer distinct points."""
     chosen = [points[rng.integers(len(points))]]
-    gap = vx.pairwise_squared(points, chosen[0][None, :])[:, 0]
+    gap = pairwise_squared(points, chosen[0][None, :])[:, 0]
     while len(chosen) < k and gap.sum() > 1e-12:
         chosen.append(points[rng.choice(len(points), p=gap / gap.sum())])
-        gap = np.minimum(gap, vx.pairwise_squared(points, chosen[-1][None, :])[:, 0])
+        gap = np.minimum(gap, pairwise_squared(points, chosen[-1][None, :])[:, 0])
         gap[gap < 1e-12] = 0.0
     return np.array(chosen)
 
@@ -79,9 +80,9 @@ def lloyd_pass(
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            points = vx.to_matrix(batch.column(0))
+            points = to_matrix(batch.column(0))
             for m, centers in tables.items():
-                gaps = vx.pairwise_squared(points, centers)
+                gaps = pairwise_squared(points, centers)
                 label = gaps.argmin(1)
                 counts[m] += np.bincount(label, minlength=len(centers))
                 costs[m] += np.bincount(label, weights=gaps[np.arange(len(label)), label], minlength=len(centers))

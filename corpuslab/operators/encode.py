@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from corpuslab.functions import vectors as vx
+from corpuslab.functions.vectors import from_matrix
 from corpuslab.functions.text import prepare_comment
 
 Encoder = Callable[[list[str]], np.ndarray]
@@ -44,7 +44,7 @@ def embed(
                 continue
             matrix = np.concatenate(parts).astype(np.float64)
             size = np.sqrt((matrix * matrix).sum(1))
-            yield vx.from_matrix(matrix / np.where(size > 0, size, 1.0)[:, None])
+            yield from_matrix(matrix / np.where(size > 0, size, 1.0)[:, None])
 
     return df.withColumn(out, encode(prepare_comment(F.col(text))))
 

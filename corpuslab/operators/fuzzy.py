@@ -58,8 +58,8 @@ def _letter_counts(names: list[str]) -> np.ndarray:
     return table
 
 
-def _scorer(names: list[str]):
-    """Pandas UDF: best candidate index and ratio per target, among ``names`` in their order.
+def _scorer(names: list[str], threshold: float):
+    """Best candidate index and ratio per target among ``names``, in their order.
 
     Shared letters bound the ratio from above, so candidates are tried in order of that bound until
     it falls below the best ratio found; the result equals trying all of them.
@@ -67,40 +67,42 @@ def _scorer(names: list[str]):
     letters = _letter_counts(names)
     lengths = np.array([len(n) for n in names])
 
-    @F.pandas_udf("idx INT, score DOUBLE")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def best(target: str, matchers: dict) -> tuple[int, float] | None:
+        shared = np.minimum(letters, _letter_counts([target])).sum(1)
+        size = lengths + len(target)
+        bound = np.where(size > 0, 2.0 * shared / np.maximum(size, 1), 1.0)
+        top, top_at = threshold, -1
+        for at in np.lexsort((np.arange(len(bound)), -bound)):
+            if bound[at] < top:
+                break
+            if at not in matchers:
+                matchers[at] = difflib.SequenceMatcher(None, "", names[at])
+            matchers[at].set_seq1(target)
+            ratio = matchers[at].ratio()
+            if ratio > top or (ratio == top and (top_at < 0 or at < top_at)):
+                top, top_at = ratio, int(at)
+        return None if top_at < 0 else (top_at, top)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matchers: dict[int, difflib.SequenceMatcher] = {}
-        for targets, floors in batches:
-            found = []
-            for target, floor in zip(targets, floors):
-                shared = np.minimum(letters, _letter_counts([target])).sum(1)
-                size = lengths + len(target)
-                bound = np.where(size > 0, 2.0 * shared / np.maximum(size, 1), 1.0)
-                best, best_at = float(floor), -1
-                for at in np.lexsort((np.arange(len(bound)), -bound)):
-                    if bound[at] < best:
-                        break
-                    if at not in matchers:
-                        matchers[at] = difflib.SequenceMatcher(None, "", names[at])
-                    matchers[at].set_seq1(target)
-                    ratio = matchers[at].ratio()
-                    if ratio > best or (ratio == best and (best_at < 0 or at < best_at)):
-                        best, best_at = ratio, int(at)
-                found.append((best_at if best_at >= 0 else None, best if best_at >= 0 else None))
-            yield pd.DataFrame(found, columns=["idx", "score"]).astype({"idx": "Int32", "score": "float64"})
+        for batch in batches:
+            found = [(t, *hit) for t, n in zip(batch["target"], batch["norm"]) if (hit := best(n, matchers))]
+            yield pd.DataFrame(found, columns=["target", "idx", "score"])
 
     return score
 
 
 def _closest(rest: DataFrame, block: list[tuple[str, int, str]], threshold: float) -> DataFrame:
     """``target, score, dir_rank, file`` of the best candidate within one block."""
-    spark = rest.sparkSession
     names = [b[0] for b in block]
-    scored = rest.select("target", _scorer(names)("norm", F.lit(threshold)).alias("s")).filter("s.idx IS NOT NULL")
-    entries = spark.createDataFrame([(i, b[1], b[2]) for i, b in enumerate(block)], "idx INT, dir_rank INT, file STRING")
-    return scored.select("target", "s.idx", "s.score").join(
-        F.broadcast(entries), "idx"  # at most one block of names
-    ).select("target", "score", "dir_rank", "file")
+    # a map step rather than a column function: filters must not move it below the reduction to distinct names
+    scored = rest.select("target", "norm").mapInPandas(_scorer(names, threshold), "target STRING, idx INT, score DOUBLE")
+    entries = rest.sparkSession.createDataFrame(
+        [(i, b[1], b[2]) for i, b in enumerate(block)], "idx INT, dir_rank INT, file STRING"
+    )
+    return scored.join(F.broadcast(entries), "idx").select(  # at most one block of names
+        "target", "score", "dir_rank", "file"
+    )
 
 
 def best_match(
@@ -121,6 +123,8 @@ def best_match(
     names = _first_by_name(candidates)
     total = names.count()
     blocks = max(1, -(-total // block_names))
+    # scoring is bound by the processor and a few names would otherwise share one task
+    rest = rest.repartition(targets.sparkSession.sparkContext.defaultParallelism, "target")
     if blocks > 1:
         rest = cut_lineage(rest)
     best: DataFrame | None = None

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.functions import rules
 from corpuslab.functions import vectors as vx
+from corpuslab.functions.vectors import pairwise_squared, to_matrix
 from corpuslab.operators import cluster as cl
 
 
@@ -94,7 +95,7 @@ def silhouette(labelled: DataFrame, cluster: str = "cluster", vec: str = "embedd
 
 
 def _units(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    points = vx.to_matrix(batch.column(0))
+    points = to_matrix(batch.column(0))
     size = np.sqrt((points * points).sum(1))
     points, size = points[size > 0], size[size > 0]
     return points, points / size[:, None]
@@ -117,7 +118,7 @@ def silhouette_scan(vectors: DataFrame, models: dict[int, np.ndarray], vec: str
                 continue
             points, units = _units(batch)
             for m, centers in tables.items():
-                label = vx.pairwise_squared(points, centers).argmin(1)
+                label = pairwise_squared(points, centers).argmin(1)
                 np.add.at(totals[m], label, units)
                 counts[m] += np.bincount(label, minlength=len(centers))
         rows = [(m, c) for m in tables for c in range(len(tables[m])) if counts[m][c]]
@@ -153,7 +154,7 @@ def silhouette_scan(vectors: DataFrame, models: dict[int, np.ndarray], vec: str
                 continue
             points, units = _units(batch)
             for m in usable:
-                label = vx.pairwise_squared(points, tables[m]).argmin(1)
+                label = pairwise_squared(points, tables[m]).argmin(1)
                 score[m] += float(row_silhouettes(units, label, total[m], count[m]).sum())
         if score:
             yield pa.record_batch(

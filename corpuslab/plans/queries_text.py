@@ -309,7 +309,7 @@ def containment_match(spark, sf):
 @register("fuzzy_match")
 def fuzzy_match(spark, sf):
     part = table(spark, sf, "part")
-    targets = part.select(F.concat_ws(" ", "p_name", "p_brand").alias("target"))
+    targets = part.select(F.concat_ws(" ", "p_name", F.lit("remix")).alias("target"))
     files = part.select(F.lit(0).alias("dir_rank"), F.concat_ws("_", "p_brand", "p_name").alias("stem"))
     found = fuzzy.best_match(targets, files.withColumn("file", F.concat("stem", F.lit(".json"))))
     return found.withColumn("score", st.rounded(F.col("score")))

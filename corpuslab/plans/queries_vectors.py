@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpuslab.functions import vectors as vx
+from corpuslab.functions.vectors import to_matrix
 from corpuslab.operators import cluster as cl
 from corpuslab.operators import dedup, profile
 from corpuslab.operators import select_k as sk
@@ -384,7 +385,7 @@ def npz_import(spark, sf):
         rows = rows.sort_by("vec_id")
         buffer, ids = io.BytesIO(), rows.column("vec_id").to_numpy()
         np.savez_compressed(
-            buffer, embeddings=vx.to_matrix(rows.column("embedding")).astype(np.float32), ids=ids, original_indices=ids
+            buffer, embeddings=to_matrix(rows.column("embedding")).astype(np.float32), ids=ids, original_indices=ids
         )
         return pa.table({"path": [f"/archives/part{key[0].as_py()}.npz"], "content": [buffer.getvalue()]})
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpuslab import schemas
 from corpuslab.functions import text as tx
-from corpuslab.functions import vectors as vx
+from corpuslab.functions.vectors import from_matrix
 from corpuslab.operators.joins import skew_join
 from corpuslab.operators.ordering import position_in_group
 
@@ -211,7 +211,7 @@ def import_npz(archives: DataFrame, rows_per_batch: int = 8192) -> DataFrame:
                         pa.array([name] * len(part), pa.string()),
                         pa.array(pos, pa.int64()),
                         pa.array(ids[at:at + len(part)].astype(str).tolist(), pa.string()),
-                        vx.from_matrix(np.asarray(part, dtype=np.float32)),
+                        from_matrix(np.asarray(part, dtype=np.float32)),
                         pa.array(pos if origin is None else origin[at:at + len(part)], pa.int64()),
                     ], schema=schema)
 
