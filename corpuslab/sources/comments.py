@@ -26,9 +26,13 @@ NO_COMMENTS = "no valid comments"
 
 def file_key() -> Column:
     """Logical file name: the ``file=`` folder if the data was written by our sink, else the file's own name."""
-    path = F.col("_metadata.file_path")
-    folder = F.url_decode(F.regexp_extract(path, "/file=([^/]+)/", 1))
-    return F.when(folder != "", folder).otherwise(F.url_decode(F.col("_metadata.file_name")))
+    folder = _decoded(_decoded(F.regexp_extract(F.col("_metadata.file_path"), "/file=([^/]+)/", 1)))
+    return F.when(folder != "", folder).otherwise(_decoded(F.col("_metadata.file_name")))
+
+
+def _decoded(c: Column) -> Column:
+    """Undo percent escapes; a plus sign in a name is a plus sign. Folder names carry two layers."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
 def _first_position() -> Column:
