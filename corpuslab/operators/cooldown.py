@@ -14,16 +14,20 @@ UNION_LIMIT = 50
 
 
 def micros(column: str, dtype: str) -> Column:
-    """Microseconds since the epoch; times without zone are not shifted by the session's zone."""
-    if dtype == "timestamp_ntz":
-        return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), F.col(column))
-    return F.unix_micros(column)
+    """Microseconds since the epoch; times without zone are read as they stand, whatever the session's zone."""
+    if dtype != "timestamp_ntz":
+        return F.unix_micros(column)
+    days = F.unix_date(F.to_date(column)).cast("bigint")
+    minutes = (days * 24 + F.hour(column)) * 60 + F.minute(column)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), F.col(column)) * 1_000_000).cast("bigint")
 
 
 def from_micros(column: Column, dtype: str) -> Column:
-    if dtype == "timestamp_ntz":
-        return F.timestamp_add("MICROSECOND", column, F.expr(EPOCH))
-    return F.timestamp_micros(column)
+    """Inverse of :func:`micros`."""
+    if dtype != "timestamp_ntz":
+        return F.timestamp_micros(column)
+    seconds = (column.cast("decimal(24,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr(EPOCH) + F.make_dt_interval(secs=seconds)
 
 
 def cooldown_anchors(

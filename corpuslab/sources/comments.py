@@ -16,7 +16,7 @@ from corpuslab.functions.vectors import from_matrix
 from corpuslab.operators.joins import skew_join
 from corpuslab.operators.ordering import position_in_group
 
-CHUNK_ROWS = 100_000
+CHUNK_ROWS = 10_000
 
 # Reasons of rejected files.
 MALFORMED = "malformed"

@@ -105,6 +105,15 @@ def test_cooldown_walk_equals_greedy(spark, key_limit):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_times_without_zone_ignore_the_session_zone(spark):
+    times = ["2024-03-10 01:30:00.000001", "2024-03-11 01:30:00", "2024-03-11 01:30:00.000001", "1969-12-31 23:59:59.5"]
+    df = spark.createDataFrame([(t,) for t in times], "s STRING").selectExpr("1 AS k", "CAST(s AS TIMESTAMP_NTZ) AS ts")
+    for zone in ("America/New_York", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = cd.cooldown_anchors(df, "k", "ts").select(F.col("anchor_ts").cast("string").alias("t"))
+        assert sorted(r.t for r in got.collect()) == [times[3], times[0], times[2]]
+
+
 def test_available_after_full_cooldown(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1)], "k STRING, s BIGINT").select("k", F.timestamp_seconds("s").alias("anchor_ts"))
     got = cd.available_keys(df, "k", F.timestamp_seconds(F.lit(86400)))
