@@ -104,4 +104,4 @@ def nearest_center(v: Column, centers: np.ndarray, ids: np.ndarray | None = None
         found = pairwise_squared(to_matrix(column), table).argmin(1)
         return pa.array(labels[found].astype(np.int32))
 
-    return pick(v)
+    return pick.asNondeterministic()(v)  # a join on the label must not compute it twice

@@ -46,6 +46,8 @@ def embed(
             size = np.sqrt((matrix * matrix).sum(1))
             yield from_matrix(matrix / np.where(size > 0, size, 1.0)[:, None])
 
+    # never evaluated twice, whatever filters later steps add
+    encode = encode.asNondeterministic()
     return df.withColumn(out, encode(prepare_comment(F.col(text))))
 
 

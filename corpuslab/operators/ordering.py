@@ -6,6 +6,9 @@ blocks of limited size, and only one row per block takes part in the running sum
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,15 +156,16 @@ def exact_percentiles(df: DataFrame, columns: list[str], points: list[float], sp
     hold all distinct values of a column in one buffer.
     """
     spark = df.sparkSession
-    grid = [i / splits for i in range(1, splits)]
+    grid = F.expr("array(" + ", ".join(f"{i / splits}D" for i in range(1, splits)) + ")")
     facts = df.agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
         *[F.percentile_approx(F.col(c).cast("double"), grid, 10 * splits).alias(f"q_{i}") for i, c in enumerate(columns)],
     ).first()
-    cuts, ranks, weights = [], [], []
+    limits, ranks, weights = [], [], []
     for i, name in enumerate(columns):
         n = facts[f"n_{i}"]
-        cuts.append(sorted(set(facts[f"q_{i}"] or [])))
+        cuts = sorted({v for v in facts[f"q_{i}"] or [] if math.isfinite(v)}) or [0.0]
+        limits.append([-math.inf, *cuts, math.inf])
         wanted = set()
         for p in points if n else []:
             low = int(p * (n - 1))
@@ -171,29 +175,30 @@ def exact_percentiles(df: DataFrame, columns: list[str], points: list[float], sp
                 weights.append((name, p, rank, float(weight)))
         ranks.append(sorted(wanted))
 
-    def per_column(lists: list[list], kind: str) -> Column:
-        arrays = [F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>") for values in lists]
-        return F.element_at(F.array(*arrays), F.col("c") + 1)
-
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)])
-    counted = (
-        df.select(F.inline(cells)).filter("x IS NOT NULL").groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_range", F.size(F.filter(per_column(cuts, "double"), lambda v: v < F.col("x"))))
+    wanted_ranks = F.element_at(F.array(*[F.array(*[F.lit(r) for r in rs]).cast("array<bigint>") for rs in ranks]), F.col("c") + 1)
+    ids = range(len(columns))
+    doubles = df.select(*[F.col(c).cast("double").alias(f"x_{i}") for i, c in enumerate(columns)])
+    ranged = Bucketizer(  # binary search per value
+        splitsArray=limits, inputCols=[f"x_{i}" for i in ids], outputCols=[f"r_{i}" for i in ids], handleInvalid="keep"
+    ).transform(doubles)
+    cells = [F.struct(F.lit(i).alias("c"), F.col(f"x_{i}").alias("x"), F.col(f"r_{i}").cast("int").alias("_range")) for i in ids]
+    counted = ranged.select(F.inline(F.array(*cells))).filter("x IS NOT NULL").groupBy("c", "x", "_range").agg(
+        F.count(F.lit(1)).alias("n")
     )
     before = Window.partitionBy("c").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = counted.groupBy("c", "_range").agg(F.sum("n").alias("_size")).withColumn(
         "_before", F.coalesce(F.sum("_size").over(before), F.lit(0))
     )
-    hit = ranges.filter(F.exists(
-        per_column(ranks, "bigint"), lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size"))
-    ))
+    hit = ranges.filter(
+        F.exists(wanted_ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")))
+    )
     inside = Window.partitionBy("c", "_range").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = (
         counted.join(F.broadcast(hit), ["c", "_range"])  # at most two ranges per column and point
         .withColumn("_end", F.col("_before") + F.sum("n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("n"))
     )
-    inner = F.filter(per_column(ranks, "bigint"), lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
+    inner = F.filter(wanted_ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
     names = F.array(*[F.lit(c) for c in columns])
     found = ordered.select(F.element_at(names, F.col("c") + 1).alias("column"), "x", F.explode(inner).alias("r"))
     shares = spark.createDataFrame(weights, "column STRING, p DOUBLE, r BIGINT, w DOUBLE")
