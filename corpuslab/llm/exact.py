@@ -158,11 +158,12 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
 def same_bytes(pairs: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
     """Of ``digest, old_id, new_id`` keeps pairs whose normalised texts are equal byte by byte.
 
-    Both texts are fetched by the same join (one row per wanted id and side), then met on the digest.
+    Both texts are fetched by the same join (one row per wanted id and side), then met on the digest. The join is
+    always a sort-merge join: the number of copies grows with the table, so no plan may rest on its being small.
     """
     wanted = pairs.select("digest", F.explode(F.array("old_id", "new_id")).alias("_id"))
     texts = docs.select(F.col(key).alias("_id"), normalised(F.col(text)).alias("_text"))
-    met = wanted.join(texts, "_id").groupBy("digest").agg(
+    met = texts.join(wanted.hint("merge"), "_id").groupBy("digest").agg(
         F.min("_text").alias("_low"), F.max("_text").alias("_high"))
     return met.filter(F.col("_low") == F.col("_high")).select("digest")
 
