@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslab.llm import exact, sharding
+from corpuslab.llm import exact, langid, pii, sharding
 from corpuslab.llm.common import table
 
 
@@ -18,6 +18,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.pii_digests(table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents."""
+    return langid.language_digests(table(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents)
@@ -32,4 +42,6 @@ FROM d
 QUERIES = {
     "op3_sharding": (op3_sharding, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
+    "op7_pii": (op7_pii, None),
+    "op9_language": (op9_language, None),
 }
