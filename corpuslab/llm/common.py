@@ -36,13 +36,13 @@ def mix(values: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash by word, filled on demand and emptied when it gets large."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         if len(self) >= WORD_CACHE:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
+    def of(self, words: list[bytes] | list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

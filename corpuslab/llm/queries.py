@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslab.llm import exact, langid, pii, sharding
+from corpuslab.llm import decontaminate, exact, langid, licenses, pii, sharding
 from corpuslab.llm.common import table
 
 
@@ -28,6 +28,16 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All leaking pairs of documents and benchmark items."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents)
@@ -43,5 +53,7 @@ QUERIES = {
     "op3_sharding": (op3_sharding, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
     "op7_pii": (op7_pii, None),
+    "op8_decontaminate": (op8_decontaminate, None),
     "op9_language": (op9_language, None),
+    "op10_licenses": (op10_licenses, None),
 }
