@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslab.llm import decontaminate, exact, langid, licenses, pii, sharding
+from corpuslab.llm import decontaminate, exact, jaccard, langid, licenses, pii, sharding
 from corpuslab.llm.common import table
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of all documents: 4-word shingles, Jaccard 0.85."""
+    return jaccard.component_rows(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot under the law of equal row counts."""
     return sharding.shard_digests(table(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ FROM d
 """
 
 QUERIES = {
+    "op2_jaccard_join": (op2_jaccard_join, None),
     "op3_sharding": (op3_sharding, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
     "op7_pii": (op7_pii, None),
