@@ -39,6 +39,7 @@ SHARED = 8  # shingles that linked sets share inside their prefixes
 BUFFER = 1 << 22  # shingles counted together inside a task
 FREQUENT = 16  # times in a full buffer
 MARGIN = 1e-9
+BITMAP_BITS = 28  # power of two: at most 32 MB
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -153,43 +154,52 @@ def span(side: str) -> dict[str, Column]:
 
 # -- comparing sets ----------------------------------------------------------------------------------------------
 
+def id_bitmap(ids: DataFrame, most_bits: int = BITMAP_BITS) -> np.ndarray:
+    """A set of ids as a bitmap of hashes: no id is missed, few others pass. Its size is bounded by ``most_bits``."""
+    bits = 1 << min(most_bits, max(6, (16 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    words = ids.select(F.shiftright(place, 6).cast("int").alias("w"), F.expr("1L").alias("one"), (place % 64).cast("int").alias("b"))
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(one, b)")).alias("v")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[words.column("w").to_numpy()] = words.column("v").to_numpy()
+    return bitmap
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """``id, bag``: sorted shingle hashes of the wanted documents. One sort-merge join, whatever the sizes."""
-    rows = docs.select(F.col(key).cast("bigint").alias("id"), text_bytes(text).alias("data"))
-    rows = rows.join(wanted.select("id").hint("merge"), "id").select("id", "data")
+    """``id, bag``: distinct shingle hashes of all wanted documents (and a few others); texts are not shuffled."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(wanted.select("id")))
+    place = F.xxhash64(F.col("id"))
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), text_bytes(text).alias("data")).select("id", "data", place.alias("h"))
 
     def work():
         hashes = WordHashes()
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            bags = [np.unique(shingle_hashes(hashes.of(split_words(d)), k)).tobytes() for d in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], ["id", "bag"])
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            at = batch.column(2).to_numpy() & (len(bitmap.value) * 64 - 1)
+            hit = np.flatnonzero(bitmap.value[at >> 6] >> (at & 63) & 1)
+            if not len(hit):
+                return None
+            batch = batch.take(pa.array(hit))
+            bags = [np.unique(shingle_hashes(hashes.of(split_words(d)), k)) for d in batch.column(1).to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in bags]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bags).view(np.int64)))
+            return pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "bag"])
 
         return step
 
-    return map_batches(rows, work, "id long, bag binary")
+    return map_batches(rows, work, "id long, bag array<long>").filter("id IS NOT NULL")
 
 
 def compare(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """``a, b, shared, joint``: sizes of intersection and union of distinct pairs."""
-
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        shared, joint = [], []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            same = int((y[at] == x).sum())
-            shared.append(same)
-            joint.append(len(x) + len(y) - same)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(joint, pa.int64())],
-            ["a", "b", "shared", "joint"])
+    """``a, b, shared, joint``: sizes of intersection and union of distinct pairs, row by row in the JVM.
 
+    Hints keep these sort-merge joins at every size: pairs grow with the table, and a hot side can be split.
+    """
     bag = lambda side: bags.select(F.col("id").alias(side), F.col("bag").alias(f"bag_{side}"))
     both = pairs.select("a", "b").hint("merge").join(bag("a"), "a").hint("merge").join(bag("b"), "b")
-    return map_batches(both.select("a", "b", "bag_a", "bag_b"), lambda: step, "a long, b long, shared long, joint long")
+    shared = F.size(F.array_intersect("bag_a", "bag_b")).cast("bigint")
+    sized = both.select("a", "b", shared.alias("shared"), (F.size("bag_a") + F.size("bag_b")).cast("bigint").alias("sum"))
+    return sized.dropDuplicates(["a", "b"]).select("a", "b", "shared", (F.col("sum") - F.col("shared")).alias("joint"))
 
 
 def linked(percent: int) -> Column:
@@ -216,9 +226,9 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
         "shingle", "id", "n", "pos", F.col("leader.id").alias("l_id"), F.col("leader.n").alias("l_n"),
         F.col("leader.pos").alias("l_pos")), "jaccard-lists")
 
-    wanted = lists.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n")).filter(
+    wanted = lists.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")).filter(
         F.col("c") >= needed(F.col("n"), percent))
-    bags = written_table(full_sets(docs, wanted, k, key, text).dropDuplicates(["id"]), "jaccard-bags")
+    bags = written_table(full_sets(docs, wanted, k, key, text), "jaccard-bags")
 
     # every entry against the leader of its list
     first = lists.filter("id <> l_id").filter(may_link(entry(""), entry("l_"), percent)).groupBy(
