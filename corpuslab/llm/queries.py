@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslab.llm import decontaminate, exact, jaccard, langid, licenses, pii, sharding
+from corpuslab.llm import decontaminate, exact, jaccard, langid, licenses, lines, pages, pii, sharding
 from corpuslab.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return pages.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of all documents: 4-word shingles, Jaccard 0.85."""
     return jaccard.component_rows(table(spark, sf_dir, "documents"))
@@ -23,6 +28,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without chunks of lines that occur earlier."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.pii_digests(table(spark, sf_dir, "documents"))
@@ -55,9 +65,11 @@ FROM d
 """
 
 QUERIES = {
+    "op1_html_extraction": (op1_html_extraction, None),
     "op2_jaccard_join": (op2_jaccard_join, None),
     "op3_sharding": (op3_sharding, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
+    "op5_line_dedup": (op5_line_dedup, lines.SQL),
     "op7_pii": (op7_pii, None),
     "op8_decontaminate": (op8_decontaminate, None),
     "op9_language": (op9_language, None),
