@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslab.llm import decontaminate, exact, jaccard, langid, licenses, lines, pages, pii, sharding
+from corpuslab.llm import decontaminate, exact, jaccard, langid, licenses, lines, mixing, pages, pii, sharding
 from corpuslab.llm.common import table
 
 
@@ -33,6 +33,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell share, calibrated probability and draw of all documents; targets: present marginals to the power 0.9."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return mixed.drop("text")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.pii_digests(table(spark, sf_dir, "documents"))
@@ -70,6 +76,7 @@ QUERIES = {
     "op3_sharding": (op3_sharding, None),
     "op4_exact_dedup": (op4_exact_dedup, EXACT_SQL),
     "op5_line_dedup": (op5_line_dedup, lines.SQL),
+    "op6_mixing": (op6_mixing, None),
     "op7_pii": (op7_pii, None),
     "op8_decontaminate": (op8_decontaminate, None),
     "op9_language": (op9_language, None),
