@@ -8,13 +8,18 @@ Sets are the distinct ``k``-word shingles of whole texts. Two sets link when ``1
    ``SHARED`` shingles of prefixes of length ``n - ceil(percent * n / 100) + SHARED``. Prefixes are the index lists.
 3. Skipping inside index lists: an entry holds the position of the shingle in its set. A pair of entries whose
    positions or sizes rule out the needed overlap is skipped.
-4. Skipping by answers: in every list the entries are first compared with one leader only. What links forms groups with
-   a leader and a radius (largest Jaccard distance of a member). Whole groups are then compared through their leaders:
-   as the distance is a metric, the answer for the leader settles all members when it is further away than the radii
-   and the threshold together. Only the few groups in between are compared member by member.
+4. Skipping by answers: in every list the entries are first compared with one leader only. Sets that resemble a leader
+   form a unit, whether they link with it or not, and their answers follow from the leader's:
 
-All links between different groups are found; links inside a group need not be listed, since the result is the
-component of every document. Exact: sets are compared as 64-bit shingle hashes, everything else follows from them.
+   * Across units, whole units are compared through their leaders. As the Jaccard distance is a metric, the leaders'
+     distance settles all members when it exceeds the units' radii and the threshold together.
+   * Inside a unit with leader ``o`` only differences are joined. With ``Dx = o - x`` and ``Ax = x - o``,
+     ``|x & y| = |o| - |Dx| - |Dy| + |Dx & Dy| + |Ax & Ay|``. Two members that do not both link with ``o`` must
+     therefore share so many of their (few) differences that a prefix of those, rarest first, finds them. So a group of
+     near copies costs as much as its differences, not the square of its size.
+
+Links that could join two components are all found; a link between two sets that both link with their unit's leader
+need not be listed, since the result is the component of every document. Exact: sets are compared as 64-bit shingle hashes, everything else follows from them.
 
 Edge cases: null and empty texts and texts without a word have no shingle and link with nothing (their component is
 their own id); a text with fewer than ``k`` words is one shingle; repeated rows share class and component (an id may repeat
@@ -24,6 +29,7 @@ only with its text); a row without id shares the component of its class, if that
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,7 @@ SHARED = 8  # shingles that linked sets share inside their prefixes
 BUFFER = 1 << 22  # shingles counted together inside a task
 FREQUENT = 16  # times in a full buffer
 MARGIN = 1e-9
+ALIKE = 0.4  # least similarity of a unit's member to its leader
 BITMAP_BITS = 28  # power of two: at most 32 MB
 
 
@@ -206,6 +213,94 @@ def linked(percent: int) -> Column:
     return F.col("shared") * 100 >= F.col("joint") * percent
 
 
+# -- units -------------------------------------------------------------------------------------------------------
+
+def units_of(near: DataFrame, percent: int) -> DataFrame:
+    """``id, unit, far, hit``: members of units, their distance to the leader ``unit`` and whether they link with it.
+
+    A leader is no member itself; a member takes the most similar of its leaders.
+    """
+    alike = near.filter(F.col("shared") >= ALIKE * F.col("joint"))
+    leaders = alike.select("a").distinct().join(alike.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+    best = F.min(F.struct((1 - F.col("shared") / F.col("joint")).alias("far"), F.col("a").alias("unit"), linked(percent).alias("hit")))
+    return alike.join(leaders, "a").groupBy(F.col("b").alias("id")).agg(best.alias("m")).select("id", "m.unit", "m.far", "m.hit")
+
+
+def links_inside(units: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of one unit of which at least one does not link with the leader."""
+    bag = lambda side: bags.select(F.col("id").alias(side), F.col("bag").alias(f"bag_{side}"))
+    active = units.filter("NOT hit").select("unit").distinct()  # elsewhere all members are in one component
+    both = units.join(active, "unit").hint("merge").join(bag("id"), "id").hint("merge").join(bag("unit"), "unit")
+    # short of linking with the leader: negative for linked members
+    rate = percent / (100 + percent)
+    short = rate * (F.size("bag_unit") + F.size("bag_id")) - F.size(F.array_intersect("bag_unit", "bag_id"))
+    slack = (1 - 2 * rate) * F.size("bag_unit")
+    tagged = F.concat(
+        F.transform(F.array_except("bag_id", "bag_unit"), lambda e: F.struct(e.alias("e"), F.lit(True).alias("added"))),
+        F.transform(F.array_except("bag_unit", "bag_id"), lambda e: F.struct(e.alias("e"), F.lit(False).alias("added"))))
+    differ = both.select("id", "unit", "hit", short.alias("short"), slack.alias("slack"), tagged.alias("tagged"))
+    rows = differ.select("id", "unit", "hit", "short", "slack", F.size("tagged").alias("n"), F.explode("tagged").alias("t")).select(
+        "id", "unit", "hit", "short", "slack", "n", "t.e", "t.added")
+    rows = written_table(rows, "jaccard-differences")
+    often = rows.groupBy("unit", "e", "added").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    ranked = rows.join(often, ["unit", "e", "added"], "left").withColumn(
+        "pos", F.row_number().over(Window.partitionBy("id", "unit").orderBy(F.coalesce("times", F.lit(1)), "e", "added")))
+    # two unlinked members share at least short + slack differences, a linked and an unlinked one at least
+    # the unlinked one's short and the linked one's short + slack
+    least = lambda c: F.greatest(F.lit(1), F.ceil(c - MARGIN))
+    ranked = ranked.withColumns({
+        "inner": F.col("n") - least(F.col("short") + F.col("slack")) + 1, "outer": F.col("n") - least(F.col("short")) + 1})
+    index = ranked.filter("times > 1").filter(F.col("pos") <= F.when(F.col("hit"), F.col("inner")).otherwise(F.col("outer")))
+    index = written_table(index.select("unit", "e", "added", "id", "hit", (F.col("pos") <= F.col("inner")).alias("early")), "jaccard-index")
+    x, y = index.filter("NOT hit").alias("x"), index.alias("y")
+    same = (F.col("x.unit") == F.col("y.unit")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.added") == F.col("y.added"))
+    allowed = F.col("y.hit") | (F.col("x.early") & F.col("y.early") & (F.col("x.id") < F.col("y.id")))
+    met = x.join(y, same & allowed).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    return compare(written_table(met, "jaccard-inside"), bags).filter(linked(percent)).select("a", "b")
+
+
+def links_across(lists: DataFrame, units: DataFrame, near: DataFrame, bags: DataFrame, percent: int) -> list[DataFrame]:
+    """Links ``a, b`` between leaders of different units, and between members that the leaders' answers leave open."""
+    owned = lists.select("shingle", "id", "n", "pos").join(units, "id", "left").select(
+        "shingle", "id", "n", "pos", F.coalesce("unit", "id").alias("unit"), F.coalesce("far", F.lit(0.0)).alias("far"),
+        F.coalesce("hit", F.lit(True)).alias("hit"))
+    owned = written_table(owned, "jaccard-owned")
+    spans = owned.groupBy("shingle", "unit").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("pos").alias("before"), F.max(F.col("n") - F.col("pos") - 1).alias("after"))
+    in_list = Window.partitionBy("shingle")
+    spans = written_table(
+        spans.withColumn("_units", F.count(F.lit(1)).over(in_list)).filter("_units > 1").drop("_units"), "jaccard-spans")
+    met = spans.alias("x").join(
+        spans.alias("y"),
+        (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.unit") < F.col("y.unit")) & may_link(span("x"), span("y"), percent))
+    met = met.groupBy(F.col("x.unit").alias("a"), F.col("y.unit").alias("b")).agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.greatest("x.low", "y.low")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
+    met = written_table(met.select("a", "b"), "jaccard-met")
+
+    known = near.filter("a < b").join(met, ["a", "b"], "left_semi")
+    answers = written_table(compare(met.join(known, ["a", "b"], "left_anti"), bags).unionByName(known), "jaccard-answers")
+    radius = units.groupBy("unit").agg(F.max("far").alias("r"))
+    side = lambda c: radius.select(F.col("unit").alias(c), F.col("r").alias(f"r_{c}"))
+    judged = answers.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    distance = (1 - F.col("shared") / F.col("joint")).alias("distance")
+    limit = 1 - percent / 100 + MARGIN
+    judged = written_table(judged.select("a", "b", linked(percent).alias("hit"), distance, "r_a", "r_b"), "jaccard-judged")
+    reach = F.coalesce("r_a", F.lit(0.0)) + F.coalesce("r_b", F.lit(0.0))
+    unsettled = judged.filter("r_a IS NOT NULL OR r_b IS NOT NULL").filter(F.col("distance") - reach <= limit).select(
+        "a", "b", F.col("hit").alias("met"), "distance")
+    part = lambda end, own: owned.select(
+        "shingle", F.col("unit").alias(end), *[F.col(c).alias(f"{own}_{c}") for c in ("id", "n", "pos", "far", "hit")])
+    inner = unsettled.join(part("a", "x"), "a").join(
+        part("b", "y"), ["b", "shingle"]).filter(
+        (F.col("distance") - F.col("x_far") - F.col("y_far") <= limit) & ~(F.col("met") & F.col("x_hit") & F.col("y_hit"))
+        & ~((F.col("x_id") == F.col("a")) & (F.col("y_id") == F.col("b"))) & may_link(entry("x_"), entry("y_"), percent))
+    inner = inner.groupBy(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).agg(
+        F.count(F.lit(1)).alias("c"), F.max(F.greatest("x_n", "y_n")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
+    inner = written_table(inner.select("a", "b"), "jaccard-inner")
+    late = compare(inner, bags).filter(linked(percent)).select("a", "b")
+    return [judged.filter("hit").select("a", "b"), late]
+
+
 # -- the join ----------------------------------------------------------------------------------------------------
 
 def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,61 +326,14 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
     bags = written_table(full_sets(docs, wanted, k, key, text), "jaccard-bags")
 
     # every entry against the leader of its list
-    first = lists.filter("id <> l_id").filter(may_link(entry(""), entry("l_"), percent)).groupBy(
-        F.col("l_id").alias("a"), F.col("id").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.max(F.greatest("n", "l_n")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
+    first = lists.filter("id <> l_id").groupBy(F.col("l_id").alias("a"), F.col("id").alias("b")).agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.least("n", "l_n")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
     near = written_table(compare(first, bags), "jaccard-near")
-    links = near.filter(linked(percent)).select("a", "b")
-    groups = written_table(components(links, "jaccard-groups"), "jaccard-members")
-
-    # groups against groups, list by list
-    owned = lists.select("shingle", "id", "n", "pos").join(
-        groups.select(F.col("node").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    spans = owned.groupBy("shingle", "label").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("pos").alias("before"), F.max(F.col("n") - F.col("pos") - 1).alias("after"))
-    in_list = Window.partitionBy("shingle")
-    spans = written_table(
-        spans.withColumn("_groups", F.count(F.lit(1)).over(in_list)).filter("_groups > 1").drop("_groups"), "jaccard-spans")
-    met = spans.alias("x").join(
-        spans.alias("y"),
-        (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") < F.col("y.label")) & may_link(span("x"), span("y"), percent))
-    met = met.groupBy(F.col("x.label").alias("a"), F.col("y.label").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.greatest("x.low", "y.low")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
-    met = written_table(met.select("a", "b"), "jaccard-met")
-
-    # leaders of those groups, and the members of theirs whose distance to the leader is not known yet
-    active = met.select(F.explode(F.array("a", "b")).alias("label")).distinct()
-    members = groups.filter("node <> label").join(active, "label").select(F.col("label").alias("a"), F.col("node").alias("b"))
-    known = near.filter("a < b").select("a", "b", "shared", "joint")
-    asked = members.join(known, ["a", "b"], "left_anti").unionByName(met)
-    answers = written_table(compare(asked, bags).unionByName(known), "jaccard-answers")
-    distance = 1 - F.col("shared") / F.col("joint")
-    radius = members.join(answers, ["a", "b"]).groupBy(F.col("a").alias("label")).agg(F.max(distance).alias("r"))
-    side = lambda c: radius.select(F.col("label").alias(c), F.col("r").alias(f"r_{c}"))
-    judged = met.join(answers, ["a", "b"]).join(side("a"), "a", "left").join(side("b"), "b", "left")
-    judged = written_table(judged.select(
-        "a", "b", linked(percent).alias("hit"),
-        (distance - F.coalesce("r_a", F.lit(0.0)) - F.coalesce("r_b", F.lit(0.0)) <= 1 - percent / 100 + MARGIN).alias("open"),
-    ), "jaccard-judged")
-
-    # what neither the leaders' answer nor the radii settle is compared member by member
-    unsettled = judged.filter("open AND NOT hit").select("a", "b")
-    part = lambda side, own: owned.select(
-        "shingle", F.col("label").alias(side), F.col("id").alias(f"{own}_id"), F.col("n").alias(f"{own}_n"),
-        F.col("pos").alias(f"{own}_pos"))
-    inner = unsettled.join(part("a", "x"), "a").join(part("b", "y"), ["b", "shingle"]).filter(
-        may_link(entry("x_"), entry("y_"), percent))
-    inner = inner.groupBy(F.col("x_id").alias("a"), F.col("y_id").alias("b"), F.col("a").alias("la"), F.col("b").alias("lb")).agg(
-        F.count(F.lit(1)).alias("c"), F.max(F.greatest("x_n", "y_n")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
-    inner = written_table(inner, "jaccard-inner")
-    late = compare(inner, bags).filter(linked(percent)).join(inner, ["a", "b"]).select(
-        F.col("la").alias("a"), F.col("lb").alias("b"))
-
-    merged = components(judged.filter("hit").select("a", "b").unionByName(late), "jaccard-merged")
-    final = groups.join(merged.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left").select(
-        F.col("node").alias("id"), F.coalesce("top", "label").alias("component"))
-    alone = merged.join(groups.select("node"), "node", "left_anti").select(F.col("node").alias("id"), F.col("label").alias("component"))
-    of_id = final.unionByName(alone)
+    units = written_table(units_of(near, percent), "jaccard-units")
+    links = [near.filter(linked(percent)).select("a", "b"), links_inside(units, bags, percent),
+             *links_across(lists, units, near, bags, percent)]
+    merged = components(reduce(DataFrame.unionByName, links), "jaccard-merged")
+    of_id = merged.select(F.col("node").alias("id"), F.col("label").alias("component"))
     labels = classes.drop("prefix").join(of_id, "id", "left").select(
         "n", "d1", "d2", F.coalesce("component", "id").alias("component"))
     rows = sets.select("doc_id", "n", "d1", "d2").join(labels, ["n", "d1", "d2"], "left")
