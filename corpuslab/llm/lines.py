@@ -64,8 +64,9 @@ def repeated_chunks(chunked: DataFrame) -> DataFrame:
         body = chunk_text(F.col("lines"), c)
         return F.struct(F.md5(body.cast("binary")).alias("digest"), F.octet_length(body).alias("bytes"), c["n"].alias("n"), c["no"].alias("no"))
 
-    keyed = chunked.filter(F.size(long_ones) > 0).select("doc_id", F.explode(F.transform(long_ones, key)).alias("k"))
-    keyed = written_table(keyed.select("doc_id", "k.*"), "line-chunks")
+    # no filter below the explode: it would be pushed through the projections and repeat the hashing for every line
+    keyed = chunked.select("doc_id", F.explode_outer(F.transform(long_ones, key)).alias("k"))
+    keyed = written_table(keyed.filter(F.col("k").isNotNull()).select("doc_id", "k.*"), "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "no")
     names = ["digest", "bytes", "n"]
     often = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first")).filter("times > 1")
@@ -75,8 +76,9 @@ def repeated_chunks(chunked: DataFrame) -> DataFrame:
     # texts of the repeated chunks only; always the same kind of join, since repeats grow with the table
     asked = met.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("no").alias("asked"))  # a document's own chunks
     rows = chunked.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    texts = rows.select("doc_id", "lines", "chunks", F.explode("asked").alias("no")).select(
-        "doc_id", "no", chunk_text(F.col("lines"), F.get("chunks", F.col("no"))).alias("body"))
+    named = F.transform("asked", lambda no: F.struct(
+        no.alias("no"), chunk_text(F.col("lines"), F.get("chunks", no)).alias("body")))
+    texts = rows.select("doc_id", F.explode_outer(named).alias("t")).select("doc_id", "t.no", "t.body")
     texts = written_table(texts.distinct(), "line-texts")
     own = texts.select(F.col("doc_id").alias("_id"), F.col("no").alias("_no"), "body")
     first = texts.select(F.col("doc_id").alias("_fid"), F.col("no").alias("_fno"), F.col("body").alias("first_body"))
