@@ -18,7 +18,8 @@ from corpuslab.operators.joins import attach_bounded
 from corpuslab.operators.ordering import hash_sample, top_per_group
 
 MAX_CLUSTERS = 4096
-SEED_SAMPLE = 10_000
+SEED_ROUNDS = 5
+MOST_SEED_ROUNDS = 30
 DIRECT_ROWS = 20_000
 
 
@@ -44,23 +45,98 @@ class Fit:
     iterations: int
 
 
-def draw_points(vectors: DataFrame, n: int, id_col: str = "id", vec: str = "embedding", seed: str = "42") -> np.ndarray:
-    """At most ``n`` hash-sampled vectors as a local matrix (``n`` is a constant, not a share)."""
-    rows = hash_sample(vectors.select(id_col, vec), id_col, F.lit(n), seed=seed).orderBy(id_col).collect()
-    return np.array([r[vec] for r in rows], dtype=np.float64)
-
-
-def spread_seeds(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ seeding on a bounded sample; fewer seeds if there are fewer distinct points."""
-    chosen = [points[rng.integers(len(points))]]
+def spread_seeds(points: np.ndarray, k: int, rng: np.random.Generator, weights: np.ndarray | None = None) -> np.ndarray:
+    """k-means++ seeding on weighted points; fewer seeds if there are fewer distinct points."""
+    weights = np.ones(len(points)) if weights is None else np.asarray(weights, dtype=np.float64)
+    chosen = [points[rng.choice(len(points), p=weights / weights.sum())]]
     gap = pairwise_squared(points, chosen[0][None, :])[:, 0]
-    while len(chosen) < k and gap.sum() > 1e-12:
-        chosen.append(points[rng.choice(len(points), p=gap / gap.sum())])
+    while len(chosen) < k and (gap * weights).sum() > 1e-12:
+        share = gap * weights
+        chosen.append(points[rng.choice(len(points), p=share / share.sum())])
         gap = np.minimum(gap, pairwise_squared(points, chosen[-1][None, :])[:, 0])
         gap[gap < 1e-12] = 0.0
     return np.array(chosen)
 
 
+def first_look(vectors: DataFrame, restarts: int, seed: int, id_col: str, vec: str) -> tuple[int, float, list[np.ndarray], list[float]]:
+    """Rows, mean variance per dimension, a random vector per restart and the rows' total cost around it.
+
+    Raises on vectors with NaN or infinite values: distances to them mean nothing.
+    """
+    odd = F.max(F.exists(vec, lambda x: F.isnan(x) | (F.abs(x) == float("inf"))))
+    mean = vector_to_array(Summarizer.mean(array_to_vector(vx.as_double(F.col(vec)))))
+    picked = [F.min_by(vec, F.xxhash64(id_col, F.lit(f"{seed}/{r}"))).alias(f"v{r}") for r in range(restarts)]
+    row = vectors.agg(
+        F.count(F.lit(1)).alias("n"), odd.alias("odd"), mean.alias("mean"), F.avg(vx.sum_squares(F.col(vec))).alias("square"), *picked
+    ).first()
+    if row.n == 0:
+        raise ValueError("no vectors to cluster")
+    if row.odd:
+        raise ValueError("vectors with NaN or infinite values cannot be clustered")
+    center = np.array(row.mean)
+    spread = max(0.0, row.square - float(center @ center))
+    starts = [np.array(row[f"v{r}"], dtype=np.float64) for r in range(restarts)]
+    costs = [row.n * (spread + float(((v - center) ** 2).sum())) for v in starts]
+    return row.n, spread / len(center), starts, costs
+
+
+def oversample_pass(
+    vectors: DataFrame, centers: dict[int, np.ndarray], costs: dict[int, float], wanted: int, salt: str, id_col: str, vec: str
+) -> dict[int, tuple[float, np.ndarray]]:
+    """One scan: cost of all rows around each set of centres, and about ``wanted`` rows drawn by their share of ``costs``."""
+    schema = "model INT, cost DOUBLE, picked ARRAY<ARRAY<DOUBLE>>"
+
+    def draw(batches):
+        totals, picked = dict.fromkeys(centers, 0.0), {m: [] for m in centers}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            points = to_matrix(batch.column(0))
+            luck = batch.column(1).to_numpy().view(np.uint64)
+            for m, known in centers.items():
+                gaps = pairwise_squared(points, known).min(1)
+                gaps[gaps < 1e-12] = 0.0
+                totals[m] += float(gaps.sum())
+                turned = (luck + np.uint64((m + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) ^ (luck >> np.uint64(29))
+                turned = turned * np.uint64(0xBF58476D1CE4E5B9)
+                u = ((turned ^ (turned >> np.uint64(32))) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+                picked[m] += list(points[u * costs[m] < wanted * gaps])
+        yield pa.record_batch(
+            [pa.array(list(totals), pa.int32()), pa.array(list(totals.values()), pa.float64()),
+             pa.array([picked[m] for m in totals], pa.list_(pa.list_(pa.float64())))],
+            names=["model", "cost", "picked"],
+        )
+
+    luck = F.xxhash64(id_col, F.lit(salt)).alias("_luck")
+    drawn = vectors.select(vec, luck).mapInArrow(draw, schema).groupBy("model").agg(
+        F.sum("cost").alias("cost"), F.flatten(F.collect_list("picked")).alias("picked"))  # about ``wanted`` in all
+    return {r.model: (r.cost, np.array(r.picked, dtype=np.float64)) for r in drawn.collect()}
+
+
+def seed_candidates(
+    vectors: DataFrame, most: int, restarts: int, seed: int, id_col: str, vec: str
+) -> tuple[float, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Mean variance, and per restart candidate centres with the number of rows nearest to each.
+
+    Scalable k-means++: every round draws about ``2 * most`` rows by squared distance to the candidates so far, from all
+    rows, so a far or rare vector is as likely to be found in a large table as in a small one.
+    """
+    _, variance, starts, costs = first_look(vectors, restarts, seed, id_col, vec)
+    found = {r: v[None, :] for r, v in enumerate(starts)}
+    left = {r: c for r, c in enumerate(costs) if c > 1e-12}
+    for turn in range(MOST_SEED_ROUNDS):
+        if not left or (turn >= SEED_ROUNDS and all(len(found[r]) >= most for r in left)):
+            break
+        drawn = oversample_pass(vectors, {r: found[r] for r in left}, left, 2 * most, f"{seed}:{turn}", id_col, vec)
+        for r, (cost, picked) in drawn.items():
+            left[r] = cost
+            if len(picked):
+                found[r] = np.unique(np.vstack([found[r], picked]), axis=0)
+        left = {r: c for r, c in left.items() if c > 1e-12}
+    weights = lloyd_pass(vectors, found, vec)
+    return variance, {r: (found[r][weights[r].counts > 0], weights[r].counts[weights[r].counts > 0]) for r in found}
+
+
 def lloyd_pass(
     vectors: DataFrame, models: dict[int, np.ndarray], vec: str = "embedding", direct: bool = False
 ) -> dict[int, Stats]:
@@ -86,9 +162,9 @@ def lloyd_pass(
                 label = gaps.argmin(1)
                 counts[m] += np.bincount(label, minlength=len(centers))
                 costs[m] += np.bincount(label, weights=gaps[np.arange(len(label)), label], minlength=len(centers))
-                members = np.zeros((len(centers), len(label)))
-                members[label, np.arange(len(label))] = 1.0
-                sums[m] += members @ points
+                order = np.argsort(label, kind="stable")
+                present, first = np.unique(label[order], return_index=True)
+                sums[m][present] += np.add.reduceat(points[order], first, axis=0)
         rows = [(m, c, int(counts[m][c]), float(costs[m][c]), sums[m][c]) for m in tables for c in range(len(tables[m])) if counts[m][c]]
         if rows:
             yield pa.record_batch(
@@ -161,15 +237,13 @@ def fit_kmeans_scan(
     vec: str = "embedding",
 ) -> dict[int, Fit]:
     """Best of ``n_init`` restarts for every requested k, all fitted on the same scans."""
-    points = draw_points(vectors, SEED_SAMPLE, id_col, vec, str(seed))
-    if len(points) == 0:
-        raise ValueError("no vectors to cluster")
+    variance, candidates = seed_candidates(vectors, max(ks), n_init, seed, id_col, vec)
     starts = {}
     for k in ks:
         for restart in range(n_init):
-            rng = np.random.default_rng([seed, k, restart])
-            starts[(k, restart)] = spread_seeds(points, k, rng)
-    scaled_tol = tol * float(points.var(axis=0).mean())
+            points, weights = candidates[restart]
+            starts[(k, restart)] = spread_seeds(points, k, np.random.default_rng([seed, k, restart]), weights)
+    scaled_tol = tol * variance
     fits = run_lloyd(vectors, starts, max_iter, scaled_tol, vec)
     best: dict[int, Fit] = {}
     for (k, _), fit in zip(starts, fits):
@@ -213,16 +287,16 @@ def centroids(vectors: DataFrame, cluster: str = "cluster", vec: str = "embeddin
     )
 
 
-def with_distance(vectors: DataFrame, centers: DataFrame, cluster: str = "cluster", vec: str = "embedding", spread_by: str = "id") -> DataFrame:
+def with_distance(vectors: DataFrame, centers: DataFrame, cluster: str = "cluster", vec: str = "embedding") -> DataFrame:
     """Distance and squared distance of each vector to its own centre."""
     named = centers.withColumnRenamed("cluster", cluster)
-    joined = attach_bounded(vectors, named, [cluster], [spread_by], MAX_CLUSTERS)
+    joined = attach_bounded(vectors, named, [cluster], MAX_CLUSTERS)
     square = vx.squared_distance(F.col(vec), F.col("center"))
     return joined.withColumn("sq_distance", square).withColumn("distance", F.sqrt("sq_distance"))
 
 
-def inertia(vectors: DataFrame, centers: DataFrame, cluster: str = "cluster", vec: str = "embedding", spread_by: str = "id") -> DataFrame:
-    return with_distance(vectors, centers, cluster, vec, spread_by).agg(F.sum("sq_distance").alias("inertia"))
+def inertia(vectors: DataFrame, centers: DataFrame, cluster: str = "cluster", vec: str = "embedding") -> DataFrame:
+    return with_distance(vectors, centers, cluster, vec).agg(F.sum("sq_distance").alias("inertia"))
 
 
 def cluster_stats(labelled: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -247,7 +321,7 @@ def cluster_results(labelled: DataFrame, id_col: str = "id", cluster: str = "clu
     """Id, label, norm and the size of the row's cluster."""
     rows = labelled.select(F.col(id_col).alias("comment_id"), F.col(cluster).alias("cluster_label"), vx.norm(F.col(vec)).alias("embedding_norm"))
     sizes = cluster_sizes(labelled, cluster).withColumnRenamed(cluster, "cluster_label")
-    return attach_bounded(rows, sizes, ["cluster_label"], ["comment_id"], MAX_CLUSTERS)
+    return attach_bounded(rows, sizes, ["cluster_label"], MAX_CLUSTERS)
 
 
 def extremes(measured: DataFrame, nearest: int, farthest: int, cluster: str = "cluster", pos: str = "pos", keep: list[str] | None = None) -> DataFrame:
@@ -263,7 +337,9 @@ def extremes(measured: DataFrame, nearest: int, farthest: int, cluster: str = "c
     )
     rows = measured.select(F.col(cluster).alias("cluster"), pos, *keep, "distance", "sq_distance", F.inline(kinds))
     # ordering by the square gives the same ranks and avoids ties made by the root
-    order = [F.col("sq_distance") * F.col("sign"), F.col(pos) * F.col("sign")]
+    ties = [F.when(F.col("sign") > 0, F.col(c)).asc() for c in keep if c == "file"] + [
+        F.when(F.col("sign") < 0, F.col(c)).desc() for c in keep if c == "file"]
+    order = [F.col("sq_distance") * F.col("sign"), *ties, F.col(pos) * F.col("sign")]
     ranked = top_per_group(rows, ["cluster", "kind"], order, F.col("wanted"), max(nearest, farthest), [pos])
     return ranked.select("cluster", "kind", "rank", pos, *keep, "distance", "sq_distance")
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslab.operators.joins import latest_per_key, skew_join
+from corpuslab.operators.joins import latest_per_key
 from corpuslab.operators.ordering import running_offsets
 
 
@@ -14,10 +14,28 @@ def text_by_id(comments: DataFrame) -> DataFrame:
     return latest_per_key(comments, "id", ["file", "pos"], ["text"])
 
 
-def enrich_by_id(vectors: DataFrame, comments: DataFrame, row_key: list[str]) -> DataFrame:
-    """Text by id, empty where there is none. Positional ids repeat across files, so hot ids are sliced."""
-    found = skew_join(vectors, text_by_id(comments), ["id"], row_key)
-    return found.withColumn("text", F.coalesce("text", F.lit("")))
+def enrich_by_id(vectors: DataFrame, comments: DataFrame) -> DataFrame:
+    """Text by id over all files, empty where there is none."""
+    return vectors.join(text_by_id(comments), "id", "left").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def file_stem(name: Column) -> Column:
+    """File name without extension and without the endings that vector archives add to their source's name."""
+    return F.regexp_replace(name, r"(_embeddings|_deduplicated)*(\.[^.]*)?$", "")
+
+
+def enrich_per_file(vectors: DataFrame, comments: DataFrame) -> DataFrame:
+    """Text by id inside the vector's own file, else by position there, empty where there is neither.
+
+    Files are matched by their stem. If a file repeats an id, its last position wins.
+    """
+    own = comments.select(file_stem(F.col("file")).alias("_stem"), F.col("id"), F.col("pos").alias("_pos"), "text")
+    by_id = own.groupBy("_stem", "id").agg(F.max_by("text", "_pos").alias("_by_id"))
+    by_pos = own.groupBy("_stem", F.col("_pos").alias("pos")).agg(F.max("text").alias("_by_pos"))
+    rows = vectors.withColumn("_stem", file_stem(F.col("file")))
+    found = rows.join(by_id, ["_stem", "id"], "left").join(by_pos, ["_stem", "pos"], "left")
+    text = F.coalesce("_by_id", "_by_pos", F.lit("")).alias("text")
+    return found.select(*[c for c in vectors.columns if c != "text"], text)
 
 
 def enrich_by_position(vectors: DataFrame, comments: DataFrame) -> DataFrame:
@@ -33,13 +51,15 @@ def text_by_global_index(comments: DataFrame) -> DataFrame:
     """
     sizes = comments.groupBy("file").agg((F.max("pos") + 1).alias("_n"))
     offsets = running_offsets(sizes, ["file"], "_n", "_offset").select("file", "_offset")
-    rows = skew_join(comments.select("file", "pos", "text"), offsets, ["file"], ["pos"], "inner")
+    rows = comments.select("file", "pos", "text").join(offsets, "file")
     return rows.select((F.col("_offset") + F.col("pos")).alias("original_pos"), "text")
 
 
 def enrich_priority(vectors: DataFrame, comments: DataFrame, row_key: list[str], few: bool = False) -> DataFrame:
     """Text by original position first, by id where that finds nothing, else NULL.
 
+    A row whose original position is unknown (NULL) is looked up by id only.
+
     With ``few`` (a short stored table, such as the picked rows of a report) texts are first reduced to
     wanted keys, which Catalyst broadcasts when the table's size allows, so most text is never shuffled.
     """
@@ -48,7 +68,10 @@ def enrich_priority(vectors: DataFrame, comments: DataFrame, row_key: list[str],
     if few:
         by_index = by_index.join(vectors.select("original_pos").distinct(), "original_pos", "left_semi")
         by_id = comments.join(vectors.select("id").distinct(), "id", "left_semi")
-    first = vectors.join(by_index.withColumnRenamed("text", "_by_index"), "original_pos", "left")
+    # unknown positions get spread keys that match nothing, so they do not meet in one task
+    none = -1 - F.pmod(F.xxhash64(*row_key), F.lit(1 << 30))
+    keyed = vectors.withColumn("_index", F.coalesce("original_pos", none))
+    by_index = by_index.select(F.col("original_pos").alias("_index"), F.col("text").alias("_by_index"))
+    first = keyed.join(by_index, "_index", "left").drop("_index")
     ids = text_by_id(by_id).withColumnRenamed("text", "_by_id")
-    both = first.join(ids, "id", "left") if few else skew_join(first, ids, ["id"], row_key)
-    return both.withColumn("text", F.coalesce("_by_index", "_by_id")).drop("_by_index", "_by_id")
+    return first.join(ids, "id", "left").withColumn("text", F.coalesce("_by_index", "_by_id")).drop("_by_index", "_by_id")

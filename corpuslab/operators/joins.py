@@ -1,60 +1,10 @@
-"""Joins that stay even when one key holds a large share of the rows."""
+"""Join helpers. Hot keys are left to adaptive execution, which splits skewed sides of sort-merge joins by size."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-HOT_ROWS = 1_000_000
-
-
-def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys above ``hot_rows`` with the number of slices each is split into.
-
-    At most ``HOT_KEYS`` rows by construction, and a key outside this list holds less than
-    1/HOT_KEYS of the table, so the result is safe to broadcast and the rest is safe to hash.
-    """
-    return (
-        facts.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"))
-        .limit(HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_slices"))
-    )
-
-
-def skew_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join many rows per key (``facts``) to one row per key (``dim``).
-
-    Hot keys are cut into slices of about ``hot_rows`` rows by a hash of ``spread_by`` (columns that
-    tell rows of one key apart) and only their ``dim`` rows are copied, once per slice. Every row
-    still meets its match exactly once.
-    """
-    if how not in ("left", "inner"):
-        raise ValueError("skew_join supports left and inner")
-    hot = F.broadcast(hot_keys(facts, keys, hot_rows))
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    sliced = (
-        facts.join(hot, keys, "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(*spread_by), slices).cast("int"))
-        .drop("_slices")
-    )
-    copied = (
-        dim.join(hot, keys, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-        .drop("_slices")
-    )
-    return sliced.join(copied, [*keys, "_slice"], how).drop("_slice")
-
 
 def small_table(df: DataFrame, max_rows: int) -> DataFrame | None:
     """``df`` as a broadcast-hinted local table if it has at most ``max_rows`` rows, else None.
@@ -67,14 +17,10 @@ def small_table(df: DataFrame, max_rows: int) -> DataFrame | None:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def attach_bounded(
-    facts: DataFrame, dim: DataFrame, keys: list[str], spread_by: list[str], max_rows: int, how: str = "inner"
-) -> DataFrame:
-    """Broadcast ``dim`` when its checked size allows, else fall back to :func:`skew_join`."""
+def attach_bounded(facts: DataFrame, dim: DataFrame, keys: list[str], max_rows: int, how: str = "inner") -> DataFrame:
+    """Broadcast ``dim`` when its checked size allows, else an ordinary join."""
     local = small_table(dim, max_rows)
-    if local is not None:
-        return facts.join(local, keys, how)
-    return skew_join(facts, dim, keys, spread_by, how)
+    return facts.join(dim if local is None else local, keys, how)
 
 
 def missing_keys(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
@@ -114,6 +60,6 @@ def ttl_lookup(
     """Requests with the latest entry of their key and whether it is still fresh (strictly younger than ``ttl``)."""
     payload = [c for c in entries.columns if c != key]
     newest = latest_per_key(entries, key, [stamp], payload)
-    found = skew_join(requests, newest, [key], requests.columns)
+    found = requests.join(newest, key, "left")
     fresh = (now - F.col(stamp)) < F.expr(ttl)
     return found.withColumn("hit", F.coalesce(fresh, F.lit(False)))

@@ -64,7 +64,7 @@ def seeded_inertia(vectors: DataFrame, seeds: np.ndarray, ks: list[int], vec: st
 
 
 def elbow_scan(
-    vectors: DataFrame, k_min: int = rules.K_MIN, k_max: int = rules.K_MAX_ELBOW, sample: int | None = 4096,
+    vectors: DataFrame, k_min: int = rules.K_MIN, k_max: int = rules.K_MAX_ELBOW, sample: int | None = None,
     n: int | None = None, seed: int = 42, id_col: str = "id", vec: str = "embedding", n_init: int = 3,
 ) -> Scan:
     """Inertia over k; models are fitted on ``sample`` rows (None: all) and scored on all rows."""

@@ -1,4 +1,4 @@
-"""End-to-end jobs: profile, deduplicate, cluster, embed."""
+"""End-to-end jobs: profile, deduplicate, cluster."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from corpuslab.functions import rules
 from corpuslab.operators import cluster as cl
 from corpuslab.operators import select_k as sk
 from corpuslab.operators.dedup import dedup_summary, dedup_vectors, verify_dedup
-from corpuslab.operators.enrich import enrich_priority
+from corpuslab.operators.enrich import enrich_per_file, enrich_priority
 from corpuslab.operators.profile import analysis_report
 from corpuslab.session import written_table
 from corpuslab.sources import sinks
@@ -35,6 +35,7 @@ class ClusterJob:
     nearest: int = 100
     farthest: int = 500
     tag: str = "kmeans"
+    texts: str = "file"  # comment text by id or position in the own file; "index": by original position first
 
 
 # The seven variants of the analysis.
@@ -43,14 +44,14 @@ PRESETS = {
     "dedup": ClusterJob(k=3, dedup=True, nearest=1000, farthest=1000),
     "silhouette": ClusterJob(choose="silhouette", adaptive=False, dedup=True, nearest=500, farthest=500),
     "silhouette_fast": ClusterJob(
-        choose="silhouette", dedup=True, normalize=True, pca_dims=100, sample=4096, n_init=3, nearest=1000, farthest=1000
+        choose="silhouette", dedup=True, normalize=True, pca_dims=100, n_init=3, nearest=1000, farthest=1000
     ),
     "elbow": ClusterJob(
-        choose="elbow", k_max=rules.K_MAX_ELBOW, dedup=True, normalize=True, sample=4096, n_init=3,
+        choose="elbow", k_max=rules.K_MAX_ELBOW, dedup=True, normalize=True, n_init=3,
         nearest=100, farthest=100, tag="elbow_kmeans",
     ),
     "fixed": ClusterJob(k=3, choose="guarded", dedup=True, normalize=True, nearest=1000, farthest=1000, tag="fixed_k"),
-    "report": ClusterJob(k=10, nearest=100, farthest=500),
+    "report": ClusterJob(k=10, nearest=100, farthest=500, texts="index"),
 }
 
 
@@ -66,11 +67,16 @@ class ClusterOutcome:
     extremes: DataFrame
     manifest: DataFrame
     summary: DataFrame
+    texts: DataFrame | None = None  # every row's label with its comment
 
 
 def prepare_features(vectors: DataFrame, job: ClusterJob) -> DataFrame:
-    """Deduplicate, normalise and project as the job asks; ``pos`` identifies a row."""
-    out = dedup_vectors(vectors, ["pos"]).drop("copies") if job.dedup else vectors
+    """Deduplicate, normalise and project as the job asks; ``file, pos`` identify a row, repeats are refused."""
+    again = vectors.groupBy("file", "pos").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if again is not None:
+        raise ValueError(f"{again.n} vectors share file {again.file!r} and position {again.pos}")
+    named = vectors.withColumn("file", F.coalesce("file", F.lit("")))
+    out = dedup_vectors(named, ["file", "pos"]).drop("copies") if job.dedup else named
     if job.normalize:
         out = cl.l2_normalize(out)
     return cl.pca_project(out, job.pca_dims)
@@ -81,14 +87,11 @@ def choose_k(features: DataFrame, job: ClusterJob, n: int) -> sk.Scan:
         return sk.Scan(min(job.k, n), {})
     if job.choose == "given":
         return sk.Scan(job.k, {})
-    try:
-        if job.choose == "elbow":
-            return sk.elbow_scan(features, rules.K_MIN, job.k_max, job.sample, n, job.seed, n_init=job.n_init)
-        return sk.silhouette_choice(
-            features, rules.K_MIN, job.k_max, job.adaptive, job.sample, n, job.seed, n_init=job.n_init
-        )
-    except Exception:  # a scan that cannot run falls back to a plain choice
-        return sk.Scan(rules.fallback_k(n), {})
+    if job.choose == "elbow":
+        return sk.elbow_scan(features, rules.K_MIN, job.k_max, job.sample, n, job.seed, n_init=job.n_init)
+    return sk.silhouette_choice(
+        features, rules.K_MIN, job.k_max, job.adaptive, job.sample, n, job.seed, n_init=job.n_init
+    )
 
 
 def final_fit(features: DataFrame, job: ClusterJob, n: int, scan: sk.Scan) -> cl.Fit:
@@ -111,13 +114,17 @@ def run_cluster_job(vectors: DataFrame, comments: DataFrame | None, job: Cluster
     original = vectors.count() if job.dedup else n
     scan = choose_k(features, job, n)
     fit = final_fit(features, job, n, scan)
-    labelled = cl.assign(features, fit.centers)
+    labelled = written_table(cl.assign(features, fit.centers), "labelled")  # one assignment for all reports
     centers = cl.centers_frame(spark, fit.centers)
-    measured = cl.with_distance(labelled, centers, spread_by="pos")
+    measured = cl.with_distance(labelled, centers)
     picked = cl.extremes(measured, job.nearest, job.farthest, keep=["id", "file", "original_pos"])
     results = cl.cluster_results(labelled)
+    texts = None
     if comments is not None:
-        picked = enrich_priority(written_table(picked, "picked"), comments, ["pos", "kind"], few=True)
+        texts = enrich_per_file(labelled.drop("embedding"), comments)
+        picked = written_table(picked, "picked")
+        by_index = job.texts == "index"
+        picked = enrich_priority(picked, comments, ["file", "pos", "kind"], few=True) if by_index else enrich_per_file(picked, comments)
     sizes = cl.cluster_sizes(labelled)
     manifest = cl.files_manifest(picked, sizes, base, job.tag)
     counts = F.map_from_entries(F.collect_list(F.struct(
@@ -138,11 +145,13 @@ def run_cluster_job(vectors: DataFrame, comments: DataFrame | None, job: Cluster
         "per_cluster_counts",
         "outputs",
     )
-    return ClusterOutcome(scan, fit, labelled, results, cl.cluster_stats(labelled), picked, manifest, summary)
+    return ClusterOutcome(scan, fit, labelled, results, cl.cluster_stats(labelled), picked, manifest, summary, texts)
 
 
 def write_cluster_job(outcome: ClusterOutcome, path: str) -> None:
     sinks.write_csv(outcome.results, f"{path}/results")
+    if outcome.texts is not None:
+        sinks.write_csv(outcome.texts, f"{path}/results_with_text")
     sinks.write_csv(outcome.extremes.drop("embedding"), f"{path}/cluster_extremes")
     sinks.write_extremes(outcome.extremes, f"{path}/clusters")
     sinks.write_report(outcome.stats, f"{path}/statistics")

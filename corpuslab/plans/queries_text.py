@@ -62,7 +62,7 @@ def clean_comments(spark, sf):
     docs = st.texts(spark, sf).select("doc_id", "text").withColumn("page_id", F.col("doc_id") % size)
     raw = F.concat_ws(" ", "text", "url")
     return (
-        joins.skew_join(docs, pages, ["page_id"], ["doc_id"], "inner")
+        docs.join(pages, "page_id")
         .select("doc_id", tx.clean_comment(raw).alias("cleaned"))
         .filter(F.length("cleaned") > 0)
     )
@@ -347,7 +347,7 @@ WITH {st.COMMENTS_SQL}, texts AS (
 SELECT vec_id, coalesce(text, '') AS text FROM embeddings LEFT JOIN texts ON CAST(vec_id AS VARCHAR) = id""")
 def enrich_by_id(spark, sf):
     shared = st.comments(spark, sf).withColumn("id", (F.col("doc_id") % 400).cast("string"))
-    found = enrich.enrich_by_id(_keys(spark, sf), shared, ["pos"])
+    found = enrich.enrich_by_id(_keys(spark, sf), shared)
     return found.select(F.col("pos").alias("vec_id"), "text")
 
 

@@ -235,7 +235,7 @@ MEASURED_SQL = f"""{st.CENTERS_SQL}, measured AS (
 def _measured(spark, sf):
     emb = _emb(spark, sf)
     centers = cl.centroids(emb, "label").select("cluster", "center")
-    return cl.with_distance(emb, centers, "label", spread_by="vec_id")
+    return cl.with_distance(emb, centers, "label")
 
 
 @register("cluster_extremes", f"""
@@ -281,7 +281,7 @@ def cluster_stats(spark, sf):
 def cluster_inertia(spark, sf):
     emb = _emb(spark, sf)
     centers = cl.centroids(emb, "label").select("cluster", "center")
-    return _round(cl.inertia(emb, centers, "label", spread_by="vec_id"), "inertia")
+    return _round(cl.inertia(emb, centers, "label"), "inertia")
 
 
 @register("assign_nearest_centroid", f"""
@@ -330,7 +330,7 @@ def kmeans_lloyd(spark, sf):
     emb = _emb(spark, sf)
     fit = cl.run_lloyd(emb, {(LLOYD_K, 0): lowest_ids(emb, LLOYD_K)}, LLOYD_ROUNDS, -1.0)[0]
     labelled = cl.assign(emb, fit.centers)
-    measured = cl.with_distance(labelled, cl.centers_frame(spark, fit.centers), spread_by="vec_id")
+    measured = cl.with_distance(labelled, cl.centers_frame(spark, fit.centers))
     out = measured.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("sq_distance").alias("inertia"))
     return _round(out, "inertia")
 
@@ -406,7 +406,7 @@ def pca_project(spark, sf):
 @register("kmeans_fit")
 def kmeans_fit(spark, sf):
     emb = st.vectors(spark, sf)
-    fit = cl.fit_kmeans(emb, 5, n_init=3)
+    fit = cl.fit_kmeans(emb, 5)
     return cl.cluster_sizes(cl.assign(emb.drop("cluster"), fit.centers)).withColumn("inertia", rounded(F.lit(fit.inertia)))
 
 

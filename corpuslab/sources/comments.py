@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from corpuslab import schemas
 from corpuslab.functions import text as tx
 from corpuslab.functions.vectors import from_matrix
-from corpuslab.operators.joins import skew_join
 from corpuslab.operators.ordering import position_in_group
 
 CHUNK_ROWS = 10_000
@@ -30,6 +30,20 @@ def file_key() -> Column:
     return F.when(folder != "", folder).otherwise(_decoded(F.col("_metadata.file_name")))
 
 
+def relative_key(root: str) -> Column:
+    """Like :func:`file_key`, but files keep their folders below ``root``, so equal names in two folders stay apart."""
+    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    path = _decoded(F.col("_metadata.file_path"))
+    below = F.when(F.instr(path, plain) > 0, F.substr(path, F.instr(path, plain) + F.lit(len(plain))))
+    folder = _decoded(_decoded(F.regexp_extract(F.col("_metadata.file_path"), "/file=([^/]+)/", 1)))
+    return F.when(folder != "", folder).otherwise(F.coalesce(below, _decoded(F.col("_metadata.file_name"))))
+
+
+def json_items(content: Column) -> Column:
+    """Items of a JSON array, NULL for anything else. The size limit of a parsed value holds per item, not per file."""
+    return F.from_json(content, "array<variant>")
+
+
 def _decoded(c: Column) -> Column:
     """Undo percent escapes; a plus sign in a name is a plus sign. Folder names carry two layers."""
     return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
@@ -55,10 +69,7 @@ def parse_comment_files(files: DataFrame) -> DataFrame:
 
     The id is the item's own, else its raw position (skipped items count).
     """
-    parsed = files.withColumn("_doc", F.try_parse_json("content"))
-    items = parsed.select(
-        "file", "first_pos", F.posexplode(F.try_variant_get("_doc", "$", "array<variant>")).alias("_i", "_item")
-    )
+    items = files.select("file", "first_pos", F.posexplode(json_items(F.col("content"))).alias("_i", "_item"))
     is_text = F.schema_of_variant("_item") == "STRING"
     comment = F.try_variant_get("_item", "$.comment", "string")
     pos = (F.col("first_pos") + F.col("_i")).cast("bigint")
@@ -78,23 +89,21 @@ def _usable(item: Column) -> Column:
 
 def count_comments(files: DataFrame) -> DataFrame:
     """``file, first_pos, comments`` of files with at least one usable comment, without exploding."""
-    items = F.try_variant_get(F.try_parse_json("content"), "$", "array<variant>")
+    items = json_items(F.col("content"))
     number = F.size(F.filter(items, _usable)).cast("bigint")
     return files.select("file", "first_pos", number.alias("comments")).filter("comments > 0")
 
 
 def rejected_files(files: DataFrame) -> DataFrame:
     """Files without any usable comment, with the reason; narrow, evaluated per file."""
-    doc = F.try_parse_json("content")
-    items = F.try_variant_get("_doc", "$", "array<variant>")
     usable = F.exists("_items", _usable)
+    other = F.try_parse_json("content").isNotNull()
     return (
-        files.select("file", doc.alias("_doc"))
-        .withColumn("_items", items)
+        files.select("file", json_items(F.col("content")).alias("_items"), other.alias("_other"))
         .withColumn(
             "reason",
-            F.when(F.col("_doc").isNull(), F.lit(MALFORMED))
-            .when(~F.startswith(F.schema_of_variant("_doc"), F.lit("ARRAY")), F.lit(NOT_AN_ARRAY))
+            F.when(F.col("_items").isNull() & ~F.col("_other"), F.lit(MALFORMED))
+            .when(F.col("_items").isNull(), F.lit(NOT_AN_ARRAY))
             .when(~F.coalesce(usable, F.lit(False)), F.lit(NO_COMMENTS)),
         )
         .filter(F.col("reason").isNotNull())
@@ -178,7 +187,7 @@ def join_replies(threads: DataFrame, replies: DataFrame) -> DataFrame:
     )
     open_threads = threads.filter("_replies > 0").select("video_id", "page", "item", "parent_id")
     cleaned = replies.select("parent_id", "seq", tx.clean_comment(F.col("text")).alias("text"))
-    below = skew_join(cleaned, open_threads, ["parent_id"], ["seq"], "inner").drop("parent_id")
+    below = cleaned.join(open_threads, "parent_id").drop("parent_id")
     return tops.unionByName(below).filter(F.length("text") > 0)
 
 
@@ -194,7 +203,8 @@ def video_stats(videos: DataFrame, count: str = "comment_count") -> DataFrame:
 def import_npz(archives: DataFrame, rows_per_batch: int = 8192) -> DataFrame:
     """Decode vector archives (``path, content`` as given by the binaryFile source) to vector rows.
 
-    An archive lacking ``embeddings`` or ``ids`` fails the job, as it cannot be read.
+    An archive lacking ``embeddings`` or ``ids`` fails the job, as it cannot be read; without
+    ``original_indices`` the original position is unknown (NULL).
     """
     schema = pa.schema([
         ("file", pa.string()), ("pos", pa.int64()), ("id", pa.string()),
@@ -216,7 +226,7 @@ def import_npz(archives: DataFrame, rows_per_batch: int = 8192) -> DataFrame:
                         pa.array(pos, pa.int64()),
                         pa.array(ids[at:at + len(part)].astype(str).tolist(), pa.string()),
                         from_matrix(np.asarray(part, dtype=np.float32)),
-                        pa.array(pos if origin is None else origin[at:at + len(part)], pa.int64()),
+                        pa.array([None] * len(part) if origin is None else origin[at:at + len(part)], pa.int64()),
                     ], schema=schema)
 
     return archives.select("path", "content").mapInArrow(decode, schemas.VECTORS)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslab.operators.joins import skew_join
 from corpuslab.operators.ordering import BLOCK, running_offsets
 from corpuslab.session import cut_lineage
 from corpuslab.sources.comments import CHUNK_ROWS
@@ -22,7 +21,7 @@ def thread_positions(flat: DataFrame) -> DataFrame:
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     offsets = cut_lineage(running_offsets(counts, keys, "_n", "_offset").drop("_n"))
     starts = offsets.groupBy("video_id").agg(F.min("_offset").alias("_start"))
-    local = skew_join(offsets, starts, ["video_id"], ["page", "item", "_block"], "inner")
+    local = offsets.join(starts, "video_id")
     inside = Window.partitionBy(*keys).orderBy("seq")
     return (
         rows.join(local, keys)

@@ -52,14 +52,16 @@ def watch_files(spark: SparkSession, job: WatchJob) -> DataFrame:
         .option("maxFilesPerTrigger", job.files_per_batch)
     )
     return reader.load(job.inbox).select(
-        src.file_key().alias("file"), src._first_position().alias("first_pos"), F.col("value").alias("content")
+        src.relative_key(job.inbox).alias("file"), src._first_position().alias("first_pos"), F.col("value").alias("content")
     )
 
 
 def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -82,7 +84,7 @@ def process_batch(job: WatchJob, factory: Callable[[], Encoder]) -> Callable[[Da
         fresh = batch.join(done, ["file", "first_pos"], "left_anti").persist()
         try:
             rows = src.parse_comment_files(fresh)
-            embedded = embed(rows, "text", factory).withColumn("original_pos", F.col("pos"))
+            embedded = embed(rows, "text", factory).withColumn("original_pos", F.lit(None).cast("bigint"))
             _replace(embedded, job.vectors, batch_id)
             _replace(src.rejected_files(fresh), job.dead_letter, batch_id)
             _replace(src.count_comments(fresh), job.manifest, batch_id)

@@ -14,22 +14,11 @@ from corpuslab.operators import cooldown as cd
 from corpuslab.operators import fuzzy, joins, ordering
 
 
-def test_skew_join_with_hot_key(spark):
-    facts = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    dim = spark.createDataFrame([("hot", 1), ("1", 2), ("unused", 3)], "k STRING, v INT")
-    for how, rows in (("left", 1000), ("inner", 335)):
-        got = joins.skew_join(facts, dim, ["k"], ["id"], how, hot_rows=50)
-        assert got.count() == rows and got.columns == ["k", "id", "v"]
-        assert got.filter("k = 'hot' AND v = 1").count() == 334
-        assert got.filter("v IS NOT NULL").count() == 335
-    assert joins.hot_keys(facts, ["k"], 50).collect()[0]["_slices"] == 7
-
-
 def test_attach_bounded_falls_back(spark):
     facts = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
     dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for limit in (3, 100):
-        got = joins.attach_bounded(facts, dim, ["k"], ["id"], limit)
+        got = joins.attach_bounded(facts, dim, ["k"], limit)
         assert got.filter("v = k * 2").count() == 100
 
 

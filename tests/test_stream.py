@@ -27,6 +27,23 @@ def test_files_are_processed_once_and_bad_ones_set_aside(spark, tmp_path):
     assert ingest.vectors(spark, job).count() == 3
 
 
+def test_equal_names_in_two_folders(spark, tmp_path):
+    inbox = tmp_path / "in box+"
+    for folder, text in (("a", '["x", "y"]'), ("b", '["z"]')):
+        (inbox / folder).mkdir(parents=True)
+        (inbox / folder / "x.json").write_text(text)
+    (inbox / "x.json").write_text('["top"]')
+    job = ingest.WatchJob(str(inbox), str(tmp_path / "out"))
+    ingest.drain(spark, job, ENCODER)
+    assert {r.file: r.comments for r in ingest.finished(spark, job).collect()} == {"a/x.json": 2, "b/x.json": 1, "x.json": 1}
+    assert {(r.file, r.pos, r.original_pos) for r in ingest.vectors(spark, job).collect()} == {
+        ("a/x.json", 0, None), ("a/x.json", 1, None), ("b/x.json", 0, None), ("x.json", 0, None)}
+    (inbox / "c").mkdir()
+    (inbox / "c" / "x.json").write_text('["late"]')
+    ingest.drain(spark, job, ENCODER)
+    assert ingest.vectors(spark, job).count() == 5 and ingest.dead_letters(spark, job).count() == 0
+
+
 def test_replayed_batch_replaces_itself_and_skips_finished_files(spark, tmp_path):
     job = ingest.WatchJob(str(tmp_path / "in"), str(tmp_path / "out"))
     run = ingest.process_batch(job, ENCODER)

@@ -149,3 +149,11 @@ def test_arrays_are_chunked_and_read_back(spark, tmp_path):
     sinks.write_comment_arrays(sinks.comment_arrays(rows), str(tmp_path / "out"))
     back = src.read_comments(spark, str(tmp_path / "out"), "*.txt")
     assert sorted((r.file, r.pos, r.text) for r in back.collect()) == sorted((r.file, r.pos, r.text) for r in rows.collect())
+
+
+def test_large_array_is_read_whole(spark, tmp_path):
+    item = '"' + "comment text " * 80 + '"'
+    (tmp_path / "large.json").write_text("[" + ",".join([item] * 140_000) + "]")  # 146 MB, above the limit of one parsed value
+    files = src.comment_files(spark, str(tmp_path))
+    assert src.parse_comment_files(files).count() == 140_000
+    assert src.rejected_files(files).count() == 0

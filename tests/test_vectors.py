@@ -184,7 +184,7 @@ def test_npz_import(spark):
     ]
     df = src.import_npz(spark.createDataFrame(files, "path STRING, content BINARY"), rows_per_batch=2)
     got = sorted((r.file, r.pos, r.id, r.original_pos, r.embedding) for r in df.collect())
-    assert got[2] == ("a.npz", 2, "r", 9, [4.0, 5.0]) and got[3] == ("b.npz", 0, "1", 0, [0.0, 1.0]) and len(got) == 6
+    assert got[2] == ("a.npz", 2, "r", 9, [4.0, 5.0]) and got[3] == ("b.npz", 0, "1", None, [0.0, 1.0]) and len(got) == 6
     broken = [("/d/c.npz", bytearray(archive(embeddings=x)))]
     with pytest.raises(Exception, match="ids"):
         src.import_npz(spark.createDataFrame(broken, "path STRING, content BINARY")).collect()
