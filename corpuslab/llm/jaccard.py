@@ -41,10 +41,13 @@ from corpuslab.llm.common import WordHashes, map_batches, mix, shingle_hashes, s
 from corpuslab.llm.graph import components
 from corpuslab.session import written_table
 
-SHARED = 8  # shingles that linked sets share inside their prefixes
+SHARED = 12  # shingles that linked sets share inside their prefixes
 BUFFER = 1 << 22  # shingles counted together inside a task
-FREQUENT = 16  # times in a full buffer
+CARRIED = 1 << 20  # counts a task keeps between buffers
+FREQUENT = 4  # times in a task
+MOST_FREQUENT = 1 << 18  # shingles that are moved to the end
 MARGIN = 1e-9
+EXPECTED = 0.3  # share of the shorter prefix that a leader and a member have in common
 ALIKE = 0.4  # least similarity of a unit's member to its leader
 BITMAP_BITS = 28  # power of two: at most 32 MB
 
@@ -61,22 +64,25 @@ def prefix_length(n: int, percent: int) -> int:
 # -- sets and their order ----------------------------------------------------------------------------------------
 
 def frequent_shingles(docs: DataFrame, k: int, text: str) -> np.ndarray:
-    """Sorted hashes of shingles that occur in many documents of all; at most ``BUFFER / FREQUENT`` of them.
+    """Sorted hashes of the shingles that occur in most documents, at most ``MOST_FREQUENT``.
 
-    Every task counts its documents' shingles buffer by buffer and passes on those above the share
-    ``FREQUENT / BUFFER``; nothing above that share over all buffers can be missed.
+    Every task counts the shingles of its documents buffer by buffer, carries the repeated ones on (of ``CARRIED`` at most
+    the most frequent) and passes on those it met ``FREQUENT`` times. A miss costs time, never a link.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size = WordHashes(), [], 0
-
-        def flush() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= max(2, FREQUENT * size // BUFFER)
-            rows = [pa.array(values[often].view(np.int64)), pa.array(times[often].astype(np.int64)),
-                    pa.array(np.zeros(often.sum(), np.int64))]
-            total = [pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([size], pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.concat_arrays(p) for p in zip(rows, total)], ["s", "n", "all"])
+        values, times = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+        def merge() -> None:
+            nonlocal values, times
+            new = np.concatenate(held)
+            merged, place = np.unique(np.concatenate([values, new]), return_inverse=True)
+            total = np.bincount(place, np.concatenate([times, np.ones(len(new), np.int64)]), len(merged)).astype(np.int64)
+            least = 2
+            while (total >= least).sum() > CARRIED:
+                least *= 2
+            values, times = merged[total >= least], total[total >= least]
 
         for batch in batches:
             for data in batch.column(0).to_pylist():
@@ -84,17 +90,16 @@ def frequent_shingles(docs: DataFrame, k: int, text: str) -> np.ndarray:
                 held.append(own)
                 size += len(own)
                 if size >= BUFFER:
-                    yield flush()
+                    merge()
                     held, size = [], 0
         if size:
-            yield flush()
+            merge()
+        often = times >= FREQUENT
+        yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(times[often])], ["s", "n"])
 
-    counted = docs.select(text_bytes(text).alias("data")).mapInArrow(count, "s long, n long, all long")
-    sums = written_table(counted.groupBy("s").agg(F.sum("n").alias("n"), F.sum("all").alias("all")), "jaccard-counts")
-    total = sums.agg(F.coalesce(F.sum("all"), F.lit(0))).first()[0]
-    least = max(4, total * FREQUENT // BUFFER)
-    rows = sums.filter(F.col("n") >= least).select("s").toArrow().column("s").to_numpy()
-    return np.sort(rows.view(np.uint64))
+    counted = docs.select(text_bytes(text).alias("data")).mapInArrow(count, "s long, n long")
+    top = counted.groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(MOST_FREQUENT)
+    return np.sort(top.select("s").toArrow().column("s").to_numpy().view(np.uint64))
 
 
 def ordered(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -274,8 +279,8 @@ def links_across(lists: DataFrame, units: DataFrame, near: DataFrame, bags: Data
         spans.alias("y"),
         (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.unit") < F.col("y.unit")) & may_link(span("x"), span("y"), percent))
     met = met.groupBy(F.col("x.unit").alias("a"), F.col("y.unit").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.greatest("x.low", "y.low")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
-    met = written_table(met.select("a", "b"), "jaccard-met")
+        F.count(F.lit(1)).alias("c"), F.collect_list("x.shingle").alias("common"), F.min(F.greatest("x.low", "y.low")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
+    met = written_table(met.select("a", "b", "common"), "jaccard-met")  # a list is no longer than a prefix
 
     known = near.filter("a < b").join(met, ["a", "b"], "left_semi")
     answers = written_table(compare(met.join(known, ["a", "b"], "left_anti"), bags).unionByName(known), "jaccard-answers")
@@ -285,15 +290,18 @@ def links_across(lists: DataFrame, units: DataFrame, near: DataFrame, bags: Data
     distance = (1 - F.col("shared") / F.col("joint")).alias("distance")
     limit = 1 - percent / 100 + MARGIN
     judged = written_table(judged.select("a", "b", linked(percent).alias("hit"), distance, "r_a", "r_b"), "jaccard-judged")
-    reach = F.coalesce("r_a", F.lit(0.0)) + F.coalesce("r_b", F.lit(0.0))
-    unsettled = judged.filter("r_a IS NOT NULL OR r_b IS NOT NULL").filter(F.col("distance") - reach <= limit).select(
-        "a", "b", F.col("hit").alias("met"), "distance")
+    r_a, r_b = F.coalesce("r_a", F.lit(0.0)), F.coalesce("r_b", F.lit(0.0))
+    unsettled = judged.filter("r_a IS NOT NULL OR r_b IS NOT NULL").filter(F.col("distance") - r_a - r_b <= limit).join(
+        met, ["a", "b"]).select("a", "b", F.col("hit").alias("met"), "distance", r_b.alias("r_b"), F.explode("common").alias("shingle"))
     part = lambda end, own: owned.select(
         "shingle", F.col("unit").alias(end), *[F.col(c).alias(f"{own}_{c}") for c in ("id", "n", "pos", "far", "hit")])
-    inner = unsettled.join(part("a", "x"), "a").join(
-        part("b", "y"), ["b", "shingle"]).filter(
-        (F.col("distance") - F.col("x_far") - F.col("y_far") <= limit) & ~(F.col("met") & F.col("x_hit") & F.col("y_hit"))
-        & ~((F.col("x_id") == F.col("a")) & (F.col("y_id") == F.col("b"))) & may_link(entry("x_"), entry("y_"), percent))
+    one = part("a", "x")
+    inner = unsettled.alias("u").join(one.alias("o"), (F.col("u.a") == F.col("o.a")) & (F.col("u.shingle") == F.col("o.shingle")) & (
+        F.col("distance") - F.col("x_far") - F.col("r_b") <= limit)).select("u.*", *[c for c in one.columns if c.startswith("x_")])
+    two = part("b", "y")
+    inner = inner.alias("u").join(two.alias("o"), (F.col("u.b") == F.col("o.b")) & (F.col("u.shingle") == F.col("o.shingle")) & (
+        F.col("distance") - F.col("x_far") - F.col("y_far") <= limit) & ~(F.col("met") & F.col("x_hit") & F.col("y_hit"))
+        & ~((F.col("x_id") == F.col("u.a")) & (F.col("y_id") == F.col("u.b"))) & may_link(entry("x_"), entry("y_"), percent))
     inner = inner.groupBy(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).agg(
         F.count(F.lit(1)).alias("c"), F.max(F.greatest("x_n", "y_n")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
     inner = written_table(inner.select("a", "b"), "jaccard-inner")
@@ -325,9 +333,11 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
         F.col("c") >= needed(F.col("n"), percent))
     bags = written_table(full_sets(docs, wanted, k, key, text), "jaccard-bags")
 
-    # every entry against the leader of its list
+    # every entry against the leader of its list, where enough of the prefixes is common to expect some likeness
+    prefix = F.col("n") * (1 - percent / 100) + SHARED
     first = lists.filter("id <> l_id").groupBy(F.col("l_id").alias("a"), F.col("id").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.least("n", "l_n")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
+        F.count(F.lit(1)).alias("c"), F.min(F.least("n", "l_n")).alias("n")).filter(
+        F.col("c") >= EXPECTED * F.least(prefix, F.col("n")))
     near = written_table(compare(first, bags), "jaccard-near")
     units = written_table(units_of(near, percent), "jaccard-units")
     links = [near.filter(linked(percent)).select("a", "b"), links_inside(units, bags, percent),
