@@ -70,7 +70,8 @@ def test_like_brute_force(spark, k, percent, seed):
 
 def test_frequent_shingles_only_change_the_order(spark, monkeypatch):
     rows = families(random.Random(5))
-    monkeypatch.setattr(jaccard, "BUFFER", 1 << 12)
+    monkeypatch.setattr(jaccard, "BUFFER", 64)
+    monkeypatch.setattr(jaccard, "CARRIED", 50)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert len(jaccard.frequent_shingles(docs, 4, "text"))
     got = jaccard.component_rows(docs)
