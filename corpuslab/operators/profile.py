@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
@@ -51,6 +53,7 @@ def sanity_checks(
     """
     rows = row_stats(vectors, id_col, vec)
     row_var = F.col("squares") / F.col("width") - F.col("mean") * F.col("mean")
+    distinct = lambda c: F.first(rows.select(c).distinct().agg(F.count(c)).scalar())
     out = rows.agg(
         F.count(F.lit(1)).alias("total_embeddings"),
         F.count("id").alias("total_ids"),
@@ -65,8 +68,9 @@ def sanity_checks(
         F.min(F.sqrt("squares")).alias("min_norm"),
         F.max(F.sqrt("squares")).alias("max_norm"),
         F.avg(F.sqrt("squares")).alias("mean_norm"),
-        F.count_distinct("key").alias("unique_embeddings"),
-        F.count_distinct("id").alias("unique_ids"),
+        # two distinct counts in one aggregate would expand every row; these are two narrow ones
+        distinct("key").alias("unique_embeddings"),
+        distinct("id").alias("unique_ids"),
         (F.sum("width") * F.lit(bytes_per_value) / F.lit(rules.MEGABYTE)).alias("memory_mb"),
     )
     numeric = ["min_value", "max_value", "mean_value", "std_value", "min_norm", "max_norm", "mean_norm"]
@@ -122,17 +126,29 @@ def dimension_corr(vectors: DataFrame, vec: str = "embedding", first: int = 10)
     return vectors.sparkSession.createDataFrame(cells, "i INT, j INT, r DOUBLE")
 
 
-def covariance(vectors: DataFrame, vec: str = "embedding", first: int = 10) -> DataFrame:
-    """Sample covariance of the first dimensions as ``i, j, cov``, in one aggregation."""
-    pairs = [(i, j) for i in range(first) for j in range(i, first)]
-    dims = vectors.select(*[F.col(vec)[i].cast("double").alias(f"d{i}") for i in range(first)])
-    sums = dims.agg(*[F.covar_samp(f"d{i}", f"d{j}").alias(f"c{i}_{j}") for i, j in pairs])
-    cells = [
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("cov"))
-        for i in range(first)
-        for j in range(first)
-    ]
-    return sums.select(F.inline(F.array(*cells)))
+def covariance(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
+    """Sample covariance of all dimensions as ``i, j, cov``.
+
+    Rows are centred on the mean of the first scan; the second sums one d x d matrix per task.
+    """
+    mean = vector_to_array(Summarizer.mean(array_to_vector(vx.as_double(F.col(vec))))).alias("mean")
+    facts = vectors.agg(F.count(F.lit(1)).alias("n"), mean).first()
+    if facts.n < 2:
+        return vectors.sparkSession.createDataFrame([], "i INT, j INT, cov DOUBLE")
+    center = np.array(facts["mean"])
+
+    def products(batches):
+        total = np.zeros((len(center), len(center)))
+        for batch in batches:
+            if batch.num_rows:
+                points = vx.to_matrix(batch.column(0)) - center
+                total += points.T @ points
+        i, j = np.indices(total.shape)
+        yield pa.record_batch(
+            [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], names=["i", "j", "s"])
+
+    sums = vectors.select(vec).mapInArrow(products, "i INT, j INT, s DOUBLE").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    return sums.select("i", "j", (F.col("s") / F.lit(facts.n - 1)).alias("cov"))
 
 
 def histogram(df: DataFrame, value: Column, bins: int = BINS) -> DataFrame:

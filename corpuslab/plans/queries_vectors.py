@@ -125,7 +125,7 @@ def dimension_corr(spark, sf):
     return _round(profile.dimension_corr(_emb(spark, sf)), "r")
 
 
-@register("covariance", f"WITH {PAIRS_SQL} SELECT i, j, {rounded_sql('covar_samp(x, y)', 8)} AS cov FROM pairs GROUP BY i, j")
+@register("covariance", f"WITH {PAIRS_SQL.replace('range(0, 10)', 'range(0, 64)').replace('[1:10]', '')} SELECT i, j, {rounded_sql('covar_samp(x, y)', 8)} AS cov FROM pairs GROUP BY i, j")
 def covariance(spark, sf):
     return _round(profile.covariance(_emb(spark, sf)), "cov", digits=8)
 
@@ -150,13 +150,16 @@ def dimension_histogram(spark, sf):
 
 
 @register("sample_describe", f"""
-WITH cells AS (SELECT unnest(range(0, 3)) AS d, unnest(embedding[1:3])::DOUBLE AS x FROM embeddings)
-SELECT 'emb_dim_' || d AS "column", count(*) AS "count", {rounded_sql('avg(x)')} AS mean, {rounded_sql('stddev_samp(x)')} AS std,
+WITH s AS (SELECT {norm_sql('embedding')} AS n, embedding FROM embeddings),
+cells AS (SELECT 'embedding_norm' AS c, n AS x FROM s
+  UNION ALL SELECT 'emb_dim_' || unnest(range(0, 5)), unnest(embedding[1:5])::DOUBLE FROM s)
+SELECT c AS "column", count(*) AS "count", {rounded_sql('avg(x)')} AS mean, {rounded_sql('stddev_samp(x)')} AS std,
   {rounded_sql('min(x)')} AS min, {rounded_sql('quantile_cont(x, 0.25)')} AS p25, {rounded_sql('quantile_cont(x, 0.5)')} AS p50,
-  {rounded_sql('quantile_cont(x, 0.75)')} AS p75, {rounded_sql('max(x)')} AS max FROM cells GROUP BY d""")
+  {rounded_sql('quantile_cont(x, 0.75)')} AS p75, {rounded_sql('max(x)')} AS max FROM cells GROUP BY c""")
 def sample_describe(spark, sf):
-    dims = _emb(spark, sf).select(*[F.col("embedding")[i].cast("double").alias(f"emb_dim_{i}") for i in range(3)])
-    return _round(profile.describe(dims, dims.columns), "mean", "std", "min", "p25", "p50", "p75", "max")
+    heads = [F.col("embedding")[i].cast("double").alias(f"emb_dim_{i}") for i in range(5)]
+    frame = _emb(spark, sf).select(vx.norm(F.col("embedding")).alias("embedding_norm"), *heads)
+    return _round(profile.describe(frame, frame.columns), "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 SAMPLE_SQL = "SELECT * FROM embeddings ORDER BY md5('42' || vec_id), vec_id LIMIT {0}"
@@ -426,7 +429,7 @@ def elbow_scan(spark, sf):
 
 @register("silhouette_select")
 def silhouette_select(spark, sf):
-    scan = sk.silhouette_choice(st.vectors(spark, sf), k_max=10, n_init=2)
+    scan = sk.silhouette_choice(st.vectors(spark, sf))
     out = sk.curve(spark, scan.values, "score").withColumn("selected", F.col("k") == scan.k)
     return _round(out, "score")
 
