@@ -18,7 +18,7 @@ from corpuslab.llm.common import table
 from corpuslab.session import scratch_path
 
 ORACLE_SQL = None
-LEAST_SCORE = 0.4  # below this no language is a fair guess
+LEAST_SCORE = 0.3  # below this no language is a fair guess
 SHARDS = 16
 
 

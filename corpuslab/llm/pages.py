@@ -7,7 +7,7 @@ on a site have in common is its frame, not the article.
 Pages of one site also share article text (copies, quoted passages), which must stay, so markup decides what may be
 deleted at all. Lines inside elements that are never article text (navigation, footers, forms, scripts, adverts,
 notices, reader comments and so on) go without asking a neighbour. On a page that declares its article (``article``,
-``main``) the other lines inside it stay unless they are shared and consist of links only, lines outside go. On a page
+``main``, an element named like one) the other lines inside it stay unless they are shared and consist of links only, lines outside go. On a page
 that declares none, every shared line goes. A pair that shares nearly everything is a pair of copies and says nothing.
 
 Only 64-bit line hashes and lengths are shuffled for the differencing; a site of any size is cut into stretches of
@@ -61,7 +61,12 @@ FRAME_NAMES = {
     "respond", "replies", "share", "sharing", "social", "related", "recommended", "widget", "toolbar", "pagination", "pager",
     "login", "search", "masthead", "topbar", "banner", "skip", "hidden",
 }
-OUTER_NAMES = {"header", "head"}  # frame outside of the article only
+OUTER_NAMES = {"header", "head"}  # frame outside of the article only, unless the name speaks of the article
+ARTICLE_PARTS = {"article", "post", "entry", "story", "content"}
+MAIN_LABELS = {
+    "article", "article-body", "article-content", "article-text", "post", "post-body", "post-content", "post-text", "entry",
+    "entry-content", "entry-body", "story", "story-body", "content", "content-body", "main", "main-content", "page-content",
+}
 NEGATING = {"no", "has", "with", "without", "not"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "div", "dl", "dt",
@@ -95,11 +100,27 @@ def is_frame(name: str, attributes: str, inside: bool) -> bool:
                 parts = [p for p in re.split(r"[-_]+", label) if p]
                 if NEGATING & set(parts):
                     continue
-                if any(p in FRAME_NAMES or (p in OUTER_NAMES and not inside) for p in parts):
+                outer = not inside and OUTER_NAMES & set(parts) and not ARTICLE_PARTS & set(parts)
+                if outer or FRAME_NAMES & set(parts):
                     return True
     return False
 
 
+def is_article(name: str, attributes: str) -> bool:
+    """Whether an element declares that it holds the article."""
+    if name in MAIN:
+        return True
+    if not attributes or name not in BLOCK or name in ("body", "html"):
+        return False
+    for found in ATTRIBUTE.finditer(attributes):
+        key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
+        if key == "role" and value == "main" or key == "itemprop" and value == "articlebody":
+            return True
+        if key in ("class", "id") and any(re.sub("_+", "-", label) in MAIN_LABELS for label in value.split()):
+            return True
+    return False
+
+
 def lines_of(page: str) -> list[Line]:
     """Text blocks of a page in order, white space folded, with where they stand."""
     lines: list[Line] = []
@@ -190,8 +211,7 @@ def lines_of(page: str) -> list[Line]:
             flush()
         if attributes.rstrip().endswith("/") and name not in BLOCK and name not in ("a", "b", "i", "em", "strong", "span"):
             continue
-        article = name in MAIN or (attributes and re.search(r"(?i)role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody", attributes))
-        stack.append((name, mine, inside or bool(article) and not mine))
+        stack.append((name, mine, inside or not mine and is_article(name, attributes)))
         links += name == "a"
     flush()
     return lines

@@ -43,6 +43,13 @@ def test_markup():
     assert text_of("<div " * 3000 + "<p>x") in ("", "x")
 
 
+def test_article_by_name():
+    page = ('<div id="header">Top</div><div class="wrap"><div class="post-content"><div class="post-header"><h2>T</h2></div><p>a</p>'
+            '<div class="post-comments">no</div></div><div class="col">Other</div></div>')
+    assert text_of(page) == "T a"
+    assert text_of('<div class="entry-header"><h1>T</h1></div><div class="x">b</div>') == "T b"
+
+
 def site(spark, extra=()):
     frame = "<div><p>Acme portal</p><p>All about acme</p></div>{}<div><p>Contact us</p></div>"
     rows = [(i, f"https://a.org/n/{i}", frame.format(f"<div><p>Story {i} begins</p><p>and ends {i}.</p></div>")) for i in range(9)]
