@@ -1,7 +1,8 @@
-"""End-to-end jobs: profile, deduplicate, cluster."""
+"""End-to-end jobs: embed, profile, deduplicate, cluster."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,8 @@ from corpuslab.operators import cluster as cl
 from corpuslab.operators import select_k as sk
 from corpuslab.operators.dedup import dedup_summary, dedup_vectors, verify_dedup
 from corpuslab.operators.enrich import enrich_per_file, enrich_priority
-from corpuslab.operators.profile import analysis_report
+from corpuslab.operators.encode import Encoder, embed
+from corpuslab.operators.profile import analysis_report, processing_summary
 from corpuslab.session import written_table
 from corpuslab.sources import sinks
 
@@ -166,5 +168,19 @@ def run_dedup_job(vectors: DataFrame, path: str, order: list[str]) -> DataFrame:
     return verify_dedup(vectors, vectors.sparkSession.read.parquet(f"{path}/vectors"))
 
 
+def run_embed_job(comments: DataFrame, factory: Callable[[], Encoder], path: str) -> DataFrame:
+    """Encode comments, write vectors, a row per file and the totals; returns the totals."""
+    sinks.write_vectors(embed(comments, "text", factory).withColumn("original_pos", F.lit(None).cast("bigint")), f"{path}/vectors")
+    files = processing_summary(comments, comments.sparkSession.read.parquet(f"{path}/vectors"))
+    sinks.write_report(files, f"{path}/files")
+    totals = files.agg(
+        F.count(F.lit(1)).alias("total_files"), F.count_if(F.col("vectors") == F.col("comments")).alias("complete_files"),
+        F.coalesce(F.sum("comments"), F.lit(0)).alias("total_comments"), F.coalesce(F.sum("vectors"), F.lit(0)).alias("total_vectors"),
+        F.max("dim").alias("embedding_dim"),
+    )
+    sinks.write_report(totals, f"{path}/processing_report")
+    return totals
+
+
 def run_profile_job(vectors: DataFrame, source: str, path: str, expected_dim: int) -> None:
     sinks.write_report(analysis_report(vectors, source, expected_dim=expected_dim), path)

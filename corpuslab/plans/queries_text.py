@@ -325,6 +325,18 @@ def per_file_sample(spark, sf):
     return hash_sample(docs, "doc_id", tx.sample_quota(F.col("n")), ["source"])
 
 
+@register("sample_array", """
+WITH ranked AS (
+  SELECT source, doc_id, text, count(*) OVER (PARTITION BY source) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY md5('42' || doc_id), doc_id) AS r FROM documents),
+kept AS (SELECT text, row_number() OVER (ORDER BY source, doc_id) - 1 AS idx FROM ranked WHERE r <= greatest(1, floor(n * 0.01 + 0.5)))
+SELECT idx // 10000 AS chunk, list(text ORDER BY idx) AS comments FROM kept GROUP BY 1""")
+def sample_array(spark, sf):
+    docs = table(spark, sf, "documents").select("source", "doc_id", "text")
+    drawn = hash_sample(docs, "doc_id", tx.sample_quota(F.col("n")), ["source"])
+    return sinks.sample_arrays(drawn, "source", "doc_id")
+
+
 @register("global_index", """
 SELECT doc_id, row_number() OVER (ORDER BY source, doc_id) - 1 AS global_pos FROM documents""")
 def global_positions(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslab.operators.ordering import BLOCK, running_offsets
+from corpuslab.operators.ordering import BLOCK, global_index, id_block, running_offsets
 from corpuslab.session import cut_lineage
 from corpuslab.sources.comments import CHUNK_ROWS
 
@@ -43,6 +43,13 @@ def comment_arrays(comments: DataFrame, key: str = "file", chunk_rows: int = CHU
     )
 
 
+def sample_arrays(sampled: DataFrame, file: str = "file", order: str = "pos", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``chunk, comments``: the texts of a sample over all files, in file order, as one list cut into chunks."""
+    rows = global_index(sampled.select(file, order, "text"), file, id_block(order), [order], "_at")
+    rows = rows.select(F.lit("sample").alias("file"), F.col("_at").alias("pos"), "text")
+    return comment_arrays(rows, chunk_rows=chunk_rows).select("chunk", "comments")
+
+
 def with_empty_videos(arrays: DataFrame, videos: DataFrame, key: str = "file") -> DataFrame:
     """Videos without comments (disabled ones) get one empty array instead of no output."""
     known = arrays.select(key).distinct()
@@ -58,6 +65,11 @@ def write_comment_arrays(arrays: DataFrame, path: str, key: str = "file", mode:
     out.write.mode(mode).partitionBy("file", "chunk").text(path)
 
 
+def write_sample(sampled: DataFrame, path: str, file: str = "file", order: str = "pos", mode: str = "errorifexists") -> None:
+    """Sampled comments as JSON arrays; a sample of up to ``CHUNK_ROWS`` comments is one array."""
+    write_comment_arrays(sample_arrays(sampled, file, order).withColumn("file", F.lit("sample")), path, mode=mode)
+
+
 def write_vectors(vectors: DataFrame, path: str, mode: str = "errorifexists") -> None:
     vectors.write.mode(mode).parquet(path)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslab.operators import cluster as cl
 from corpuslab.operators import enrich
+from corpuslab.operators.encode import hashed_token_encoder
 from corpuslab.plans import jobs
 
 SHAPE = "file STRING, pos BIGINT, id STRING, embedding ARRAY<FLOAT>, original_pos BIGINT"
@@ -79,3 +80,12 @@ def test_errors_of_a_scan_are_not_swallowed(spark):
     with pytest.raises(ValueError):
         jobs.run_cluster_job(rows, None, jobs.PRESETS["elbow"])
     assert np.isfinite(jobs.PRESETS["elbow"].seed) and all(p.sample is None for p in jobs.PRESETS.values())
+
+
+def test_embed_job_writes_its_report(spark, tmp_path):
+    comments = spark.createDataFrame(
+        [("a.json", 0, "0", "x y"), ("a.json", 1, "1", "z"), ("b.json", 0, "0", "x")], "file STRING, pos BIGINT, id STRING, text STRING")
+    totals = jobs.run_embed_job(comments, hashed_token_encoder(8), str(tmp_path / "o")).first()
+    assert tuple(totals) == (2, 2, 3, 3, 8)
+    assert spark.read.json(str(tmp_path / "o" / "processing_report")).first().total_vectors == 3
+    assert spark.read.json(str(tmp_path / "o" / "files")).count() == 2
