@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from corpuslab.llm.common import WordHashes, map_batches, mix, shingle_hashes, split_words, text_bytes
 from corpuslab.llm.graph import components
@@ -351,7 +352,20 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
 
 
 def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The first document of every component, with all columns; rows without id stay."""
-    kept = component_rows(docs, k, percent, key, text).filter(F.col("doc_id") == F.col("component_id"))
-    kept = kept.select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(kept, key, "left_semi").unionByName(docs.filter(F.col(key).isNull()))
+    """The first document of every component, with all columns; rows without id stay.
+
+    Rows that are surely no other member pass without a shuffle; only those whose id may be one meet the exact list.
+    """
+    rows = component_rows(docs, k, percent, key, text).filter(F.col("doc_id") != F.col("component_id"))
+    others = written_table(rows.select(F.col("doc_id").alias("id")).distinct(), "jaccard-others")
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(others))
+
+    @arrow_udf("boolean")
+    def may_be_other(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            at = column.to_numpy() & (len(bitmap.value) * 64 - 1)
+            yield pa.array((bitmap.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    other = may_be_other(F.xxhash64(F.col(key).cast("bigint")))
+    exact = docs.filter(other).join(others.select(F.col("id").alias(key)).hint("merge"), key, "left_anti")
+    return docs.filter(~other).unionByName(exact)
