@@ -48,8 +48,8 @@ CARRIED = 1 << 20  # counts a task keeps between buffers
 FREQUENT = 4  # times in a task
 MOST_FREQUENT = 1 << 18  # shingles that are moved to the end
 MARGIN = 1e-9
-EXPECTED = 0.3  # share of the shorter prefix that a leader and a member have in common
-ALIKE = 0.4  # least similarity of a unit's member to its leader
+EXPECTED = 0.25  # share of the shorter prefix that a leader and a member have in common
+ALIKE = 0.3  # least similarity of a unit's member to its leader
 BITMAP_BITS = 28  # power of two: at most 32 MB
 
 
@@ -222,14 +222,14 @@ def linked(percent: int) -> Column:
 # -- units -------------------------------------------------------------------------------------------------------
 
 def units_of(near: DataFrame, percent: int) -> DataFrame:
-    """``id, unit, far, hit``: members of units, their distance to the leader ``unit`` and whether they link with it.
+    """``id, unit, far, hit, shared``: members of units, distance and overlap with the leader ``unit``, whether they link with it.
 
     A leader is no member itself; a member takes the most similar of its leaders.
     """
     alike = near.filter(F.col("shared") >= ALIKE * F.col("joint"))
     leaders = alike.select("a").distinct().join(alike.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-    best = F.min(F.struct((1 - F.col("shared") / F.col("joint")).alias("far"), F.col("a").alias("unit"), linked(percent).alias("hit")))
-    return alike.join(leaders, "a").groupBy(F.col("b").alias("id")).agg(best.alias("m")).select("id", "m.unit", "m.far", "m.hit")
+    best = F.min(F.struct((1 - F.col("shared") / F.col("joint")).alias("far"), F.col("a").alias("unit"), linked(percent).alias("hit"), "shared"))
+    return alike.join(leaders, "a").groupBy(F.col("b").alias("id")).agg(best.alias("m")).select("id", "m.unit", "m.far", "m.hit", "m.shared")
 
 
 def links_inside(units: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
@@ -257,11 +257,15 @@ def links_inside(units: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
     ranked = ranked.withColumns({
         "inner": F.col("n") - least(F.col("short") + F.col("slack")) + 1, "outer": F.col("n") - least(F.col("short")) + 1})
     index = ranked.filter("times > 1").filter(F.col("pos") <= F.when(F.col("hit"), F.col("inner")).otherwise(F.col("outer")))
-    index = written_table(index.select("unit", "e", "added", "id", "hit", (F.col("pos") <= F.col("inner")).alias("early")), "jaccard-index")
+    index = written_table(index.select(
+        "unit", "e", "added", "id", "hit", "short", "slack", "pos", "n", (F.col("pos") <= F.col("inner")).alias("early")), "jaccard-index")
     x, y = index.filter("NOT hit").alias("x"), index.alias("y")
     same = (F.col("x.unit") == F.col("y.unit")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.added") == F.col("y.added"))
     allowed = F.col("y.hit") | (F.col("x.early") & F.col("y.early") & (F.col("x.id") < F.col("y.id")))
-    met = x.join(y, same & allowed).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    # differences before, at and after this one must be enough for what the two need in common
+    reach = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    enough = reach >= F.col("x.short") + F.col("y.short") + F.col("x.slack") - MARGIN
+    met = x.join(y, same & allowed & enough).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     return compare(written_table(met, "jaccard-inside"), bags).filter(linked(percent)).select("a", "b")
 
 
@@ -269,7 +273,7 @@ def links_across(lists: DataFrame, units: DataFrame, near: DataFrame, bags: Data
     """Links ``a, b`` between leaders of different units, and between members that the leaders' answers leave open."""
     owned = lists.select("shingle", "id", "n", "pos").join(units, "id", "left").select(
         "shingle", "id", "n", "pos", F.coalesce("unit", "id").alias("unit"), F.coalesce("far", F.lit(0.0)).alias("far"),
-        F.coalesce("hit", F.lit(True)).alias("hit"))
+        F.coalesce("hit", F.lit(True)).alias("hit"), F.coalesce("shared", "n").alias("shared"))
     owned = written_table(owned, "jaccard-owned")
     spans = owned.groupBy("shingle", "unit").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("pos").alias("before"), F.max(F.col("n") - F.col("pos") - 1).alias("after"))
@@ -290,15 +294,30 @@ def links_across(lists: DataFrame, units: DataFrame, near: DataFrame, bags: Data
     judged = answers.join(side("a"), "a", "left").join(side("b"), "b", "left")
     distance = (1 - F.col("shared") / F.col("joint")).alias("distance")
     limit = 1 - percent / 100 + MARGIN
-    judged = written_table(judged.select("a", "b", linked(percent).alias("hit"), distance, "r_a", "r_b"), "jaccard-judged")
-    r_a, r_b = F.coalesce("r_a", F.lit(0.0)), F.coalesce("r_b", F.lit(0.0))
-    unsettled = judged.filter("r_a IS NOT NULL OR r_b IS NOT NULL").filter(F.col("distance") - r_a - r_b <= limit).join(
-        met, ["a", "b"]).select("a", "b", F.col("hit").alias("met"), "distance", r_b.alias("r_b"), F.explode("common").alias("shingle"))
+    judged = written_table(judged.select("a", "b", linked(percent).alias("hit"), distance, "shared", "r_a", "r_b"), "jaccard-judged")
+    open_ = judged.filter("r_a IS NOT NULL OR r_b IS NOT NULL").filter(
+        F.col("distance") - F.coalesce("r_a", F.lit(0.0)) - F.coalesce("r_b", F.lit(0.0)) <= limit).join(met, ["a", "b"])
+    swap = F.col("r_a").isNull()  # the first of a pair of units always has members
+    unsettled = open_.select(
+        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"),
+        F.col("hit").alias("met"), "distance", F.col("shared").alias("with_b"), F.when(swap, None).otherwise(F.col("r_b")).alias("r_b"),
+        F.explode("common").alias("shingle"))
     part = lambda end, own: owned.select(
-        "shingle", F.col("unit").alias(end), *[F.col(c).alias(f"{own}_{c}") for c in ("id", "n", "pos", "far", "hit")])
+        "shingle", F.col("unit").alias(end), *[F.col(c).alias(f"{own}_{c}") for c in ("id", "n", "pos", "far", "hit", "shared")])
+    # Against a single set b the overlaps with the leader decide further: of x only what it has outside of the leader
+    # can make up for a smaller overlap of b, and the other way round.
+    rest = 1 - percent / 100
+    near_b = F.col("r_b").isNotNull() | (
+        (F.col("x_shared") - F.col("with_b") <= rest * F.col("x_n") + MARGIN)
+        & (F.col("with_b") - F.col("x_shared") <= rest / (1 - rest) * F.col("x_n") + MARGIN))
+    # a member that has too few of the shingles its unit shares with the other one links with nobody there
     one = part("a", "x")
+    own = ["x_id", "x_n", "x_far", "x_hit"]
     inner = unsettled.alias("u").join(one.alias("o"), (F.col("u.a") == F.col("o.a")) & (F.col("u.shingle") == F.col("o.shingle")) & (
-        F.col("distance") - F.col("x_far") - F.col("r_b") <= limit)).select("u.*", *[c for c in one.columns if c.startswith("x_")])
+        F.col("distance") - F.col("x_far") - F.coalesce("r_b", F.lit(0.0)) <= limit) & near_b).groupBy("u.a", "b", "met", "distance", *own).agg(
+        F.collect_list(F.struct(F.col("u.shingle").alias("shingle"), "x_pos")).alias("e"))  # no longer than a prefix
+    inner = inner.filter(F.size("e") >= needed(F.col("x_n"), percent)).select(
+        "a", "b", "met", "distance", *own, F.explode("e").alias("e")).select("a", "b", "met", "distance", *own, "e.shingle", "e.x_pos")
     two = part("b", "y")
     inner = inner.alias("u").join(two.alias("o"), (F.col("u.b") == F.col("o.b")) & (F.col("u.shingle") == F.col("o.shingle")) & (
         F.col("distance") - F.col("x_far") - F.col("y_far") <= limit) & ~(F.col("met") & F.col("x_hit") & F.col("y_hit"))
