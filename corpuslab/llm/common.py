@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_CACHE = 1 << 18  # words; bounds the memory of a task
+WORD_CACHE = 1 << 17  # words; bounds the memory of a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -43,8 +43,8 @@ from corpuslab.llm.graph import components
 from corpuslab.session import written_table
 
 SHARED = 12  # shingles that linked sets share inside their prefixes
-BUFFER = 1 << 22  # shingles counted together inside a task
-CARRIED = 1 << 20  # counts a task keeps between buffers
+BUFFER = 1 << 20  # shingles counted together inside a task
+CARRIED = 1 << 18  # counts a task keeps between buffers
 FREQUENT = 4  # times in a task
 MOST_FREQUENT = 1 << 18  # shingles that are moved to the end
 MARGIN = 1e-9
