@@ -61,3 +61,30 @@ def test_edges(odd, none):
     assert mixed.count() == odd.count() and mixed.filter("drawn IS NULL OR prob IS NULL").count() == 0
     assert mixing.sample(odd).columns == odd.columns
     assert mixing.mix(none).count() == 0
+
+
+def test_one_rare_document_does_not_set_the_scale(spark):
+    rows = [(i, "w " * (60 + i % 40), "en" if i % 3 else "de", f"s{min(i % 10, 3)}") for i in range(4_000)]
+    schema = "doc_id long, text string, lang string, source string"
+    before = mixing.mix(spark.createDataFrame(rows, schema)).collect()
+    after = mixing.mix(spark.createDataFrame([*rows, (9_999, "five words of a stranger", "zz", "new")], schema)).collect()
+    kept = lambda found: {r.doc_id for r in found if r.drawn}
+    assert len(kept(before) ^ kept(after) - {9_999}) <= 0.01 * len(rows)
+    assert max(r.prob for r in after) <= 1
+
+
+def test_full_cells_leave_the_fit():
+    rng = np.random.default_rng(1)
+    cells = [(s, g, t) for s in "abc" for g in "xy" for t in "pq"]
+    tokens = rng.uniform(1e4, 1e5, len(cells))
+    tokens[0] = 1.0
+    targets = mixing.wanted_shares(cells, tokens)
+    fit = mixing.calibrate(cells, tokens, targets)
+    present = max(abs(tokens[[c[d] == v for c in cells]].sum() / tokens.sum() - w)
+                  for d, target in enumerate(targets) for v, w in target.items())
+    assert fit.prob.max() == 1 and fit.residual <= 0.011 * present and fit.kept > 0.7
+    half = mixing.calibrate(cells, tokens, targets, budget=tokens.sum() / 2)
+    assert abs(half.kept - 0.5) < 1e-6 and half.prob.max() <= 1
+    # more is asked of a value than it holds: all of it is drawn and the others fill the budget
+    scarce = mixing.calibrate([("a",), ("b",)], np.array([10.0, 990.0]), [{"a": 0.5, "b": 0.5}], budget=500)
+    assert np.allclose(scarce.prob, [1.0, 490 / 990]) and abs(scarce.residual - 0.48) < 1e-9
