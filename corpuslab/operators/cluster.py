@@ -21,6 +21,7 @@ MAX_CLUSTERS = 4096
 SEED_ROUNDS = 5
 MOST_SEED_ROUNDS = 30
 DIRECT_ROWS = 20_000
+MOST_SLICES = 20
 
 
 @dataclass
@@ -257,7 +258,7 @@ def fit_kmeans(vectors: DataFrame, k: int, **options) -> Fit:
 
 
 def batch_size(n: int) -> int:
-    """Sample size of the fast preset."""
+    """Batch size of the fast fit."""
     return min(10_000, max(1_000, n // 20))
 
 
@@ -270,6 +271,35 @@ def fit_on_sample(vectors: DataFrame, ks: list[int], sample: int, id_col: str =
         drawn.unpersist()
 
 
+def fit_minibatch(vectors: DataFrame, ks: list[int], batch: int, id_col: str = "id", vec: str = "embedding", n_init: int = 3, seed: int = 42) -> dict[int, Fit]:
+    """Mini-batch fit that shows every row to the model; seeds and final scores also come from all rows.
+
+    The batches are disjoint hash slices of about ``batch`` rows that cover the table, at most ``MOST_SLICES`` of them
+    (they grow with a larger table). All are gone through equally often, in ``MOST_SLICES`` rounds or a few more. A centre
+    is the mean of the rows it has met; an empty one keeps its place.
+    """
+    slices = min(MOST_SLICES, max(1, -(-vectors.count() // batch)))
+    _, candidates = seed_candidates(vectors, max(ks), n_init, seed, id_col, vec)
+    keys = [(k, restart) for k in ks for restart in range(n_init)]
+    centers = {}
+    for m, (k, restart) in enumerate(keys):
+        points, weights = candidates[restart]
+        centers[m] = np.array(spread_seeds(points, k, np.random.default_rng([seed, k, restart]), weights), dtype=np.float64)
+    met = {m: np.zeros(len(c), dtype=np.int64) for m, c in centers.items()}
+    rounds = slices * -(-MOST_SLICES // slices)
+    place = F.pmod(F.xxhash64(id_col, F.lit(f"slice {seed}")), F.lit(slices))
+    for turn in range(rounds):
+        for m, found in lloyd_pass(vectors.filter(place == turn % slices), centers, vec).items():
+            met[m] += found.counts
+            centers[m] += (found.sums - found.counts[:, None] * centers[m]) / np.maximum(met[m], 1)[:, None]
+    final = lloyd_pass(vectors, centers, vec)
+    best: dict[int, Fit] = {}
+    for m, (k, restart) in enumerate(keys):
+        if k not in best or final[m].inertia < best[k].inertia:
+            best[k] = Fit(len(centers[m]), restart, centers[m], final[m].counts, final[m].inertia, rounds)
+    return best
+
+
 def assign(vectors: DataFrame, centers: np.ndarray, vec: str = "embedding", out: str = "cluster", ids=None) -> DataFrame:
     return vectors.withColumn(out, vx.nearest_center(F.col(vec), centers, ids))
 

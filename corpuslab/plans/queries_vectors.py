@@ -416,9 +416,8 @@ def kmeans_fit(spark, sf):
 @register("kmeans_sampled")
 def kmeans_sampled(spark, sf):
     emb = st.vectors(spark, sf).drop("cluster")
-    fit = cl.fit_on_sample(emb, [5], cl.batch_size(emb.count()))[5]
-    inertia = cl.lloyd_pass(emb, {0: fit.centers})[0].inertia
-    return cl.cluster_sizes(cl.assign(emb, fit.centers)).withColumn("inertia", rounded(F.lit(inertia)))
+    fit = cl.fit_minibatch(emb, [5], cl.batch_size(emb.count()))[5]
+    return cl.cluster_sizes(cl.assign(emb, fit.centers)).withColumn("inertia", rounded(F.lit(fit.inertia)))
 
 
 @register("elbow_scan")

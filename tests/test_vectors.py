@@ -12,7 +12,7 @@ from corpuslab.functions import vectors as vx
 from corpuslab.operators import cluster as cl
 from corpuslab.operators import dedup, encode, profile
 from corpuslab.operators import select_k as sk
-from corpuslab.plans import jobs
+from corpuslab.plans import jobs, queries_vectors
 from corpuslab.sources import comments as src
 
 SHAPE = "file STRING, pos BIGINT, id STRING, embedding ARRAY<FLOAT>, original_pos BIGINT"
@@ -221,3 +221,18 @@ def test_dedup_and_profile_jobs(spark, tmp_path):
 def test_presets_match_the_seven_variants():
     p = jobs.PRESETS
     assert len(p) == 7 and p["raw"].k == 10 and p["fixed"].k == 3 and p["silhouette_fast"].pca_dims == 100
+
+
+def test_sampled_fit_meets_every_row(spark, monkeypatch):
+    # three far rows among 6,000; a sample of 1,000 rows has none of them
+    rng = np.random.default_rng(8)
+    places = np.array([[0, 0], [10, 0], [0, 10], [10, 10]], dtype=float)
+    rows = [(str(i), [float(x) for x in places[i % 4] + rng.normal(0, 0.1, 2)]) for i in range(6_000)]
+    table = spark.createDataFrame(rows, "id string, embedding array<double>")
+    drawn = {r.id for r in cl.hash_sample(table, "id", F.lit(cl.batch_size(6_000))).collect()}
+    far = [i for i, _ in rows if i not in drawn][:3]
+    table = table.withColumn("embedding", F.when(F.col("id").isin(far), F.array(F.lit(300.0), F.lit(300.0))).otherwise(F.col("embedding")))
+    monkeypatch.setattr(queries_vectors.st, "vectors", lambda *_: table)
+    got = queries_vectors.kmeans_sampled(spark, "").collect()
+    sizes = [r.cluster_size for r in got]
+    assert sum(sizes) == 6_000 and len(sizes) == 5 and min(sizes) == 3 and got[0].inertia < 200
