@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslab.llm import decontaminate, exact, jaccard, langid, licenses, lines, mixing, pages, pii, sharding
+from corpuslab.llm import decontaminate, exact, jaccard, langid, licenses, lines, mixing, pages, phrases, pii, repeats, sharding, whitening
 from corpuslab.llm.common import table
 
 
@@ -59,6 +59,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the four strongest components of their distinct vectors, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without strings of 50 bytes that also start in an earlier one."""
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of every language from all documents."""
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents)
@@ -81,4 +96,7 @@ QUERIES = {
     "op8_decontaminate": (op8_decontaminate, None),
     "op9_language": (op9_language, None),
     "op10_licenses": (op10_licenses, None),
+    "op11_whitening": (op11_whitening, None),
+    "op12_suffix_dedup": (op12_suffix_dedup, repeats.SQL),
+    "op13_collocations": (op13_collocations, phrases.SQL),
 }
