@@ -50,6 +50,21 @@ def comments_scan(spark, sf):
     return src.read_comments(spark, path, "*.txt")
 
 
+@register("comments_split", f"""
+WITH {st.COMMENTS_SQL}
+SELECT file, pos, CASE WHEN pos % 2 = 1 THEN 'c' || doc_id ELSE CAST(pos AS VARCHAR) END AS id, text FROM comments""")
+def comments_split(spark, sf):
+    """The same comments through the block reader of large arrays."""
+    item = F.when(F.col("pos") % 2 == 0, json_item(F.col("text"))).otherwise(
+        F.to_json(F.struct(F.concat(F.lit("c"), "doc_id").alias("id"), F.col("text").alias("comment"))))
+    chunk = F.floor(F.col("pos") / F.lit(src.CHUNK_ROWS)).cast("bigint").alias("chunk")
+    listed = F.array_sort(F.collect_list(F.struct("pos", item.alias("item"))))
+    body = F.concat(F.lit("["), F.array_join(F.transform(listed, lambda e: e["item"]), ","), F.lit("]"))
+    path = scratch_path(spark, "split")
+    st.comments(spark, sf).groupBy("file", chunk).agg(body.alias("value")).write.partitionBy("file", "chunk").text(path)
+    return src.read_comments(spark, path, "*.txt", split_above=0)
+
+
 @register("clean_comments", f"""
 WITH joined AS (
   SELECT doc_id, text || ' ' || url AS raw FROM documents

@@ -15,8 +15,11 @@ from corpuslab import schemas
 from corpuslab.functions import text as tx
 from corpuslab.functions.vectors import from_matrix
 from corpuslab.operators.ordering import position_in_group
+from corpuslab.session import written_table
+from corpuslab.sources import json_blocks
 
 CHUNK_ROWS = 10_000
+SPLIT_BYTES = 128 << 20
 
 # Reasons of rejected files.
 MALFORMED = "malformed"
@@ -54,14 +57,15 @@ def _first_position() -> Column:
     return F.coalesce(F.nullif(chunk, F.lit("")).cast("bigint"), F.lit(0)) * F.lit(CHUNK_ROWS)
 
 
-def comment_files(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
-    """Whole files as ``file, first_pos, content``: a JSON array can only be parsed whole.
+def comment_files(spark: SparkSession, path: str | list[str], glob: str = "*.json", up_to: int | None = None) -> DataFrame:
+    """Whole files as ``file, first_pos, content``, those of at most ``up_to`` bytes.
 
-    The file is the unit of parallelism here. Very long lists belong in chunked arrays (the sink's
-    form), line files or Parquet, which all split.
+    The file is the unit of parallelism here; :func:`read_large_comments` splits larger arrays.
     """
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", glob)
-    return reader.text(path).select(file_key().alias("file"), _first_position().alias("first_pos"), F.col("value").alias("content"))
+    files = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
+    if up_to is not None:
+        files = files.filter(F.col("_metadata.file_size") <= up_to)
+    return files.select(file_key().alias("file"), _first_position().alias("first_pos"), F.col("value").alias("content"))
 
 
 def parse_comment_files(files: DataFrame) -> DataFrame:
@@ -69,7 +73,11 @@ def parse_comment_files(files: DataFrame) -> DataFrame:
 
     The id is the item's own, else its raw position (skipped items count).
     """
-    items = files.select("file", "first_pos", F.posexplode(json_items(F.col("content"))).alias("_i", "_item"))
+    return _comment_rows(files.select("file", "first_pos", F.posexplode(json_items(F.col("content"))).alias("_i", "_item")))
+
+
+def _comment_rows(items: DataFrame) -> DataFrame:
+    """``file, pos, id, text`` from array items (``file, first_pos, _i, _item``)."""
     is_text = F.schema_of_variant("_item") == "STRING"
     comment = F.try_variant_get("_item", "$.comment", "string")
     pos = (F.col("first_pos") + F.col("_i")).cast("bigint")
@@ -111,8 +119,48 @@ def rejected_files(files: DataFrame) -> DataFrame:
     )
 
 
-def read_comments(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
-    return parse_comment_files(comment_files(spark, path, glob))
+def read_comments(
+    spark: SparkSession, path: str | list[str], glob: str = "*.json", split_above: int = SPLIT_BYTES
+) -> DataFrame:
+    """Comments of all files: whole files up to ``split_above`` bytes, larger ones block by block."""
+    if file_names(spark, path, glob).filter(F.col("bytes") > split_above).isEmpty():
+        return parse_comment_files(comment_files(spark, path, glob))
+    small = parse_comment_files(comment_files(spark, path, glob, split_above))
+    return small.unionByName(read_large_comments(spark, path, glob, split_above)[0])
+
+
+def file_names(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
+    """``file_id, file, first_pos, bytes`` of every file; contents are not read."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return listing.select(
+        F.xxhash64("_metadata.file_path").alias("file_id"), file_key().alias("file"), _first_position().alias("first_pos"),
+        F.col("_metadata.file_size").alias("bytes"))
+
+
+def read_large_comments(
+    spark: SparkSession, path: str | list[str], glob: str = "*.json", larger_than: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """``file, pos, id, text`` and ``file, reason`` of files above ``larger_than`` bytes, each read by many tasks.
+
+    A file that is no array counts as another kind of value when it starts like an object or is a single scalar.
+    """
+    names = file_names(spark, path, glob).filter(F.col("bytes") > larger_than)
+    parsed = written_table(json_blocks.parsed_items(json_blocks.array_items(spark, path, glob, larger_than)), "json-parsed")
+    checked = json_blocks.whole_files(parsed)
+    good = names.join(checked.filter("whole"), "file_id").select("file_id", "file", "first_pos")
+    items = parsed.filter(F.col("value").isNotNull()).join(good, "file_id")
+    rows = _comment_rows(items.select("file", "first_pos", F.col("item").alias("_i"), F.col("value").alias("_item")))
+    usable = parsed.groupBy("file_id").agg(F.max(_usable(F.col("value"))).alias("_usable"))
+    first = json_blocks.records(spark, path, glob, larger_than).filter("block = 0").groupBy("file_id").agg(
+        F.min_by(F.col("value").cast("string"), "line").alias("_first"))
+    other = F.col("_first").rlike(r"\A[ \t\r\n]*\{") | F.try_parse_json("_first").isNotNull()
+    starts = first.filter(~F.col("_first").rlike(r"\A[ \t\r\n]*\[") & other).select("file_id", F.lit(True).alias("_object"))
+    judged = names.join(checked, "file_id", "left").join(usable, "file_id", "left").join(starts, "file_id", "left")
+    whole = F.coalesce("whole", F.lit(False))
+    reason = (
+        F.when(~whole & F.coalesce("_object", F.lit(False)), F.lit(NOT_AN_ARRAY)).when(~whole, F.lit(MALFORMED))
+        .when(~F.coalesce("_usable", F.lit(False)), F.lit(NO_COMMENTS)))
+    return rows, judged.select("file", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", suffix: str = "") -> DataFrame:
