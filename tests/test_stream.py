@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import random
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from corpuslab.operators.cooldown import cooldown_anchors
 from corpuslab.operators.encode import hashed_token_encoder
 from corpuslab.streaming import ingest
-from corpuslab.streaming.cooldown import cooldown_stream
+from corpuslab.streaming.cooldown import Cooldown, cooldown_stream
 
 ENCODER = hashed_token_encoder(8)
 
@@ -55,14 +60,100 @@ def test_replayed_batch_replaces_itself_and_skips_finished_files(spark, tmp_path
     assert ingest.vectors(spark, job).count() == 2 and ingest.finished(spark, job).count() == 1
 
 
-def test_cooldown_state_survives_batches(spark, tmp_path):
+def run_cooldown(spark, base, source, schema, lateness):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    cooldown_stream(stream, "k", "ts", lateness=lateness).writeStream.format("parquet").option("path", f"{base}/o").option(
+        "checkpointLocation", f"{base}/c").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("k STRING, anchor_ts TIMESTAMP").parquet(f"{base}/o")
+
+
+def error_rows(spark, rows):
+    return spark.createDataFrame(rows, "k STRING, s BIGINT").select("k", F.timestamp_seconds("s").alias("ts")).coalesce(1)
+
+
+def test_cooldown_state_survives_runs(spark, tmp_path):
     source, hours = str(tmp_path / "src"), [0, 10, 23, 25, 26, 49, 50]
-    rows = spark.createDataFrame([("k", h * 3600) for h in hours], "k STRING, s BIGINT").select("k", F.timestamp_seconds("s").alias("ts"))
-    for part in (rows.filter("ts < timestamp_seconds(86400)"), rows.filter("ts >= timestamp_seconds(86400)")):
-        part.write.mode("append").parquet(source)
-        stream = spark.readStream.schema(rows.schema).parquet(source)
-        cooldown_stream(stream, "k", "ts").writeStream.format("parquet").option("path", str(tmp_path / "o")).option(
-            "checkpointLocation", str(tmp_path / "c")
-        ).trigger(availableNow=True).start().awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "o")).select((F.unix_seconds("anchor_ts") / 3600).alias("h"))
-    assert sorted(r.h for r in got.collect()) == [0, 25, 49]
+    start = 1000 * 3600  # the watermark starts at the epoch
+    rows = [("k", start + h * 3600) for h in hours]
+    for part, want in ((rows[:3], [0]), (rows[3:] + [("tick", start + 400 * 3600)], [0, 25, 49]),
+                       ([("k", start + 500 * 3600), ("tick", start + 900 * 3600)], [0, 25, 49, 400, 500])):
+        frame = error_rows(spark, part)
+        frame.write.mode("append").parquet(source)
+        got = run_cooldown(spark, tmp_path, source, frame.schema, "1 hour")
+        assert sorted(r.h for r in got.select(((F.unix_seconds("anchor_ts") - start) / 3600).alias("h")).collect()) == want
+
+
+def test_cooldown_agrees_with_batch_in_any_order(spark, tmp_path):
+    """Files shuffled within two days of lateness, over many micro-batches."""
+    rng = random.Random(2)
+    source, everything = str(tmp_path / "src"), []
+    for day in range(10, 50, 2):
+        part = [(f"k{rng.randint(0, 4)}", (day * 24 + rng.randint(0, 70)) * 3600 + rng.choice([0, 0, rng.randint(0, 3599)])) for _ in range(25)]
+        everything += part
+        error_rows(spark, part).write.mode("append").parquet(source)
+    tick = error_rows(spark, [("tick", 1000 * 86400)])
+    tick.write.mode("append").parquet(source)
+    got = run_cooldown(spark, tmp_path, source, tick.schema, "2 days")
+    want = cooldown_anchors(error_rows(spark, everything), "k", "ts")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+
+
+class Shelf:
+    """Stand-in for the state of one key."""
+
+    def __init__(self):
+        self.values, self.maps, self.timers = {}, {}, []
+
+    def getValueState(self, name, schema):
+        return Cell(self.values, name)
+
+    def getMapState(self, name, key, value):
+        return Cell(self.maps, name)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class Cell:
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    exists = lambda self: self.name in self.store
+    get = lambda self: self.store[self.name]
+    clear = lambda self: self.store.pop(self.name, None)
+    getValue = lambda self, key: self.store[key]
+    removeKey = lambda self, key: self.store.pop(key)
+
+    def update(self, value):
+        self.store[self.name] = value
+
+    def updateValue(self, key, value):
+        self.store[key] = value
+
+
+class Clock:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = lambda: ms
+
+
+def test_cooldown_of_a_long_key_stays_small(spark):
+    """Chunks of a key with very many errors: what waits is bounded by the lateness, and the state ends."""
+    shelf, hour = Shelf(), 3_600_000_000
+    key = Cooldown(24 * hour, held=5000)
+    key.init(shelf)
+    opened, most = [], 0
+    for day in range(12):
+        times = np.random.default_rng(day).integers(day * 24 * hour, (day + 1) * 24 * hour, 40_000)
+        chunks = (pd.DataFrame({"time_us": times[i:i + 1000]}) for i in range(0, len(times), 1000))
+        for out in key.handleInputRows(("k",), chunks, Clock(day * 24 * 3_600_000)):
+            opened += out["anchor_us"].tolist()
+        most = max(most, sum(len(v[0]) for v in shelf.maps.values()))
+    for out in key.handleExpiredTimer(("k",), Clock(1 << 40), None):
+        opened += out["anchor_us"].tolist()
+    everything = np.unique(np.concatenate([np.random.default_rng(d).integers(d * 24 * hour, (d + 1) * 24 * hour, 40_000) for d in range(12)]))
+    want, at = [], 0
+    while at < len(everything):
+        want.append(int(everything[at]))
+        at = int(np.searchsorted(everything, want[-1] + 24 * hour))
+    assert opened == want
+    assert most <= 90_000 and not shelf.maps and not shelf.values
