@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from corpuslab.operators.encode import hashed_token_encoder
@@ -67,6 +69,28 @@ def stream_resume(spark, sf):
     return ingest.finished(spark, job).select("file", "comments", F.col("batch_id").cast("int").alias("batch_id"))
 
 
+@register("stream_steps", """
+WITH c AS (SELECT source AS file, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM documents)
+SELECT file, pos // 20 AS step, count(*) AS rows, min(pos) AS first_pos, max(pos) AS last_pos FROM c GROUP BY file, pos // 20""")
+def stream_steps(spark, sf):
+    """Row ranges of files as units of commit."""
+    job = replace(_job(spark, "steps"), step_rows=20)
+    _deliver(st.comments(spark, sf), job)
+    ingest.drain(spark, job, ENCODER)
+    ranges = ingest.vectors(spark, job).groupBy("file", "step").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    return ranges.withColumn("step", F.col("step").cast("bigint"))
+
+
+@register("stream_compacted", "SELECT source AS file, count(*) AS comments FROM documents GROUP BY source")
+def stream_compacted(spark, sf):
+    """Many small micro-batches whose ledger is merged again and again."""
+    job = replace(_job(spark, "compacted"), files_per_batch=4, compact_after=2)
+    _deliver(st.comments(spark, sf), job)
+    ingest.drain(spark, job, ENCODER)
+    return ingest.finished(spark, job).select("file", "comments")
+
+
 @register("dead_letter", """
 SELECT source || '_bad' AS file, 'malformed' AS reason FROM documents GROUP BY source
 UNION ALL SELECT lang || '_object', 'not an array' FROM documents GROUP BY lang

@@ -73,21 +73,25 @@ def parse_comment_files(files: DataFrame) -> DataFrame:
 
     The id is the item's own, else its raw position (skipped items count).
     """
-    return _comment_rows(files.select("file", "first_pos", F.posexplode(json_items(F.col("content"))).alias("_i", "_item")))
+    return _comment_rows(files.select("file", "first_pos", F.posexplode(json_items(F.col("content"))).alias("i", "_item")))
 
 
 def _comment_rows(items: DataFrame) -> DataFrame:
-    """``file, pos, id, text`` from array items (``file, first_pos, _i, _item``)."""
+    """``file, pos, id, text`` from array items (``file, first_pos, i, _item``)."""
+    return items.select("file", *item_columns()).filter(F.col("text").isNotNull())
+
+
+def item_columns() -> list[Column]:
+    """``pos, id, text`` of an array item (``first_pos, i, _item``); no text for items that are no comment."""
     is_text = F.schema_of_variant("_item") == "STRING"
     comment = F.try_variant_get("_item", "$.comment", "string")
-    pos = (F.col("first_pos") + F.col("_i")).cast("bigint")
+    pos = (F.col("first_pos") + F.col("i")).cast("bigint")
     given = F.try_variant_get("_item", "$.id", "string")
-    return items.select(
-        "file",
+    return [
         pos.alias("pos"),
         F.when(is_text, pos.cast("string")).otherwise(F.coalesce(given, pos.cast("string"))).alias("id"),
         F.when(is_text, F.try_variant_get("_item", "$", "string")).otherwise(comment).alias("text"),
-    ).filter(F.col("text").isNotNull())
+    ]
 
 
 def _usable(item: Column) -> Column:
@@ -95,13 +99,6 @@ def _usable(item: Column) -> Column:
     return is_text | F.try_variant_get(item, "$.comment", "string").isNotNull()
 
 
-def count_comments(files: DataFrame) -> DataFrame:
-    """``file, first_pos, comments`` of files with at least one usable comment, without exploding."""
-    items = json_items(F.col("content"))
-    number = F.size(F.filter(items, _usable)).cast("bigint")
-    return files.select("file", "first_pos", number.alias("comments")).filter("comments > 0")
-
-
 def rejected_files(files: DataFrame) -> DataFrame:
     """Files without any usable comment, with the reason; narrow, evaluated per file."""
     usable = F.exists("_items", _usable)
@@ -149,7 +146,7 @@ def read_large_comments(
     checked = json_blocks.whole_files(parsed)
     good = names.join(checked.filter("whole"), "file_id").select("file_id", "file", "first_pos")
     items = parsed.filter(F.col("value").isNotNull()).join(good, "file_id")
-    rows = _comment_rows(items.select("file", "first_pos", F.col("item").alias("_i"), F.col("value").alias("_item")))
+    rows = _comment_rows(items.select("file", "first_pos", F.col("item").alias("i"), F.col("value").alias("_item")))
     usable = parsed.groupBy("file_id").agg(F.max(_usable(F.col("value"))).alias("_usable"))
     first = json_blocks.records(spark, path, glob, larger_than).filter("block = 0").groupBy("file_id").agg(
         F.min_by(F.col("value").cast("string"), "line").alias("_first"))

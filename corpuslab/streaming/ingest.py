@@ -12,26 +12,35 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpuslab.operators.encode import Encoder, embed
 from corpuslab.sources import comments as src
+from corpuslab.streaming.ledger import Ledger, exists, remove, replace_part
 
 POLL = "5 seconds"
+ENCODE_ROWS = 4096  # neighbouring rows of a file that one task encodes
+WHOLE = -1  # the step under which a finished file is marked
 
 
 @dataclass(frozen=True)
 class WatchJob:
-    """Input folder and the three output tables (Parquet, partitioned by micro-batch)."""
+    """Input folder, the output tables (Parquet, by micro-batch) and the ledger of what is done."""
 
     inbox: str
     out: str
     glob: str = "*.json"
     files_per_batch: int = 1000
+    step_rows: int = 50_000
+    compact_after: int = 32
 
     @property
-    def vectors(self) -> str:
-        return f"{self.out}/vectors"
+    def ledger(self) -> Ledger:
+        return Ledger(f"{self.out}/manifest", compact_after=self.compact_after)
+
+    @property
+    def parsed(self) -> str:
+        return f"{self.out}/parsed"
 
     @property
-    def manifest(self) -> str:
-        return f"{self.out}/manifest"
+    def vectors(self) -> str:
+        return f"{self.out}/vectors"
 
     @property
     def dead_letter(self) -> str:
@@ -66,38 +75,67 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def finished(spark: SparkSession, job: WatchJob) -> DataFrame:
-    """Files with an output, one narrow row each."""
-    return _table(spark, job.manifest, "file STRING, first_pos BIGINT, comments BIGINT, batch_id BIGINT")
+    """Files with a complete output, one narrow row each."""
+    return job.ledger.entries(spark).filter("whole").select("file", "first_pos", "comments", "batch_id")
 
 
 def process_batch(job: WatchJob, factory: Callable[[], Encoder]) -> Callable[[DataFrame, int], None]:
     """Body for ``foreachBatch``.
 
-    Every table is overwritten per batch id, so a batch that is replayed after a failure replaces its
-    own partial output. Files finished by an earlier batch are skipped by an anti join on the
-    manifest. The manifest is written last and marks the files done.
+    Files are parsed once into a table of the batch. Their rows are encoded and written in steps of ``job.step_rows`` rows
+    per file, and each step is marked in the ledger when its vectors are there. A batch that is replayed after a failure
+    finds its parsed rows and its marks and encodes only what is missing; a step that was cut off replaces its own output.
+    Files that an earlier batch finished are skipped. The mark of the whole file is written last.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = finished(spark, job).filter(F.col("batch_id") != batch_id).select("file", "first_pos")
-        fresh = batch.join(done, ["file", "first_pos"], "left_anti").persist()
+        known = job.ledger.lookup(batch).cache()
         try:
-            rows = src.parse_comment_files(fresh)
-            embedded = embed(rows, "text", factory).withColumn("original_pos", F.lit(None).cast("bigint"))
-            _replace(embedded, job.vectors, batch_id)
-            _replace(src.rejected_files(fresh), job.dead_letter, batch_id)
-            _replace(src.count_comments(fresh), job.manifest, batch_id)
+            finished_before = known.filter(F.col("whole") & (F.col("batch_id") != batch_id)).select("file", "first_pos")
+            rows = _parsed(batch.join(finished_before, ["file", "first_pos"], "left_anti"), job, batch_id)
+            comments = rows.filter("text IS NOT NULL").withColumn("step", F.floor(F.col("i") / F.lit(job.step_rows)))
+            marked = known.filter(~F.col("whole") & (F.col("batch_id") == batch_id)).select("file", "first_pos", "step")
+            open_rows = comments.join(marked, ["file", "first_pos", "step"], "left_anti")
+            counts = open_rows.groupBy("step").agg(F.count(F.lit(1)).alias("n")).orderBy("step")
+            for step, _ in counts.toLocalIterator():  # one number per range of the longest file
+                part = open_rows.filter(F.col("step") == step)
+                spread = part.repartition("file", F.floor(F.col("i") / F.lit(ENCODE_ROWS))).select("file", "pos", "id", "text", "step")
+                embedded = embed(spread, "text", factory).withColumn("original_pos", F.lit(None).cast("bigint"))
+                replace_part(embedded.withColumn("batch_id", F.lit(batch_id).cast("bigint")), job.vectors, "batch_id", "step")
+                here = comments.filter(F.col("step") == step).groupBy("file", "first_pos").agg(F.count(F.lit(1)).alias("comments"))
+                job.ledger.append(here.withColumn("whole", F.lit(False)), batch_id, step)
+            replace_part(_rejected(rows).withColumn("batch_id", F.lit(batch_id).cast("bigint")), job.dead_letter, "batch_id")
+            done = comments.groupBy("file", "first_pos").agg(F.count(F.lit(1)).alias("comments"), F.lit(True).alias("whole"))
+            job.ledger.append(done, batch_id, WHOLE)
         finally:
-            fresh.unpersist()
+            known.unpersist()
+        remove(spark, f"{job.parsed}/batch_id={batch_id}")
+        job.ledger.compact(spark, batch_id)
 
     return run
 
 
-def _replace(df: DataFrame, path: str, batch_id: int) -> None:
-    df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("batch_id").parquet(path)
+def _parsed(files: DataFrame, job: WatchJob, batch_id: int) -> DataFrame:
+    """The batch's items, parsed once: ``file, first_pos, i, pos, id, text, array, other``; kept until the batch is done.
+
+    A file without items is one row without text.
+    """
+    spark, path = files.sparkSession, f"{job.parsed}/batch_id={batch_id}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        items = files.select("file", "first_pos", src.json_items(F.col("content")).alias("_items"), F.try_parse_json("content").isNotNull().alias("other"))
+        rows = items.select("file", "first_pos", "other", F.col("_items").isNotNull().alias("array"), F.posexplode_outer("_items").alias("i", "_item"))
+        rows.select("file", "first_pos", "i", "array", "other", *src.item_columns()).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _rejected(rows: DataFrame) -> DataFrame:
+    """Files of parsed rows without any usable comment, with the reason."""
+    files = rows.groupBy("file", "first_pos").agg(
+        F.max(F.col("text").isNotNull()).alias("_usable"), F.max("array").alias("_array"), F.max("other").alias("_other"))
+    reason = F.when(~F.col("_array") & ~F.col("_other"), F.lit(src.MALFORMED)).when(~F.col("_array"), F.lit(src.NOT_AN_ARRAY)).otherwise(
+        F.lit(src.NO_COMMENTS))
+    return files.filter("NOT _usable").select("file", reason.alias("reason"))
 
 
 def start(spark: SparkSession, job: WatchJob, factory: Callable[[], Encoder], once: bool = False) -> StreamingQuery:

@@ -1,15 +1,18 @@
 from __future__ import annotations
 
+import json
 import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from corpuslab.operators.cooldown import cooldown_anchors
 from corpuslab.operators.encode import hashed_token_encoder
 from corpuslab.streaming import ingest
 from corpuslab.streaming.cooldown import Cooldown, cooldown_stream
+from corpuslab.streaming.ledger import Ledger
 
 ENCODER = hashed_token_encoder(8)
 
@@ -60,6 +63,71 @@ def test_replayed_batch_replaces_itself_and_skips_finished_files(spark, tmp_path
     assert ingest.vectors(spark, job).count() == 2 and ingest.finished(spark, job).count() == 1
 
 
+def test_half_done_file_goes_on(spark, tmp_path):
+    """A run that stops in the middle of a file leaves its marks; the next one encodes only the rest."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([f"text {i}" for i in range(10)]))
+    (tmp_path / "in" / "b.json").write_text('["short"]')
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def encoder(stop):
+        def factory():
+            def encode(texts):
+                if stop and any(t.endswith("text 7") for t in texts):
+                    raise RuntimeError("stopped on purpose")
+                for t in texts:
+                    (seen / f"{stop}-{t.split(': ')[-1]}").touch()
+                return np.ones((len(texts), 4), np.float32)
+            return encode
+        return factory
+
+    job = ingest.WatchJob(str(tmp_path / "in"), str(tmp_path / "out"), step_rows=3)
+    with pytest.raises(Exception, match="stopped on purpose"):
+        ingest.drain(spark, job, encoder(True))
+    assert ingest.finished(spark, job).count() == 0
+    first = {p.name.split("-")[1] for p in seen.glob("True-*")}
+    ingest.drain(spark, job, encoder(False))
+    second = {p.name.split("-")[1] for p in seen.glob("False-*")}
+    assert {f"text {i}" for i in range(6)} <= first and second == {f"text {i}" for i in range(6, 10)}
+    assert {(r.file, r.comments) for r in ingest.finished(spark, job).collect()} == {("a.json", 10), ("b.json", 1)}
+    got = sorted((r.file, r.pos, r.text) for r in ingest.vectors(spark, job).collect())
+    assert got == [("a.json", i, f"text {i}") for i in range(10)] + [("b.json", 0, "short")]
+    assert not list((tmp_path / "out" / "parsed").glob("batch_id=*"))
+
+
+def entry(spark, name, n=1, whole=True):
+    return spark.createDataFrame([(name, 0, n, whole)], "file STRING, first_pos BIGINT, comments BIGINT, whole BOOLEAN")
+
+
+def test_ledger_stays_small(spark, tmp_path):
+    book = Ledger(str(tmp_path / "m"), buckets=4, compact_after=5)
+    most = 0
+    for batch in range(24):
+        book.append(entry(spark, f"f{batch}", 3, whole=False), batch, 0)
+        book.append(entry(spark, f"f{batch}"), batch, -1)
+        book.compact(spark, batch)
+        most = max(most, len(list((tmp_path / "m").rglob("*.parquet"))))
+    assert most <= 2 * 5 + 2 * 4 + 4
+    assert {r.file for r in book.entries(spark).filter("whole").collect()} == {f"f{i}" for i in range(24)}
+    found = book.lookup(spark.createDataFrame([("f3",), ("f23",), ("other",)], "file STRING"))
+    assert {r.file for r in found.collect()} == {"f3", "f23"}
+    wanted = spark.createDataFrame([("f3",)], "file STRING")
+    plan = book.lookup(wanted)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+
+
+def test_ledger_ignores_a_version_that_was_cut_off(spark, tmp_path):
+    book = Ledger(str(tmp_path / "m"), buckets=2, compact_after=2)
+    for batch in range(3):
+        book.append(entry(spark, f"f{batch}"), batch, -1)
+    entry(spark, "ghost").selectExpr("*", "0L AS step", "2L AS batch_id", "0 AS bucket").write.partitionBy("bucket").parquet(f"{book.path}/base/version=2")
+    (tmp_path / "m" / "base" / "version=2" / "_SUCCESS").unlink()
+    assert {r.file for r in book.entries(spark).collect()} == {"f0", "f1", "f2"}
+    assert book.compact(spark, 2) and book.version(spark) == 2
+    assert {r.file for r in book.entries(spark).collect()} == {"f0", "f1", "f2"}
+
+
 def run_cooldown(spark, base, source, schema, lateness):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     cooldown_stream(stream, "k", "ts", lateness=lateness).writeStream.format("parquet").option("path", f"{base}/o").option(
