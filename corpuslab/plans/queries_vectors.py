@@ -13,6 +13,7 @@ from corpuslab.functions.vectors import to_matrix
 from corpuslab.operators import cluster as cl
 from corpuslab.operators import dedup, profile
 from corpuslab.operators import select_k as sk
+from corpuslab.operators.bounded import assign_to_table, run_bounded
 from corpuslab.operators.ordering import hash_sample, id_block
 from corpuslab.plans import jobs
 from corpuslab.plans import standins as st
@@ -21,6 +22,7 @@ from corpuslab.sources import comments as src
 
 QUERIES: dict[str, tuple] = {}
 LLOYD_K, LLOYD_ROUNDS, SCAN_K = 5, 2, 12
+BOUNDED_K, BOUNDED_ROUNDS = 20, 4
 
 
 def register(name: str, sql: str | None = None):
@@ -293,11 +295,7 @@ WITH {st.CENTERS_SQL}, gaps AS (
 SELECT vec_id, arg_min(cluster, (sq, cluster)) AS cluster FROM gaps GROUP BY vec_id""")
 def assign_nearest_centroid(spark, sf):
     emb = _emb(spark, sf)
-    rows = cl.centroids(emb, "label").orderBy("cluster").limit(cl.MAX_CLUSTERS + 1).collect()
-    if len(rows) > cl.MAX_CLUSTERS:
-        raise ValueError("more labels than k-means centres are meant for")
-    centers, ids = np.array([r.center for r in rows]), np.array([r.cluster for r in rows])
-    return cl.assign(emb.select("vec_id", "embedding"), centers, ids=ids).select("vec_id", "cluster")
+    return assign_to_table(emb.select("vec_id", "embedding"), cl.centroids(emb, "label")).select("vec_id", "cluster")
 
 
 def lowest_ids(emb, k: int) -> np.ndarray:
@@ -338,6 +336,16 @@ def kmeans_lloyd(spark, sf):
     return _round(out, "inertia")
 
 
+@register("kmeans_bounded", _lloyd_sql(BOUNDED_K, BOUNDED_ROUNDS))
+def kmeans_bounded(spark, sf):
+    """Lloyd rounds from given seeds with bounds kept between the rounds."""
+    emb = _emb(spark, sf)
+    found = run_bounded(emb, lowest_ids(emb, BOUNDED_K), BOUNDED_ROUNDS, id_col="vec_id")
+    measured = cl.with_distance(found.labelled, cl.centers_frame(spark, found.fit.centers), "label")
+    out = measured.groupBy(F.col("label").alias("cluster")).agg(F.count(F.lit(1)).alias("n"), F.sum("sq_distance").alias("inertia"))
+    return _round(out, "inertia")
+
+
 @register("silhouette_cosine", f"""
 WITH gaps AS (
   SELECT a.vec_id AS i, a.label AS own, b.label AS other,
