@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslab.session import written_table
+
 WORD_CACHE = 1 << 17  # words; bounds the memory of a task
 
 
@@ -84,3 +86,12 @@ def offsets_before(counts: DataFrame, order: list[str], n: str, out: str) -> Dat
 
     before = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn(out, F.coalesce(F.sum(n).over(before), F.lit(0)).cast("bigint"))
+
+
+def row_marked(docs: DataFrame, key: str = "doc_id", mark: str = "_mark") -> tuple[DataFrame, bool]:
+    """Adds a long that names every row: ``key`` itself where no value is null or repeats, else a number given to the
+    rows of a written copy (written once, so that it stays the same whenever it is read). Also says whether it is ``key``."""
+    spread = docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())
+    if spread.isEmpty():
+        return docs.withColumn(mark, F.col(key).cast("bigint")), True
+    return written_table(docs.withColumn(mark, F.monotonically_increasing_id()), "marked"), False

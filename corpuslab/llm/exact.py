@@ -155,15 +155,19 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
     return keyed.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "digest binary")
 
 
-def same_bytes(pairs: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
+def same_bytes(pairs: DataFrame, docs: DataFrame, text: str, key: str, by_digest: bool = False) -> DataFrame:
     """Of ``digest, old_id, new_id`` keeps pairs whose normalised texts are equal byte by byte.
 
-    Both texts are fetched by the same join (one row per wanted id and side), then met on the digest. The join is
+    With ``by_digest`` texts are fetched by their SHA-256 and id, as an id may be null or repeat with another text; else
+    by id alone. The join is
     always a sort-merge join: the number of copies grows with the table, so no plan may rest on its being small.
     """
-    wanted = pairs.select("digest", F.explode(F.array("old_id", "new_id")).alias("_id"))
+    wanted = pairs.select(F.col("digest").alias("_digest"), F.explode(F.array("old_id", "new_id")).alias("_wanted")).distinct()
     texts = docs.select(F.col(key).alias("_id"), normalised(F.col(text)).alias("_text"))
-    met = texts.join(wanted.hint("merge"), "_id").groupBy("digest").agg(
+    own = F.col("_id").eqNullSafe(F.col("_wanted"))
+    if by_digest:
+        own = own & (F.unhex(F.sha2(F.col("_text").cast("binary"), 256)) == F.col("_digest"))
+    met = texts.join(wanted.hint("merge"), own).groupBy(F.col("_digest").alias("digest")).agg(
         F.min("_text").alias("_low"), F.max("_text").alias("_high"))
     return met.filter(F.col("_low") == F.col("_high")).select("digest")
 
@@ -192,7 +196,7 @@ def dedup_against_snapshot(
     both = written_table(both, "exact-both")
     pairs = both.select("digest", F.col("best.doc_id").alias("old_id"), F.col("new_best.doc_id").alias("new_id"))
     all_docs = snapshot.select(key, text).unionByName(incoming.select(key, text))
-    proven = same_bytes(pairs, all_docs, text, key)
+    proven = same_bytes(pairs, all_docs, text, key, by_digest=True)
     # a digest found on both sides is one class; without byte equality the two sides stay apart
     merged = both.join(proven, "digest").select(
         "digest", (F.col("n") + F.col("new_n")).alias("_n"), F.least("best", "new_best").alias("_best"))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from corpuslab.llm.common import WordHashes, map_batches, mix, shingle_hashes, split_words, text_bytes
+from corpuslab.llm.common import WordHashes, map_batches, mix, row_marked, shingle_hashes, split_words, text_bytes
 from corpuslab.llm.graph import components
 from corpuslab.session import written_table
 
@@ -371,11 +371,21 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
 
 
 def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The first document of every component, with all columns; rows without id stay.
+    """One document of every component, with all columns: the first by id (rows without one last, repeated ones in the order of the table).
 
     Rows that are surely no other member pass without a shuffle; only those whose id may be one meet the exact list.
     """
-    rows = component_rows(docs, k, percent, key, text).filter(F.col("doc_id") != F.col("component_id"))
+    columns = docs.columns
+    docs, unique = row_marked(docs, key, "_row_mark")
+    rows = component_rows(docs, k, percent, "_row_mark", text)
+    if unique:
+        rows = rows.filter(F.col("doc_id") != F.col("component_id"))
+    else:  # numbers of rows say nothing about the ids
+        order = F.struct(F.col("_id").isNull().alias("none"), "_id", F.col("doc_id").alias("mark"))
+        named = written_table(rows.join(docs.select(F.col("_row_mark").alias("doc_id"), F.col(key).alias("_id")), "doc_id"), "jaccard-named")
+        best = named.groupBy("component_id").agg(F.min(order).alias("_best"))
+        rows = named.join(best, "component_id").filter(F.col("doc_id") != F.col("_best.mark"))
+    key = "_row_mark"
     others = written_table(rows.select(F.col("doc_id").alias("id")).distinct(), "jaccard-others")
     bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(others))
 
@@ -387,4 +397,4 @@ def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80, key: str =
 
     other = may_be_other(F.xxhash64(F.col(key).cast("bigint")))
     exact = docs.filter(other).join(others.select(F.col("id").alias(key)).hint("merge"), key, "left_anti")
-    return docs.filter(~other).unionByName(exact)
+    return docs.filter(~other).unionByName(exact).select(*columns)

@@ -9,8 +9,8 @@ Only chunk keys (digest, bytes, lines) are grouped, pre-aggregated per task; tex
 ones. Hot keys meet in joins that adaptive execution splits, never in one group.
 
 Edge cases: a null text stays null and has no lines, an empty one has one empty line; a text whose chunks all go becomes
-empty; rows without doc_id come last in the order; rows that repeat a doc_id with its text share its chunks and keep or
-lose them together; an empty table gives no rows; extra columns are ignored.
+empty; rows without doc_id come last in the order; rows of one doc_id (or without any) are told apart by the MD5 of their
+text and ordered by it, and those that repeat a doc_id with its text keep or lose their chunks together; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,17 +39,18 @@ def boundaries(hashes: Column) -> Column:
 
 
 def with_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id, lines, chunks``; a chunk is ``no, start, n`` (0-based first line, lines)."""
-    rows = docs.select("doc_id", F.split(F.col(text), "\n", -1).alias("lines"))
+    """``doc_id, mark, lines, chunks``: ``mark`` tells texts of one doc_id apart; a chunk is ``no, start, n`` (0-based first
+    line, lines)."""
+    rows = docs.select("doc_id", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("mark"), F.split(F.col(text), "\n", -1).alias("lines"))
     rows = rows.withColumn("hashes", F.transform("lines", line_hash))
-    rows = rows.select("doc_id", "lines", boundaries(F.col("hashes")).alias("ends"))
+    rows = rows.select("doc_id", "mark", "lines", boundaries(F.col("hashes")).alias("ends"))
     number = F.sequence(F.lit(0), F.size("ends") - 1)
 
     def chunk(c: Column) -> Column:
         start = F.when(c == 0, F.lit(0)).otherwise(F.get("ends", c - 1) + 1)
         return F.struct(c.alias("no"), start.alias("start"), (F.get("ends", c) - start + 1).alias("n"))
 
-    return rows.select("doc_id", "lines", F.when(F.col("lines").isNotNull(), F.transform(number, chunk)).alias("chunks"))
+    return rows.select("doc_id", "mark", "lines", F.when(F.col("lines").isNotNull(), F.transform(number, chunk)).alias("chunks"))
 
 
 def chunk_text(lines: Column, chunk: Column) -> Column:
@@ -57,7 +58,7 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
 
 
 def repeated_chunks(chunked: DataFrame) -> DataFrame:
-    """``doc_id, no, first_doc, first_no``: every chunk of several lines that occurs elsewhere, bytes compared."""
+    """``doc_id, mark, no, first_doc, first_mark, first_no``: every chunk of several lines that occurs elsewhere, bytes compared."""
     long_ones = F.filter("chunks", lambda c: c["n"] >= LEAST_LINES)
 
     def key(c: Column) -> Column:
@@ -65,35 +66,40 @@ def repeated_chunks(chunked: DataFrame) -> DataFrame:
         return F.struct(F.md5(body.cast("binary")).alias("digest"), F.octet_length(body).alias("bytes"), c["n"].alias("n"), c["no"].alias("no"))
 
     # no filter below the explode: it would be pushed through the projections and repeat the hashing for every line
-    keyed = chunked.select("doc_id", F.explode_outer(F.transform(long_ones, key)).alias("k"))
-    keyed = written_table(keyed.filter(F.col("k").isNotNull()).select("doc_id", "k.*"), "line-chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "no")
+    keyed = chunked.select("doc_id", "mark", F.explode_outer(F.transform(long_ones, key)).alias("k"))
+    keyed = written_table(keyed.filter(F.col("k").isNotNull()).select("doc_id", "mark", "k.*"), "line-chunks")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "no")
     names = ["digest", "bytes", "n"]
     often = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first")).filter("times > 1")
-    often = often.select(*names, F.col("first.doc_id").alias("first_doc"), F.col("first.no").alias("first_no"))
+    often = often.select(*names, F.col("first.doc_id").alias("first_doc"), F.col("first.mark").alias("first_mark"), F.col("first.no").alias("first_no"))
     met = written_table(keyed.join(often, names), "line-repeats")
 
     # texts of the repeated chunks only; always the same kind of join, since repeats grow with the table
-    asked = met.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("no").alias("asked"))  # a document's own chunks
-    rows = chunked.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    asked = met.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set("no").alias("asked"))  # a document's own chunks
+    rows = chunked.join(asked.hint("merge"), _same("_id", "_mark"))
     named = F.transform("asked", lambda no: F.struct(
         no.alias("no"), chunk_text(F.col("lines"), F.get("chunks", no)).alias("body")))
-    texts = rows.select("doc_id", F.explode_outer(named).alias("t")).select("doc_id", "t.no", "t.body")
+    texts = rows.select("doc_id", "mark", F.explode_outer(named).alias("t")).select("doc_id", "mark", "t.no", "t.body")
     texts = written_table(texts.distinct(), "line-texts")
-    own = texts.select(F.col("doc_id").alias("_id"), F.col("no").alias("_no"), "body")
-    first = texts.select(F.col("doc_id").alias("_fid"), F.col("no").alias("_fno"), F.col("body").alias("first_body"))
-    proven = met.join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("no") == F.col("_no"))).join(
-        first, F.col("first_doc").eqNullSafe(F.col("_fid")) & (F.col("first_no") == F.col("_fno")))
-    return proven.filter(F.col("body") == F.col("first_body")).select("doc_id", "no", "first_doc", "first_no")
+    own = texts.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("no").alias("_no"), "body")
+    first = texts.select(F.col("doc_id").alias("_fid"), F.col("mark").alias("_fmark"), F.col("no").alias("_fno"), F.col("body").alias("first_body"))
+    proven = met.join(own, _same("_id", "_mark") & (F.col("no") == F.col("_no"))).join(
+        first, F.col("first_doc").eqNullSafe(F.col("_fid")) & (F.col("first_mark") == F.col("_fmark")) & (F.col("first_no") == F.col("_fno")))
+    names = ["doc_id", "mark", "no", "first_doc", "first_mark", "first_no"]
+    return proven.filter(F.col("body") == F.col("first_body")).select(*names)
+
+
+def _same(key: str, mark: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("mark") == F.col(mark))
 
 
 def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, text, n_lines, n_chunks, removed_chunks, removed_lines`` of every row, ``text`` without repeats."""
     chunked = with_chunks(docs, text)
     later = repeated_chunks(chunked).filter(
-        ~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("no") == F.col("first_no"))))
-    gone = later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("no").alias("gone"))
-    rows = chunked.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+        ~(_same("first_doc", "first_mark") & (F.col("no") == F.col("first_no"))))
+    gone = later.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set("no").alias("gone"))
+    rows = chunked.join(gone.hint("merge"), _same("_id", "_mark"), "left")
     none = F.array().cast("array<int>")
     gone = F.coalesce("gone", none)
     dropped = F.filter("chunks", lambda c: F.array_contains(gone, c["no"]))

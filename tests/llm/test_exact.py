@@ -50,3 +50,10 @@ def test_bytes_are_compared(spark):
     docs = spark.createDataFrame([(1, "p"), (2, "q"), (3, "r"), (4, " r")], "doc_id long, text string")
     pairs = spark.createDataFrame([(bytearray(b"k"), 1, 2), (bytearray(b"l"), 3, 4)], "digest binary, old_id long, new_id long")
     assert [bytes(r.digest) for r in exact.same_bytes(pairs, docs, "text", "doc_id").collect()] == [b"l"]
+
+
+def test_ids_that_are_null_or_repeat(spark):
+    """60 ids each carrying two texts, every text under two ids; then texts without an id."""
+    rows = [(i, f"text {i}") for i in range(60)] + [((i + 7) % 60, f"text {i} ") for i in range(60)] + [(None, f" text {i}") for i in range(0, 60, 2)]
+    got = exact.exact_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([tuple(r[c] for c in ("doc_id", "keep_id", "group_size", "kept", "text_sha256")) for r in got], key=str) == brute(rows)

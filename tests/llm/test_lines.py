@@ -21,17 +21,18 @@ def chunks(text):
 
 def brute(rows):
     places = defaultdict(set)
+    mark = lambda text: hashlib.md5((text or "").encode()).hexdigest()
     for i, text in rows:
         for no, c in enumerate(chunks(text) if text is not None else []):
             if "\n" in c:
-                places[c].add((i is None, i or 0, no))
+                places[c].add((i is None, i or 0, mark(text), no))
     out = []
     for i, text in rows:
         if text is None:
             out.append((i, None, 0, 0, 0))
             continue
         own = chunks(text)
-        gone = {no for no, c in enumerate(own) if "\n" in c and min(places[c]) != (i is None, i or 0, no)}
+        gone = {no for no, c in enumerate(own) if "\n" in c and min(places[c]) != (i is None, i or 0, mark(text), no)}
         kept = "\n".join(c for no, c in enumerate(own) if no not in gone)
         out.append((i, kept, len(own), len(gone), sum(own[no].count("\n") + 1 for no in gone)))
     return sorted(out, key=str)
@@ -71,3 +72,13 @@ def test_bytes_are_compared(passages, monkeypatch):
 def test_no_python_in_the_plan(passages):
     plan = lines.dedup_lines(passages)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_ids_that_are_null_or_repeat(spark):
+    """Rows of one id, or of none, with different texts: only what occurs elsewhere goes."""
+    shared, own = ("\n".join(f"{w} {i}" for i in range(40)) for w in ("shared line", "own line"))
+    for ids in ((1, None, None), (1, 2, 2)):
+        rows = list(zip(ids, (shared, shared, own)))
+        got = result(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert got == brute(rows)
+        assert own in [text for _, text, *_ in got]

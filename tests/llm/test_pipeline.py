@@ -42,3 +42,14 @@ def test_empty_table(spark, none, sf):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, sf)
     assert docs.count() == 0
+
+
+def test_copies_with_repeated_or_null_ids(spark, sf):
+    words = lambda w: " ".join(f"{w}{i}" for i in range(30))
+    rows = [(1, words("a")), (1, words("a")), (None, words("b")), (None, words("b")), (None, words("a")), (2, words("c")), (2, words("d"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.join_near_duplicates(spark, docs, sf).collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in kept)) == sorted([(1, words("a")), (0, words("b")), (2, words("c")), (2, words("d"))])
+    placed = cp.assign_shards(spark, docs, sf).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in placed) == sorted((i or 0, t) for i, t in rows)
+    assert len({(r.shard, r.slot) for r in placed}) == len(rows)
