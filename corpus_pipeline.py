@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslab.llm import decontaminate, jaccard, langid, mixing, sharding
-from corpuslab.llm.common import table
+from corpuslab.llm.common import row_marked, table
 from corpuslab.session import scratch_path
 
 ORACLE_SQL = None
@@ -47,8 +47,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document, sources interleaved in proportion."""
-    return sharding.interleave(docs, SHARDS).drop("fraction")
+    """Shard and slot of every document, sources interleaved in proportion. Narrow rows are ranked; texts move once."""
+    marked, _ = row_marked(docs, mark="_row_mark")
+    places = sharding.interleave(marked.select("_row_mark", "source"), SHARDS, key="_row_mark").select("_row_mark", "shard", "slot")
+    own = [c for c in docs.columns if c not in ("shard", "slot")]
+    return marked.select("_row_mark", *own).join(places.hint("merge"), "_row_mark").drop("_row_mark")
 
 
 STAGES = [
