@@ -16,12 +16,16 @@ from corpuslab.functions import vectors as vx
 from corpuslab.functions.vectors import pairwise_squared, to_matrix
 from corpuslab.operators.joins import attach_bounded
 from corpuslab.operators.ordering import hash_sample, top_per_group
+from corpuslab.session import remove_table, scratch_path
 
 MAX_CLUSTERS = 4096
 SEED_ROUNDS = 5
 MOST_SEED_ROUNDS = 30
 DIRECT_ROWS = 20_000
 MOST_SLICES = 20
+MOST_ROUNDS = 100
+LEAST_SHARE = 0.01  # of the largest centre's rows; below it a centre is replaced
+PATIENCE = 10  # rounds without a lower smoothed cost
 
 
 @dataclass
@@ -271,32 +275,92 @@ def fit_on_sample(vectors: DataFrame, ks: list[int], sample: int, id_col: str =
         drawn.unpersist()
 
 
-def fit_minibatch(vectors: DataFrame, ks: list[int], batch: int, id_col: str = "id", vec: str = "embedding", n_init: int = 3, seed: int = 42) -> dict[int, Fit]:
-    """Mini-batch fit that shows every row to the model; seeds and final scores also come from all rows.
+def slice_table(vectors: DataFrame, slices: int, id_col: str, vec: str, seed: int) -> tuple[DataFrame, str]:
+    """Disjoint hash slices written once as partitions ``slice``, so a round reads its own slice only."""
+    place = F.pmod(F.xxhash64(id_col, F.lit(f"slice {seed}")), F.lit(slices)).cast("int")
+    path = scratch_path(vectors.sparkSession, "slices")
+    vectors.select(id_col, vec, place.alias("slice")).repartition("slice", F.pmod(F.xxhash64(id_col), F.lit(16))).write.partitionBy("slice").parquet(path)
+    return vectors.sparkSession.read.parquet(path), path
+
+
+def _dispensable(centers: np.ndarray, met: np.ndarray, cost: float) -> np.ndarray:
+    """Centres whose rows could go to the next centre for less than a centre's mean share of the cost."""
+    gaps = pairwise_squared(centers, centers)
+    np.fill_diagonal(gaps, np.inf)
+    return met * gaps.min(1) <= cost * met.sum() / len(met)
 
-    The batches are disjoint hash slices of about ``batch`` rows that cover the table, at most ``MOST_SLICES`` of them
-    (they grow with a larger table). All are gone through equally often, in ``MOST_SLICES`` rounds or a few more. A centre
-    is the mean of the rows it has met; an empty one keeps its place.
+
+def run_minibatch(
+    vectors: DataFrame, starts: dict[tuple[int, int], np.ndarray], slices: int, id_col: str = "id", vec: str = "embedding", seed: int = 42,
+    least_share: float = LEAST_SHARE, patience: int = PATIENCE, most_rounds: int = MOST_ROUNDS,
+) -> list[Fit]:
+    """Mini-batch rounds of all models together over ``slices`` hash slices, each gone through in turn.
+
+    A centre is the mean of the rows it has met. After a round, centres that met less than ``least_share`` of what the
+    largest one did move to rows of the slice (those of the smallest hash), and count like the smallest of the others;
+    a small one whose few rows lie far from all other centres stays.
+    A model rests when its smoothed cost per row has not fallen for ``patience`` rounds; all slices are shown at least once.
     """
-    slices = min(MOST_SLICES, max(1, -(-vectors.count() // batch)))
-    _, candidates = seed_candidates(vectors, max(ks), n_init, seed, id_col, vec)
-    keys = [(k, restart) for k in ks for restart in range(n_init)]
-    centers = {}
-    for m, (k, restart) in enumerate(keys):
-        points, weights = candidates[restart]
-        centers[m] = np.array(spread_seeds(points, k, np.random.default_rng([seed, k, restart]), weights), dtype=np.float64)
+    keys = list(starts)
+    centers = {m: np.array(starts[key], dtype=np.float64) for m, key in enumerate(keys)}
     met = {m: np.zeros(len(c), dtype=np.int64) for m, c in centers.items()}
-    rounds = slices * -(-MOST_SLICES // slices)
-    place = F.pmod(F.xxhash64(id_col, F.lit(f"slice {seed}")), F.lit(slices))
-    for turn in range(rounds):
-        for m, found in lloyd_pass(vectors.filter(place == turn % slices), centers, vec).items():
+    smooth: dict[int, float] = {}
+    best, waited = dict.fromkeys(centers, np.inf), dict.fromkeys(centers, 0)
+    rounds, active = dict.fromkeys(centers, 0), set(centers)
+    table, path = slice_table(vectors, slices, id_col, vec, seed)
+    blend = min(1.0, 2.0 / (slices + 1))
+    for turn in range(max(most_rounds, slices)):
+        if not active:
+            break
+        part = table.filter(F.col("slice") == turn % slices).select(id_col, vec)
+        low: dict[int, np.ndarray] = {}
+        for m, found in lloyd_pass(part, {m: centers[m] for m in active}, vec).items():
+            n = int(found.counts.sum())
+            if n == 0:
+                continue
             met[m] += found.counts
             centers[m] += (found.sums - found.counts[:, None] * centers[m]) / np.maximum(met[m], 1)[:, None]
+            rounds[m] += 1
+            cost = found.inertia / n
+            smooth[m] = cost if m not in smooth else smooth[m] * (1 - blend) + cost * blend
+            waited[m] = 0 if smooth[m] < best[m] else waited[m] + 1
+            best[m] = min(best[m], smooth[m])
+            if turn + 1 >= slices and waited[m] >= patience:
+                active.discard(m)
+            elif turn + 1 < max(most_rounds, slices) and len(met[m]) > 1:
+                few = np.flatnonzero((met[m] < least_share * met[m].max()) & _dispensable(centers[m], met[m], smooth[m]))[: n // 2]
+                if len(few):
+                    low[m] = few
+        if low:
+            wanted = max(len(few) for few in low.values())  # at most k rows
+            rows = part.orderBy(F.xxhash64(id_col, F.lit(f"replace {seed}/{turn}")), id_col).limit(wanted).collect()
+            points = np.array([r[vec] for r in rows], dtype=np.float64)
+            for m, few in low.items():
+                few = few[:len(points)]
+                stay = np.delete(met[m], few)
+                centers[m][few] = points[:len(few)]
+                met[m][few] = stay.min()
+    remove_table(vectors.sparkSession, path)
     final = lloyd_pass(vectors, centers, vec)
+    return [Fit(len(centers[m]), key[1], centers[m], final[m].counts, final[m].inertia, rounds[m]) for m, key in enumerate(keys)]
+
+
+def fit_minibatch(vectors: DataFrame, ks: list[int], batch: int, id_col: str = "id", vec: str = "embedding", n_init: int = 3, seed: int = 42) -> dict[int, Fit]:
+    """Mini-batch fit that shows every row to the model; seeds and final scores also come from all rows.
+
+    The slices hold about ``batch`` rows, more in a table of over ``MOST_SLICES`` of them.
+    """
+    slices = min(MOST_SLICES, max(1, -(-vectors.count() // batch)))
+    _, candidates = seed_candidates(vectors, max(ks), n_init, seed, id_col, vec)
+    starts = {}
+    for k in ks:
+        for restart in range(n_init):
+            points, weights = candidates[restart]
+            starts[(k, restart)] = spread_seeds(points, k, np.random.default_rng([seed, k, restart]), weights)
     best: dict[int, Fit] = {}
-    for m, (k, restart) in enumerate(keys):
-        if k not in best or final[m].inertia < best[k].inertia:
-            best[k] = Fit(len(centers[m]), restart, centers[m], final[m].counts, final[m].inertia, rounds)
+    for (k, _), fit in zip(starts, run_minibatch(vectors, starts, slices, id_col, vec, seed)):
+        if k not in best or fit.inertia < best[k].inertia:
+            best[k] = fit
     return best
 
 
