@@ -29,13 +29,15 @@ def enrich_per_file(vectors: DataFrame, comments: DataFrame) -> DataFrame:
 
     Files are matched by their stem. If a file repeats an id, its last position wins.
     """
-    own = comments.select(file_stem(F.col("file")).alias("_stem"), F.col("id"), F.col("pos").alias("_pos"), "text")
-    by_id = own.groupBy("_stem", "id").agg(F.max_by("text", "_pos").alias("_by_id"))
-    by_pos = own.groupBy("_stem", F.col("_pos").alias("pos")).agg(F.max("text").alias("_by_pos"))
+    own = comments.filter(F.col("text").isNotNull()).select(file_stem(F.col("file")).alias("_stem"), "id", F.col("pos").alias("_at"), "text")
     rows = vectors.withColumn("_stem", file_stem(F.col("file")))
-    found = rows.join(by_id, ["_stem", "id"], "left").join(by_pos, ["_stem", "pos"], "left")
-    text = F.coalesce("_by_id", "_by_pos", F.lit("")).alias("text")
-    return found.select(*[c for c in vectors.columns if c != "text"], text)
+    # narrow rows decide which place is meant; only the texts of those places move
+    wanted = rows.select("_stem", "id").distinct()
+    last = own.select("_stem", "id", "_at").join(wanted, ["_stem", "id"], "left_semi").groupBy("_stem", "id").agg(F.max("_at").alias("_last"))
+    placed = rows.join(last, ["_stem", "id"], "left").withColumn("_at", F.coalesce("_last", "pos"))
+    texts = own.select("_stem", "_at", "text").join(placed.select("_stem", "_at").distinct(), ["_stem", "_at"], "left_semi")
+    found = placed.join(texts.groupBy("_stem", "_at").agg(F.max("text").alias("_text")), ["_stem", "_at"], "left")
+    return found.select(*[c for c in vectors.columns if c != "text"], F.coalesce("_text", F.lit("")).alias("text"))
 
 
 def enrich_by_position(vectors: DataFrame, comments: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpuslab.functions import rules
 from corpuslab.functions import text as tx
 from corpuslab.operators import cooldown as cd
+from corpuslab.operators import cluster as cl
 from corpuslab.operators import encode, enrich, fuzzy, joins
 from corpuslab.operators.ordering import global_index, hash_sample, id_block
 from corpuslab.plans import standins as st
@@ -378,6 +379,32 @@ def enrich_by_id(spark, sf):
     return found.select(F.col("pos").alias("vec_id"), "text")
 
 
+OWN_FILE_SQL = f"""{st.COMMENTS_SQL},
+v AS (SELECT 'src' || (vec_id % 20) AS file, vec_id AS pos, CAST(vec_id AS VARCHAR) AS id, label, embedding FROM embeddings),
+texts AS (SELECT v.file, v.pos, v.id, v.label, v.embedding, coalesce(a.text, b.text, '') AS text
+  FROM v LEFT JOIN comments a ON a.file = v.file AND a.id = v.id LEFT JOIN comments b ON b.file = v.file AND b.pos = v.pos)"""
+
+
+@register("enrich_per_file", f"WITH {OWN_FILE_SQL} SELECT file, pos, id, text FROM texts")
+def enrich_per_file(spark, sf):
+    """Text by id in the vector's own file, else by position there."""
+    keys = st.vectors(spark, sf).select("file", "pos", "id")
+    return enrich.enrich_per_file(keys, st.comments(spark, sf))
+
+
+@register("results_with_text", f"""
+WITH {OWN_FILE_SQL}, sizes AS (SELECT label, count(*) AS cluster_size FROM v GROUP BY label)
+SELECT file, pos, id AS comment_id, label AS cluster_label, {st.rounded_sql(st.norm_sql('embedding'))} AS embedding_norm, cluster_size, text
+FROM texts JOIN sizes USING (label)""")
+def results_with_text(spark, sf):
+    """The result rows of a clustering with the text of the row's own file."""
+    labelled = st.vectors(spark, sf)
+    results = cl.cluster_results(labelled)
+    texts = enrich.enrich_per_file(labelled.select("file", "pos", "id"), st.comments(spark, sf)).withColumnRenamed("id", "comment_id")
+    rows = texts.join(results, "comment_id")
+    return rows.withColumn("embedding_norm", st.rounded(F.col("embedding_norm")))
+
+
 @register("enrich_by_position", f"""
 WITH {st.COMMENTS_SQL}
 SELECT vec_id, coalesce(text, '') AS text FROM embeddings
