@@ -83,7 +83,9 @@ def from_matrix(matrix: np.ndarray) -> pa.Array:
 
 
 def pairwise_squared(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Squared distances as one matrix product."""
+    """Squared distances as one matrix product, of vectors centred on the centres' mean, so that an offset does not cancel digits."""
+    origin = centers.mean(0)
+    points, centers = points - origin, centers - origin
     cross = points @ centers.T
     gaps = (points * points).sum(1)[:, None] - 2.0 * cross + (centers * centers).sum(1)[None, :]
     return np.maximum(gaps, 0.0)

@@ -19,6 +19,7 @@ from corpuslab.operators.ordering import hash_sample, top_per_group
 from corpuslab.session import remove_table, scratch_path
 
 MAX_CLUSTERS = 4096
+NEGLIGIBLE = 1e-12  # share of the spread of the data below which two vectors count as one
 SEED_ROUNDS = 5
 MOST_SEED_ROUNDS = 30
 DIRECT_ROWS = 20_000
@@ -55,11 +56,13 @@ def spread_seeds(points: np.ndarray, k: int, rng: np.random.Generator, weights:
     weights = np.ones(len(points)) if weights is None else np.asarray(weights, dtype=np.float64)
     chosen = [points[rng.choice(len(points), p=weights / weights.sum())]]
     gap = pairwise_squared(points, chosen[0][None, :])[:, 0]
-    while len(chosen) < k and (gap * weights).sum() > 1e-12:
+    same = NEGLIGIBLE * gap.max()
+    gap[gap <= same] = 0.0
+    while len(chosen) < k and gap.any():
         share = gap * weights
         chosen.append(points[rng.choice(len(points), p=share / share.sum())])
         gap = np.minimum(gap, pairwise_squared(points, chosen[-1][None, :])[:, 0])
-        gap[gap < 1e-12] = 0.0
+        gap[gap <= same] = 0.0
     return np.array(chosen)
 
 
@@ -86,9 +89,12 @@ def first_look(vectors: DataFrame, restarts: int, seed: int, id_col: str, vec: s
 
 
 def oversample_pass(
-    vectors: DataFrame, centers: dict[int, np.ndarray], costs: dict[int, float], wanted: int, salt: str, id_col: str, vec: str
+    vectors: DataFrame, centers: dict[int, np.ndarray], costs: dict[int, float], wanted: int, salt: str, id_col: str, vec: str, same: float
 ) -> dict[int, tuple[float, np.ndarray]]:
-    """One scan: cost of all rows around each set of centres, and about ``wanted`` rows drawn by their share of ``costs``."""
+    """One scan: cost of all rows around each set of centres, and about ``wanted`` rows drawn by their share of ``costs``.
+
+    Squared distances up to ``same`` count as none.
+    """
     schema = "model INT, cost DOUBLE, picked ARRAY<ARRAY<DOUBLE>>"
 
     def draw(batches):
@@ -100,7 +106,7 @@ def oversample_pass(
             luck = batch.column(1).to_numpy().view(np.uint64)
             for m, known in centers.items():
                 gaps = pairwise_squared(points, known).min(1)
-                gaps[gaps < 1e-12] = 0.0
+                gaps[gaps <= same] = 0.0
                 totals[m] += float(gaps.sum())
                 turned = (luck + np.uint64((m + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) ^ (luck >> np.uint64(29))
                 turned = turned * np.uint64(0xBF58476D1CE4E5B9)
@@ -126,18 +132,19 @@ def seed_candidates(
     Scalable k-means++: every round draws about ``2 * most`` rows by squared distance to the candidates so far, from all
     rows, so a far or rare vector is as likely to be found in a large table as in a small one.
     """
-    _, variance, starts, costs = first_look(vectors, restarts, seed, id_col, vec)
+    rows, variance, starts, costs = first_look(vectors, restarts, seed, id_col, vec)
     found = {r: v[None, :] for r, v in enumerate(starts)}
-    left = {r: c for r, c in enumerate(costs) if c > 1e-12}
+    same = NEGLIGIBLE * max(costs) / rows  # relative to the spread of the data, whatever its scale
+    left = {r: c for r, c in enumerate(costs) if c > same * rows}
     for turn in range(MOST_SEED_ROUNDS):
         if not left or (turn >= SEED_ROUNDS and all(len(found[r]) >= most for r in left)):
             break
-        drawn = oversample_pass(vectors, {r: found[r] for r in left}, left, 2 * most, f"{seed}:{turn}", id_col, vec)
+        drawn = oversample_pass(vectors, {r: found[r] for r in left}, left, 2 * most, f"{seed}:{turn}", id_col, vec, same)
         for r, (cost, picked) in drawn.items():
             left[r] = cost
             if len(picked):
                 found[r] = np.unique(np.vstack([found[r], picked]), axis=0)
-        left = {r: c for r, c in left.items() if c > 1e-12}
+        left = {r: c for r, c in left.items() if c > 0}
     weights = lloyd_pass(vectors, found, vec)
     return variance, {r: (found[r][weights[r].counts > 0], weights[r].counts[weights[r].counts > 0]) for r in found}
 

@@ -66,3 +66,15 @@ def test_centers_in_blocks(spark, monkeypatch):
     got = bounded.assign_to_table(frame(spark, points), centers).orderBy("id").collect()
     want = ((points[:, None, :] - matrix[None]) ** 2).sum(2).argmin(1) * 10
     assert [r.cluster for r in got] == want.tolist()
+
+
+def test_seeds_do_not_depend_on_scale_or_offset(spark):
+    points = np.random.default_rng(4).standard_normal((50, 3))
+    for scale, offset in ((1.0, 0.0), (1e-7, 0.0), (1e6, 0.0), (1.0, 1e6)):
+        data = frame(spark, points * scale + offset)
+        _, found = cluster.seed_candidates(data, 5, 1, 1, "id", "embedding")
+        seeds = cluster.spread_seeds(*[found[0][0], 5, np.random.default_rng(0), found[0][1]])
+        assert len(np.unique(seeds, axis=0)) == 5
+    two = frame(spark, np.repeat(points[:2] + 1e6, 20, axis=0))
+    _, found = cluster.seed_candidates(two, 5, 1, 1, "id", "embedding")
+    assert len(cluster.spread_seeds(found[0][0], 5, np.random.default_rng(0), found[0][1])) == 2
