@@ -135,27 +135,28 @@ def grams(ids: np.ndarray, m: int) -> np.ndarray:
 
 # -- bitmaps -----------------------------------------------------------------------------------------------------
 
-def _cell(ids: np.ndarray) -> np.ndarray:
-    return mix(ids ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - BITMAP_BITS)
+def _cell(ids: np.ndarray, bits: int) -> np.ndarray:
+    return mix(ids ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - bits)
 
 
-def bitmap(phrases: DataFrame, id_col: str = "id") -> np.ndarray:
-    """Bitmap of the hashes in ``id_col``, ``2 ** BITMAP_BITS`` bits whatever the number of rows."""
+def bitmap(phrases: DataFrame, id_col: str = "id", bits: int | None = None) -> np.ndarray:
+    """Bitmap of the hashes in ``id_col``, ``2 ** bits`` (``BITMAP_BITS``) bits whatever the number of rows."""
+    bits = bits or BITMAP_BITS
 
     def cells(batches):
         for batch in batches:
-            cell = np.unique(_cell(batch.column(0).to_numpy().view(np.uint64))).astype(np.int64)
+            cell = np.unique(_cell(batch.column(0).to_numpy().view(np.uint64), bits)).astype(np.int64)
             yield pa.record_batch([pa.array(cell >> 6), pa.array(np.int64(1) << (cell & 63))], names=["slot", "bits"])
 
     found = phrases.select(id_col).mapInArrow(cells, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
     rows = found.toArrow()
-    words = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    words = np.zeros(1 << (bits - 6), np.int64)
     words[rows.column("slot").to_numpy()] = rows.column("bits").to_numpy()
     return words
 
 
-def held(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    cell = _cell(ids).astype(np.int64)
+def held(words: np.ndarray, ids: np.ndarray, bits: int | None = None) -> np.ndarray:
+    cell = _cell(ids, bits or BITMAP_BITS).astype(np.int64)
     return (words[cell >> 6] >> (cell & 63)) & 1 == 1
 
 

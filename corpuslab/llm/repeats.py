@@ -4,19 +4,20 @@ A byte goes when a string of ``SPAN`` (50) bytes that covers it also starts in a
 
 1. **Bringing equal strings together.** Every 50-byte window is keyed by the least hash of its 20-byte grams, a function
    of the window alone, so equal windows have equal keys. Neighbouring windows mostly share a key: a *run* of about 16
-   windows. Only runs are shuffled (key, text, place), and runs whose key occurs in one text only are dropped. A key that
-   several texts of one task share is settled there; only two of its rows go on to tell the other tasks, so a passage
-   that a third of all documents hold sends two rows per task for each key.
-2. **Suffix sorting.** The bytes of the remaining runs (each distinct piece once, with its smallest doc_id) meet by key and
-   are joined to blocks of a few megabytes. In a block the suffixes that are smaller than their successors are sorted
+   windows. First only (key, text) pairs are shuffled, packed by key range, to see which keys occur in two texts; a key
+   that two texts of one task share sends two rows whatever the number of its texts. The keys found set a bitmap of
+   fixed size (32 MB), and a second look at the texts takes the bytes of the runs it lets through. A key that passes by
+   chance costs a shuffled piece, never a result.
+2. **Suffix sorting.** The pieces meet by key, each distinct one about once per task with its smallest doc_id, and are
+   joined to blocks of a megabyte. In a block the suffixes that are smaller than their successors are sorted
    directly, eight bytes a round and up to 56; all others are induced by scanning the buckets of first bytes in order.
    Adjacent common prefixes of 50 bytes or more make the classes of equal windows, and a window goes where its class has
    a smaller doc_id.
-3. **Cutting.** The windows of every piece go back to all places of that piece and are cut out of the texts.
+3. **Cutting.** The windows go back to their texts, which are shuffled for that once.
 
-Equal texts are one text with the smallest doc_id: a copy with a larger one is removed whole. Texts are shuffled once and
-kept, bucketed, for the cut. A key with more than ``HOT`` distinct pieces is not sorted in one block: its windows are
-grouped by their bytes instead, which pre-aggregates and spreads, with the same result.
+Equal texts count as one text: a copy with a larger doc_id is removed whole. A key with more than ``HOT`` distinct pieces
+is not sorted in one block: its windows are grouped by their bytes instead, which pre-aggregates and spreads, with the
+same result.
 
 Edge cases: null text counts as empty; a text below 50 bytes stays; a null doc_id counts as larger than all others, and
 rows without one lose nothing to each other; a repeated doc_id is neither smaller nor larger than itself; texts of any
@@ -27,26 +28,30 @@ names. Equal texts are recognised by SHA-256, equal pieces by a 128-bit hash; wi
 from __future__ import annotations
 
 import hashlib
-import uuid
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslab.llm.common import mix, text_bytes
-from corpuslab.session import scratch_path, written_table
+from corpuslab.llm.phrases import bitmap, held
+from corpuslab.session import written_table
 
 SPAN = 50
 GRAM = 20
 EIGHT = 8  # bytes read at once
 MOST_WINDOWS = 62  # of a piece; one bit each in a signed long
 DEPTH = 56  # bytes that the direct sort looks at, a multiple of eight and at least SPAN
-STRETCH = 2 << 20  # bytes worked on at once
-RUNS = 1 << 19  # runs held before they are sent
-BLOCK = 4 << 20  # bytes of pieces sorted together
+STRETCH = 1 << 19  # bytes worked on at once
+RUNS = 1 << 18  # runs held before they are sent
+PACKED = 1 << 25  # bytes of text whose keys meet in one packet range
+KEY_BITS = 28  # of the bitmap of shared keys
+BLOCK = 1 << 20  # bytes of pieces sorted together
 HOT = 1 << 15  # distinct pieces of one key that are still sorted in a block
 ROWS = 256  # rows turned into Python objects at once
 MIXER = np.uint64(0x9E3779B97F4A7C15)
@@ -80,7 +85,7 @@ def window_keys(data: np.ndarray) -> np.ndarray:
 
 def window_runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``key, part, start, windows`` of all runs in ``data``, the parts of ``lengths`` bytes (50 at least) in a row."""
-    keys = window_keys(data)
+    keys = mix(window_keys(data)) >> np.uint64(16)  # least hashes lie close to zero
     ends = np.cumsum(lengths)
     part = np.repeat(np.arange(len(lengths)), lengths - SPAN + 1)
     at = np.arange(len(part)) + part * (SPAN - 1)  # every earlier part has SPAN - 1 positions without a window
@@ -117,77 +122,82 @@ def stretches(batch: pa.RecordBatch, mark: int, text: int) -> Iterator[tuple[np.
         yield packed()
 
 
-def asks(texts: DataFrame) -> DataFrame:
-    """``place, mark, at, known``: the runs of all texts (``mark`` names a text, ``at`` is start * 64 + windows).
+def pack(columns: list[np.ndarray]) -> tuple[int, bytes]:
+    """Number and compressed byte planes of equally long columns of 64-bit numbers."""
+    raw = b"".join(c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return len(columns[0]), pa.compress(raw, codec="zstd", asbytes=True)
 
-    ``place`` is the key, unless two texts of the task already share it: then all but two of its rows are ``known`` and
-    placed by themselves.
+
+def unpack(n: int, body: bytes, columns: int) -> np.ndarray:
+    raw = pa.decompress(body, n * 8 * columns, codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 8, n)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
+
+
+def key_packets(texts: DataFrame, ranges: int) -> DataFrame:
+    """``part, n, body``: distinct (key, text) pairs of ``mark, data``, packed by range of the key.
+
+    48 bits of both are enough: a key that is shared by chance costs work only, and two texts of one key escape only if
+    their marks agree as well. Of a key that several texts of the task share, the first and the last one go.
     """
 
-    def send(runs: list[tuple]) -> pa.RecordBatch:
-        key, mark, at = (np.concatenate(c) for c in zip(*runs))
-        order = np.lexsort((at, mark, key))
-        key, mark, at = key[order], mark[order], at[order]
-        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (mark[1:] != mark[:-1]) | (at[1:] != at[:-1])])
-        key, mark, at = key[fresh], mark[fresh], at[fresh]
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(new, len(key)))
-        last = new + size - 1
-        known = np.repeat(mark[new] != mark[last], size)
-        known[new] = known[last] = False
-        place = np.where(known, mix(key ^ mark.view(np.uint64) ^ mix(at.view(np.uint64))), key)
+    def send(found: list[tuple]) -> pa.RecordBatch:
+        key, mark = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((mark, key))
+        key, mark = key[order], mark[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        ends = np.concatenate([new[1:], [True]])
+        keep = (new | ends) & np.concatenate([[True], (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])])
+        key, mark = key[keep], mark[keep]
+        part = (key * np.uint64(ranges) >> np.uint64(48)).astype(np.int64) if ranges < 1 << 16 else (key % np.uint64(ranges)).astype(np.int64)
+        order = np.lexsort((key, mark, part))  # rows of one text together compress
+        key, mark, part = key[order], mark[order], part[order]
+        edges = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
+        packed = [pack([key[x:y], mark[x:y]]) for x, y in zip(edges[:-1], edges[1:])]
         return pa.record_batch(
-            [pa.array(place.view(np.int64)), pa.array(mark), pa.array(at), pa.array(known)], names=["place", "mark", "at", "known"])
+            [pa.array(part[edges[:-1]]), pa.array([p[0] for p in packed], pa.int32()), pa.array([p[1] for p in packed], pa.binary())],
+            names=["part", "n", "body"])
 
     def run(batches):
-        held, n = [], 0
+        found, n = [], 0
         for batch in batches:
-            for data, lengths, marks, offsets in stretches(batch, 0, 1):
-                key, part, start, windows = window_runs(data, lengths)
-                held.append((key, marks[part], (offsets[part] + start) * 64 + windows))
+            for data, lengths, marks, _ in stretches(batch, 0, 1):
+                key, part, _, _ = window_runs(data, lengths)
+                found.append((key, marks[part].view(np.uint64) >> np.uint64(16)))
                 n += len(key)
                 if n >= RUNS:
-                    yield send(held)
-                    held, n = [], 0
-        if held:
-            yield send(held)
+                    yield send(found)
+                    found, n = [], 0
+        if found:
+            yield send(found)
+
+    return texts.select("mark", "data").mapInArrow(run, "part long, n int, body binary")
 
-    return texts.select("mark", "data").mapInArrow(run, "place long, mark long, at long, known boolean")
 
+def shared_keys(packets: DataFrame) -> DataFrame:
+    """``id``: keys of two or more texts. A range has the keys of about ``PACKED`` bytes of text."""
 
-def shared_runs(asked: DataFrame) -> DataFrame:
-    """``mark, at`` of runs whose key occurs in two texts: one pass over rows in order of place and text."""
-    names = ["mark", "at"]
+    def judge(pairs: list[np.ndarray]) -> pa.RecordBatch:
+        key, mark = np.concatenate(pairs, axis=1)
+        order = np.argsort(key, kind="stable")
+        key, mark = key[order], mark[order]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        shared = key[new][np.minimum.reduceat(mark, new) != np.maximum.reduceat(mark, new)]
+        return pa.record_batch([pa.array(shared.view(np.int64))], names=["id"])
 
     def run(batches):
-        open_place, open_shared = None, False
-        pending = (np.empty(0, np.int64), np.empty(0, np.int64))  # runs of the one text that the open place has so far
+        part, pairs = None, []
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            place, mark, at = (batch.column(i).to_numpy() for i in range(3))
-            known = batch.column(3).to_numpy(zero_copy_only=False)
-            if known.any():
-                yield pa.record_batch([pa.array(mark[known]), pa.array(at[known])], names=names)
-                place, mark, at = place[~known], mark[~known], at[~known]
-                if not len(place):
-                    continue
-            fits = place[0] == open_place
-            if fits and not open_shared:  # runs that wait are judged with the rows that follow
-                place = np.concatenate([np.full(len(pending[0]), open_place), place])
-                mark, at = np.concatenate([pending[0], mark]), np.concatenate([pending[1], at])
-            new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            size = np.diff(np.append(new, len(place)))
-            shared = mark[new] != mark[new + size - 1]
-            shared[0] |= fits and open_shared
-            open_place, open_shared = place[-1], bool(shared[-1])
-            tail = slice(new[-1], None)
-            pending = tuple(np.unique(np.stack([mark[tail], at[tail]]), axis=1)) if not open_shared else pending
-            good = np.repeat(shared, size)
-            yield pa.record_batch([pa.array(mark[good]), pa.array(at[good])], names=names)
-
-    ordered = asked.repartition("place").sortWithinPartitions("place", "mark")
-    return ordered.mapInArrow(run, "mark long, at long")
+            for own, n, body in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != part and pairs:
+                    yield judge(pairs)
+                    pairs = []
+                part = own
+                pairs.append(unpack(n, body, 2))
+        if pairs:
+            yield judge(pairs)
+
+    return packets.repartition("part").sortWithinPartitions("part").mapInArrow(run, "id long")
 
 
 # -- suffix sorting ----------------------------------------------------------------------------------------------
@@ -284,129 +294,138 @@ def removed_windows(pieces: list[bytes], first: np.ndarray) -> np.ndarray:
 
 # -- pieces ------------------------------------------------------------------------------------------------------
 
-def _piece_rows(batches, step):
-    """Calls ``step(sha, rank, at, piece)`` with lists for a few hundred texts at a time."""
-    for batch in batches:
-        for begin in range(0, batch.num_rows, ROWS):
-            part = batch.slice(begin, ROWS)
-            shas, ranks, ats, pieces = [], [], [], []
-            for sha, rank, data, places in zip(*(c.to_pylist() for c in part.columns)):
-                for at in places:
-                    start = at >> 6
-                    pieces.append(data[start:start + (at & 63) + SPAN - 1])
-                    ats.append(at)
-                shas += [sha] * len(places)
-                ranks += [rank] * len(places)
-            if pieces:
-                yield step(shas, ranks, ats, pieces)
-
-
-def piece_places(texts: DataFrame) -> DataFrame:
-    """``piece_id, sha, rank, at`` of every run."""
-
-    def step(shas, ranks, ats, pieces):
-        names = [xxhash.xxh3_128_digest(p) for p in pieces]
-        return pa.record_batch([pa.array(names, pa.binary()), pa.array(shas, pa.binary()), pa.array(ranks, pa.int64()), pa.array(ats, pa.int64())],
-                               names=["piece_id", "sha", "rank", "at"])
-
-    return texts.select("sha", "rank", "data", "places").mapInArrow(
-        lambda batches: _piece_rows(batches, step), "piece_id binary, sha binary, rank long, at long")
-
-
-def distinct_pieces(texts: DataFrame) -> DataFrame:
-    """``key, piece, first`` of the runs, each distinct piece about once per task."""
-
-    def send(held: dict[bytes, int]) -> pa.RecordBatch:
-        pieces = list(held)
-        data = np.frombuffer(b"".join(p[:SPAN] for p in pieces), np.uint8)
-        keys = window_keys(data)[::SPAN]
-        return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(pieces, pa.binary()), pa.array(list(held.values()), pa.int64())],
-                               names=["key", "piece", "first"])
-
-    def run(batches):
-        held: dict[bytes, int] = {}
+def shared_pieces(texts: DataFrame, known: Broadcast) -> DataFrame:
+    """``place, piece, rank, mark, at`` of the runs whose key is in the bitmap ``known``.
 
-        def step(shas, ranks, ats, pieces):
-            for piece, rank in zip(pieces, ranks):
-                if held.get(piece, LAST_ID + 1) > rank:
-                    held[piece] = rank
+    Of equal pieces in a task only those of the smallest rank go on; the others are settled, which a null ``piece`` says,
+    and are placed by themselves. ``at`` is the start times 64 plus the number of windows.
+    """
+    names = ["place", "piece", "rank", "mark", "at"]
 
-        for _ in _piece_rows(batches, step):
-            if len(held) >= RUNS // 4:
-                yield send(held)
-                held.clear()
-        if held:
-            yield send(held)
+    def send(first: dict[bytes, list], settled: list[tuple]) -> pa.RecordBatch:
+        rows = [(row[3], piece, *row[:3]) for piece, same in first.items() for row in same]
+        if settled:
+            away = mix(np.array([(m ^ at) & LAST_ID for _, m, at, _ in settled], np.uint64)) >> np.uint64(16)
+            rows += [(int(p), None, r, m, at) for p, (r, m, at, _) in zip(away, settled)]
+        types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return texts.select("sha", "rank", "data", "places").mapInArrow(run, "key long, piece binary, first long")
+    def run(batches):
+        first: dict[bytes, list] = {}
+        settled: list[tuple] = []
+        for batch in batches:
+            own_marks, own_ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            numbered = pa.record_batch([pa.array(range(batch.num_rows)), batch.column(2)], names=["row", "data"])
+            for data, lengths, row_of, offsets in stretches(numbered, 0, 1):
+                key, part, start, windows = window_runs(data, lengths)
+                hit = np.flatnonzero(held(known.value, key, KEY_BITS))
+                begin = (np.cumsum(lengths) - lengths)[part[hit]] + start[hit]
+                body = data.tobytes()
+                ats = (offsets[part[hit]] + start[hit]) * 64 + windows[hit]
+                source = row_of[part[hit]]
+                places = zip(own_ranks[source].tolist(), own_marks[source].tolist(), ats.tolist(), key[hit].tolist())
+                for row, b, w in zip(places, begin.tolist(), windows[hit].tolist()):
+                    piece = body[b:b + w + SPAN - 1]
+                    same = first.get(piece)
+                    if same is None or row[0] < same[0][0]:
+                        settled += same or []
+                        first[piece] = [row]
+                    elif row[0] == same[0][0]:
+                        same.append(row)
+                    else:
+                        settled.append(row)
+                if len(first) + len(settled) >= RUNS // 8:
+                    yield send(first, settled)
+                    first, settled = {}, []
+        if first or settled:
+            yield send(first, settled)
+
+    return texts.select("mark", "rank", "data").mapInArrow(run, "place long, piece binary, rank long, mark long, at long")
 
 
 def sorted_blocks(pieces: DataFrame) -> DataFrame:
-    """``piece_id, first, mask, piece``: windows of every distinct piece that a smaller document has.
+    """``rank, mark, at, mask, piece_id, piece``: the windows of every run that a smaller document has.
 
-    Rows come in order of key and piece. Complete keys are gathered to blocks and sorted; the pieces of a key with more
-    than ``HOT`` of them pass with ``piece`` set, to be settled by :func:`grouped_windows`.
+    Rows come in order of key and piece. Complete keys are gathered to blocks and sorted. Runs that share piece and rank
+    with an earlier one have no ``mask`` but the ``piece_id`` whose mask is theirs; so have the pieces of a key with more
+    than ``HOT`` of them, which come with their bytes, to be settled by :func:`grouped_windows`.
     """
+    names = ["rank", "mark", "at", "mask", "piece_id", "piece"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-    def rows(keys):
-        flat = [(p, f) for group in keys for p, f in group]
-        found = removed_windows([p for p, _ in flat], np.array([f for _, f in flat], np.int64))
-        return _settled(flat, found, False)
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    def _settled(flat, masks, keep):
-        return pa.record_batch(
-            [pa.array([xxhash.xxh3_128_digest(p) for p, _ in flat], pa.binary()), pa.array([f for _, f in flat], pa.int64()),
-             pa.array(masks, pa.int64()), pa.array([p if keep else None for p, _ in flat], pa.binary())],
-            names=["piece_id", "first", "mask", "piece"])
+    def every(at: int) -> int:
+        return (1 << (at & 63)) - 1
+
+    def solve(block: list[tuple]) -> list[tuple]:
+        masks = removed_windows([p for p, *_ in block], np.array([r for _, r, _, _ in block], np.int64))
+        return [(r, m, at, mask, xxhash.xxh3_128_digest(p), None) for (p, r, m, at), mask in zip(block, masks.tolist())]
 
     def run(batches):
-        block, size = [], 0
-        group: list[tuple[bytes, int]] = []
-        key, last, hot = None, None, False
+        out, block, size, group = [], [], 0, []
+        place, last, least, hot = None, None, None, False
         for batch in batches:
-            for k, piece, first in zip(*(c.to_pylist() for c in batch.columns)):
-                if k != key:
-                    if group and hot:
-                        yield _settled(group, [0] * len(group), True)
-                    elif group:
-                        block.append(group)
-                        size += sum(len(p) for p, _ in group)
-                        if size >= BLOCK:
-                            yield rows(block)
-                            block, size = [], 0
-                    group, key, last, hot = [], k, None, False
-                if piece == last:  # sorted by first as well, so the smallest one came before
-                    continue
-                last = piece
-                group.append((piece, first))
-                if len(group) > HOT:
-                    hot = True
-                    yield _settled(group, [0] * len(group), True)
-                    group = []
-        if group and hot:
-            yield _settled(group, [0] * len(group), True)
-        elif group:
-            block.append(group)
+            for k, piece, rank, mark, at in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != place:
+                    if len(group) > 1 or hot:
+                        if hot:
+                            out += [(r, m, a, None, xxhash.xxh3_128_digest(p), p) for p, r, m, a in group]
+                        else:
+                            block += group
+                            size += sum(len(row[0]) for row in group)
+                    group, place, last, hot = [], k, None, False
+                    if size >= BLOCK:
+                        out += solve(block)
+                        block, size = [], 0
+                if piece is None:
+                    out.append((rank, mark, at, every(at), None, None))
+                elif piece == last:
+                    if rank > least:
+                        out.append((rank, mark, at, every(at), None, None))
+                    else:
+                        out.append((rank, mark, at, None, xxhash.xxh3_128_digest(piece), None))
+                else:
+                    last, least = piece, rank
+                    group.append((piece, rank, mark, at))
+                    if len(group) > HOT:
+                        hot = True
+                        out += [(r, m, a, None, xxhash.xxh3_128_digest(p), p) for p, r, m, a in group]
+                        group = []
+            if len(out) >= 4096:
+                yield batch_of(out)
+                out = []
+        if hot:
+            out += [(r, m, a, None, xxhash.xxh3_128_digest(p), p) for p, r, m, a in group]
+        elif len(group) > 1:
+            block += group
         if block:
-            yield rows(block)
+            out += solve(block)
+        if out:
+            yield batch_of(out)
 
-    ordered = pieces.repartition("key").sortWithinPartitions("key", "piece", "first")
-    return ordered.mapInArrow(run, "piece_id binary, first long, mask long, piece binary")
+    ordered = pieces.repartition("place").sortWithinPartitions("place", "piece", "rank", "mark", "at")
+    return ordered.mapInArrow(run, "rank long, mark long, at long, mask long, piece_id binary, piece binary")
 
 
 def grouped_windows(pieces: DataFrame) -> DataFrame:
-    """``piece_id, first, mask`` of the pieces of very frequent keys, by grouping their windows by content."""
-    windows = pieces.select("piece_id", "first", "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - SPAN)).alias("i"))
-    windows = windows.select("piece_id", "first", "i", F.substr("piece", F.col("i") + 1, F.lit(SPAN)).alias("window"))
-    least = windows.groupBy("window").agg(F.min("first").alias("least"))
-    bit = F.when(F.col("least") < F.col("first"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("i"))).otherwise(F.lit(0))
-    return windows.join(least.hint("merge"), "window").groupBy("piece_id", "first").agg(F.bit_or(bit.cast("long")).alias("mask"))
+    """``piece_id, mask`` of the pieces of very frequent keys (``rank, piece_id, piece``), by grouping windows by content."""
+    windows = pieces.select("piece_id", "rank", "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - SPAN)).alias("i"))
+    windows = windows.select("piece_id", "rank", "i", F.substr("piece", F.col("i") + 1, F.lit(SPAN)).alias("window"))
+    least = windows.groupBy("window").agg(F.min("rank").alias("least"))
+    bit = F.when(F.col("least") < F.col("rank"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("i"))).otherwise(F.lit(0))
+    return windows.join(least.hint("merge"), "window").groupBy("piece_id").agg(F.bit_or(bit.cast("long")).alias("mask"))
 
 
-def piece_masks(pieces: DataFrame) -> DataFrame:
+def removed_runs(pieces: DataFrame) -> DataFrame:
+    """``rank, mark, at, mask`` of all runs that lose windows."""
     found = written_table(sorted_blocks(pieces), "repeats-masks")
-    narrow = ["piece_id", "first", "mask"]
-    return found.filter("piece IS NULL").select(*narrow).unionByName(grouped_windows(found.filter("piece IS NOT NULL")).select(*narrow))
+    narrow = ["rank", "mark", "at", "mask"]
+    masks = found.filter("mask IS NOT NULL AND piece_id IS NOT NULL").select("piece_id", "mask").unionByName(
+        grouped_windows(found.filter("piece IS NOT NULL")))
+    late = found.filter("mask IS NULL").select("rank", "mark", "at", "piece_id").join(masks.hint("merge"), "piece_id")
+    return found.filter("mask <> 0").select(*narrow).unionByName(late.filter("mask <> 0").select(*narrow)).distinct()
 
 
 # -- cutting -----------------------------------------------------------------------------------------------------
@@ -425,54 +444,43 @@ def cut_text(data: bytes, ats: list[int], masks: list[int]) -> tuple[int, int, b
 
 
 def cut_texts(texts: DataFrame) -> DataFrame:
-    """``sha, n_removed, n_spans, kept`` of texts with removed windows (``ats``, ``masks``)."""
+    """``sha, rank, n_removed, n_spans, kept`` of texts with removed windows (``ats``, ``masks``)."""
 
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, ROWS):
                 part = batch.slice(begin, ROWS)
-                shas, bodies, ats, masks = (c.to_pylist() for c in part.columns)
+                shas, bodies, ats, masks = (part.column(i).to_pylist() for i in (0, 2, 3, 4))
                 found = [cut_text(*row) for row in zip(bodies, ats, masks)]
                 yield pa.record_batch(
-                    [pa.array(shas, pa.binary()), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
-                     pa.array([f[2] for f in found], pa.binary())], names=["sha", "n_removed", "n_spans", "kept"])
-
-    return texts.select("sha", "data", "ats", "masks").mapInArrow(run, "sha binary, n_removed long, n_spans long, kept binary")
+                    [pa.array(shas, pa.binary()), part.column(1), pa.array([f[0] for f in found], pa.int64()),
+                     pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.binary())],
+                    names=["sha", "rank", "n_removed", "n_spans", "kept"])
 
-
-def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
-    """``df`` as a bucketed Parquet table in the shared folder: joins on ``keys`` do not shuffle it again."""
-    spark = df.sparkSession
-    table, path = f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.write.format("parquet").option("path", path).option("compression", "zstd")
-    writer.bucketBy(buckets, *keys).saveAsTable(table)
-    return spark.table(table)
+    return texts.select("sha", "rank", "data", "ats", "masks").mapInArrow(
+        run, "sha binary, rank long, n_removed long, n_spans long, kept binary")
 
 
 def repeated_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """``doc_id, rank, sha, n_bytes, first`` of every document, and ``sha, n_removed, n_spans, kept`` of the first row of
-    every text that loses a part."""
+    """``doc_id, rank, sha, n_bytes, first`` of every document, and ``sha, rank, n_removed, n_spans, kept`` of the texts
+    that lose a part."""
     data = text_bytes(text)
     sha = F.unhex(F.sha2("data", 256))
     rank = F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID))
     whole = docs.select(F.col(key).alias("doc_id"), rank.alias("rank"), data.alias("data"))
     rows = written_table(whole.select("doc_id", "rank", sha.alias("sha"), F.length("data").cast("long").alias("n_bytes")), "repeats-rows")
     firsts = rows.groupBy("sha").agg(F.min("rank").alias("first"))
-    texts = whole.filter(F.length("data") >= SPAN).select("rank", "data", sha.alias("sha"))
-
-    found = shared_runs(asks(texts.select(F.xxhash64("sha").alias("mark"), "data")))
-    places = found.groupBy("mark").agg(F.collect_set("at").alias("places"))
-    named = places.join(firsts.withColumn("mark", F.xxhash64("sha")), "mark").select("sha", F.col("first").alias("rank"), "places")
-    held = bucketed(texts.join(named.hint("merge"), ["sha", "rank"]).select("sha", "rank", "data", "places"), "repeats_texts", "sha", "rank")
+    texts = whole.filter(F.length("data") >= SPAN).select("rank", "data", F.xxhash64("data").alias("mark"))
 
-    masks = piece_masks(distinct_pieces(held))
-    every = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int")) - 1
-    mask = F.when(F.col("rank") > F.col("first"), every).otherwise(F.col("mask"))
-    gone = piece_places(held).join(masks.hint("merge"), "piece_id").select("sha", "rank", "at", mask.alias("mask")).filter("mask <> 0")
-    gone = gone.groupBy("sha", "rank").agg(F.collect_list(F.struct("at", "mask")).alias("_g"))
-    gone = gone.select("sha", "rank", F.col("_g.at").alias("ats"), F.col("_g.mask").alias("masks"))
-    return rows.join(firsts.hint("merge"), "sha"), cut_texts(held.join(gone.hint("merge"), ["sha", "rank"]))
+    context = docs.sparkSession.sparkContext
+    size = rows.agg(F.sum("n_bytes")).first()[0] or 0
+    keys = shared_keys(key_packets(texts, max(1, math.ceil(size / PACKED))))
+    known = context.broadcast(bitmap(keys, "id", KEY_BITS))
+    gone = written_table(removed_runs(shared_pieces(texts, known)), "repeats-gone")
+    known.destroy()
+    gone = gone.groupBy("rank", "mark").agg(F.collect_list(F.struct("at", "mask")).alias("_g"))
+    gone = gone.select("rank", "mark", F.col("_g.at").alias("ats"), F.col("_g.mask").alias("masks"))
+    return rows.join(firsts.hint("merge"), "sha"), cut_texts(texts.join(gone.hint("merge"), ["rank", "mark"]).withColumn("sha", sha))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -480,9 +488,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     rows, cut = repeated_rows(docs, text, key)
     bodies = docs.select(F.col(key).alias("_id"), text_bytes(text).alias("data")).withColumn("sha", F.unhex(F.sha2("data", 256)))
     bodies = bodies.withColumn("rank", F.coalesce(F.col("_id").cast("long"), F.lit(LAST_ID))).drop("_id").dropDuplicates(["sha", "rank"])
-    cut = cut.dropDuplicates(["sha"])
+    cut = cut.dropDuplicates(["sha", "rank"])
     copy = (F.col("rank") > F.col("first")) & (F.col("n_bytes") >= SPAN)
-    met = rows.join(bodies, ["sha", "rank"]).join(cut, "sha", "left")
+    met = rows.join(bodies, ["sha", "rank"]).join(cut, ["sha", "rank"], "left")
     return met.select(
         "doc_id", "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
@@ -493,9 +501,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def repeat_digests(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document."""
     rows, cut = repeated_rows(docs, text, key)
-    cut = cut.select("sha", "n_removed", "n_spans", F.sha2("kept", 256).alias("_kept")).dropDuplicates(["sha"])
+    cut = cut.select("sha", "rank", "n_removed", "n_spans", F.sha2("kept", 256).alias("_kept")).dropDuplicates(["sha", "rank"])
     copy = (F.col("rank") > F.col("first")) & (F.col("n_bytes") >= SPAN)
-    met = rows.join(cut.hint("merge"), "sha", "left")
+    met = rows.join(cut.hint("merge"), ["sha", "rank"], "left")
     return met.select(
         "doc_id", "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),

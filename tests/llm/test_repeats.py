@@ -79,19 +79,26 @@ def test_like_brute_force(spark):
 
 
 def test_small_bounds(spark, monkeypatch):
-    """Stretches, blocks and the limit of a key so small that every path is taken."""
+    """Stretches, blocks, ranges and the limit of a key so small that every path is taken, and a bitmap without effect."""
     rows = planted(4)
-    monkeypatch.setattr(repeats, "HOT", 1)
-    monkeypatch.setattr(repeats, "STRETCH", 64)
-    monkeypatch.setattr(repeats, "RUNS", 40)
-    monkeypatch.setattr(repeats, "BLOCK", 200)
+    for name, value in (("HOT", 1), ("STRETCH", 64), ("RUNS", 40), ("BLOCK", 200), ("PACKED", 500), ("KEY_BITS", 7)):
+        monkeypatch.setattr(repeats, name, value)
     data = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    pieces = spark.createDataFrame([(1, b"a" * 60, 5), (1, b"b" * 60, 4), (1, b"a" * 55, 2), (2, b"a" * 50, 9)], "key long, piece binary, first long")
-    with_hot = {r.piece is not None for r in repeats.sorted_blocks(pieces).collect()}
-    assert with_hot == {True, False}
+    pieces = spark.createDataFrame(
+        [(1, b"a" * 60, 5, 1, 11), (1, b"b" * 60, 4, 2, 11), (1, b"a" * 55, 2, 3, 6), (2, b"a" * 50, 9, 4, 1), (2, b"a" * 50, 9, 5, 1)],
+        "place long, piece binary, rank long, mark long, at long")
+    found = repeats.sorted_blocks(pieces).collect()
+    assert {r.piece is not None for r in found} == {True, False} and any(r.mask is None and r.piece is None for r in found)
     assert result(data) == brute(rows)
 
 
+def test_packets():
+    rng = np.random.default_rng(0)
+    columns = [rng.integers(0, 1 << 48, 1000, dtype=np.uint64) for _ in range(2)]
+    n, body = repeats.pack(columns)
+    assert (repeats.unpack(n, body, 2) == np.stack(columns)).all()
+
+
 def test_odd_rows(spark, odd, none):
     assert result(odd.filter("length(text) < 100000 OR text IS NULL")) == brute(
         [(r.doc_id, r.text) for r in odd.collect() if r.text is None or len(r.text) < 100_000])
@@ -108,10 +115,14 @@ def test_texts_that_are_left(spark):
 
 
 def test_hot_key_sends_two_rows_a_task(spark):
-    """A passage in every text: its keys cross the shuffle twice per task, the other rows are settled before it."""
+    """A passage in every text: each of its keys is sent twice per task, whatever the number of texts."""
     rng = random.Random(0)
     own = lambda: "".join(rng.choice("abcdefghijklmnop ") for _ in range(40))
     passage = own() * 2
-    frame = spark.createDataFrame([(i, (own() + passage + own()).encode()) for i in range(400)], "mark long, data binary").repartition(2)
-    counts = repeats.asks(frame).filter("NOT known").groupBy("place").count()
-    assert counts.agg({"count": "max"}).first()[0] <= 4
+    frame = spark.createDataFrame([(i << 20, (own() + passage + own()).encode()) for i in range(400)], "mark long, data binary").repartition(2)
+    packets = repeats.key_packets(frame, 3).collect()
+    keys = np.concatenate([repeats.unpack(r.n, bytes(r.body), 2)[0] for r in packets])
+    assert np.unique(keys, return_counts=True)[1].max() <= 4
+    shared = {r.id for r in repeats.shared_keys(repeats.key_packets(frame, 3)).collect()}
+    data = np.frombuffer(passage.encode(), np.uint8)
+    assert set((repeats.mix(repeats.window_keys(data)[:31]) >> np.uint64(16)).tolist()) <= shared
