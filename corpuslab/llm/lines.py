@@ -41,7 +41,7 @@ def boundaries(hashes: Column) -> Column:
 def with_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, mark, lines, chunks``: ``mark`` tells texts of one doc_id apart; a chunk is ``no, start, n`` (0-based first
     line, lines)."""
-    rows = docs.select("doc_id", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("mark"), F.split(F.col(text), "\n", -1).alias("lines"))
+    rows = docs.select("doc_id", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("mark"), F.split(F.col(text), "\n", -1).alias("lines"))
     rows = rows.withColumn("hashes", F.transform("lines", line_hash))
     rows = rows.select("doc_id", "mark", "lines", boundaries(F.col("hashes")).alias("ends"))
     number = F.sequence(F.lit(0), F.size("ends") - 1)
