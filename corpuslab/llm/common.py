@@ -67,15 +67,19 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str
+    df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str, rows: int | None = None
 ) -> DataFrame:
-    """``mapInArrow`` with a per-task object: ``work()`` builds it once, it then turns batch into batch."""
+    """``mapInArrow`` with a per-task object: ``work()`` builds it once, it then turns batch into batch.
+
+    With ``rows`` a batch is worked through in slices of that many rows, so that what is made of them is not held at once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = work()
         for batch in batches:
-            if batch.num_rows and (out := step(batch)) is not None:
-                yield out
+            for at in range(0, batch.num_rows, rows or batch.num_rows or 1):
+                if (out := step(batch.slice(at, rows))) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

@@ -3,9 +3,11 @@
 Sets are the distinct ``k``-word shingles of whole texts. Two sets link when ``100 * |A and B| >= percent * |A or B|``.
 
 1. Equal sets become one class (128-bit digest of the set); only class representatives are joined.
-2. Shingles are ordered: those that are rare first, those found in many documents last. Any total order gives the
-   same links; this one keeps widely shared passages out of the index. In that order two linked sets share at least
-   ``SHARED`` shingles of prefixes of length ``n - ceil(percent * n / 100) + SHARED``. Prefixes are the index lists.
+2. Shingles are ordered: those that are rare first, those found in many documents last, the most frequent at the very
+   end. Any total order gives the same links; this one keeps widely shared passages out of the index. In that order two
+   linked sets share at least ``s`` shingles of prefixes of length ``n - ceil(percent * n / 100) + s``, where ``s`` is
+   ``common_part`` of the smaller set: an eighth of the set and at most ``SHARED``, so that the prefix of a short set does
+   not reach into the passages that many documents share. Prefixes are the index lists.
 3. Skipping inside index lists: an entry holds the position of the shingle in its set. A pair of entries whose
    positions or sizes rule out the needed overlap is skipped.
 4. Skipping by answers: in every list the entries are first compared with one leader only. Sets that resemble a leader
@@ -42,7 +44,9 @@ from corpuslab.llm.common import WordHashes, map_batches, mix, row_marked, shing
 from corpuslab.llm.graph import components
 from corpuslab.session import written_table
 
-SHARED = 12  # shingles that linked sets share inside their prefixes
+SHARED = 12  # most shingles that linked sets must share inside their prefixes
+SHARED_PART = 8  # of a set of n, n // SHARED_PART where that is less
+ROWS = 1_000  # texts whose shingles a task holds together
 BUFFER = 1 << 20  # shingles counted together inside a task
 CARRIED = 1 << 18  # counts a task keeps between buffers
 FREQUENT = 4  # times in a task
@@ -58,14 +62,19 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def common_part(n: int, percent: int) -> int:
+    """Shingles that a set of ``n`` shares with a linked partner that is no smaller, inside their prefixes; never falls with ``n``."""
+    return max(1, min(SHARED, least_overlap(n, percent), n // SHARED_PART))
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return min(n, n - least_overlap(n, percent) + SHARED)
+    return min(n, n - least_overlap(n, percent) + common_part(n, percent))
 
 
 # -- sets and their order ----------------------------------------------------------------------------------------
 
-def frequent_shingles(docs: DataFrame, k: int, text: str) -> np.ndarray:
-    """Sorted hashes of the shingles that occur in most documents, at most ``MOST_FREQUENT``.
+def frequent_shingles(docs: DataFrame, k: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the shingles that occur in most documents, at most ``MOST_FREQUENT``, and their ranks, the most frequent last.
 
     Every task counts the shingles of its documents buffer by buffer, carries the repeated ones on (of ``CARRIED`` at most
     the most frequent) and passes on those it met ``FREQUENT`` times. A miss costs time, never a link.
@@ -100,16 +109,22 @@ def frequent_shingles(docs: DataFrame, k: int, text: str) -> np.ndarray:
 
     counted = docs.select(text_bytes(text).alias("data")).mapInArrow(count, "s long, n long")
     top = counted.groupBy("s").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s").limit(MOST_FREQUENT)
-    return np.sort(top.select("s").toArrow().column("s").to_numpy().view(np.uint64))
-
-
-def ordered(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Sorted distinct shingles with the frequent ones moved to the end."""
-    if not len(frequent):
+    found = top.toArrow()
+    values, times = found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    ranks = np.empty(len(values), np.int32)
+    ranks[np.lexsort((values, times))] = np.arange(len(values), dtype=np.int32)
+    order = np.argsort(values)
+    return values[order], ranks[order]
+
+
+def ordered(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Sorted distinct shingles with the frequent ones moved to the end, by rank."""
+    values, ranks = frequent
+    if not len(values):
         return shingles
-    at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-    often = frequent[at] == shingles
-    return np.concatenate([shingles[~often], shingles[often]])
+    at = np.minimum(np.searchsorted(values, shingles), len(values) - 1)
+    often = values[at] == shingles
+    return np.concatenate([shingles[~often], shingles[often][np.argsort(ranks[at[often]])]])
 
 
 def set_rows(docs: DataFrame, k: int, percent: int, frequent: Broadcast, key: str, text: str) -> DataFrame:
@@ -136,14 +151,20 @@ def set_rows(docs: DataFrame, k: int, percent: int, frequent: Broadcast, key: st
         return step
 
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_bytes(text).alias("data"))
-    return map_batches(rows, work, "doc_id long, n long, d1 long, d2 long, prefix array<long>")
+    return map_batches(rows, work, "doc_id long, n long, d1 long, d2 long, prefix array<long>", ROWS)
 
 
 # -- filters -----------------------------------------------------------------------------------------------------
 
+def common_column(n: Column, percent: int) -> Column:
+    """``common_part`` of a size, or less."""
+    overlap = F.ceil(n * percent / F.lit(100.0) - MARGIN)
+    return F.greatest(F.lit(1), F.least(F.lit(SHARED), overlap, F.floor(n / SHARED_PART)))
+
+
 def needed(n: Column, percent: int) -> Column:
-    """Shingles that a set of ``n`` shares inside prefixes with a linked partner."""
-    return F.least(F.lit(SHARED), F.ceil(n * percent / F.lit(100.0) - MARGIN))
+    """Shingles that a set of ``n`` shares inside prefixes with any linked partner, smaller ones included."""
+    return common_column(F.ceil(n * percent / F.lit(100.0) - MARGIN), percent)
 
 
 def may_link(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -200,7 +221,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int, key: str, text: str) -
 
         return step
 
-    return map_batches(rows, work, "id long, bag array<long>").filter("id IS NOT NULL")
+    return map_batches(rows, work, "id long, bag array<long>", ROWS).filter("id IS NOT NULL")
 
 
 def compare(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -336,7 +357,7 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
     context = docs.sparkSession.sparkContext
-    frequent = context.broadcast(frequent_shingles(docs, k, text))  # at most BUFFER / FREQUENT hashes
+    frequent = context.broadcast(frequent_shingles(docs, k, text))  # at most MOST_FREQUENT hashes and ranks
     sets = written_table(set_rows(docs, k, percent, frequent, key, text), "jaccard-sets")
     classes = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(
         F.min("doc_id").alias("id"), F.first("prefix").alias("prefix"))  # equal sets have equal prefixes
@@ -354,7 +375,7 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
     bags = written_table(full_sets(docs, wanted, k, key, text), "jaccard-bags")
 
     # every entry against the leader of its list, where enough of the prefixes is common to expect some likeness
-    prefix = F.col("n") * (1 - percent / 100) + SHARED
+    prefix = F.col("n") * (1 - percent / 100) + common_column(F.col("n"), percent)
     first = lists.filter("id <> l_id").groupBy(F.col("l_id").alias("a"), F.col("id").alias("b")).agg(
         F.count(F.lit(1)).alias("c"), F.min(F.least("n", "l_n")).alias("n")).filter(
         F.col("c") >= EXPECTED * F.least(prefix, F.col("n")))

@@ -61,7 +61,7 @@ def families(rng):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("k,percent,seed", [(4, 85, 1), (5, 80, 2), (1, 60, 3)])
+@pytest.mark.parametrize("k,percent,seed", [(4, 85, 1), (5, 80, 2), (1, 60, 3), (2, 50, 5)])
 def test_like_brute_force(spark, k, percent, seed):
     rows = families(random.Random(seed))
     got = jaccard.component_rows(spark.createDataFrame(rows, "doc_id long, text string"), k, percent)
@@ -73,11 +73,47 @@ def test_frequent_shingles_only_change_the_order(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BUFFER", 64)
     monkeypatch.setattr(jaccard, "CARRIED", 50)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert len(jaccard.frequent_shingles(docs, 4, "text"))
+    values, ranks = jaccard.frequent_shingles(docs, 4, "text")
+    assert len(values) and sorted(ranks) == list(range(len(values))) and (values[1:] > values[:-1]).all()
     got = jaccard.component_rows(docs)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(rows, 4, 85)
 
 
+@pytest.mark.parametrize("percent", [1, 8, 50, 80, 85, 100])
+def test_prefixes_hold_what_linked_sets_share(percent):
+    parts = [jaccard.common_part(n, percent) for n in range(1, 400)]
+    assert parts == sorted(parts) and parts[0] == 1
+    for n, part in enumerate(parts, 1):
+        assert 1 <= part <= jaccard.least_overlap(n, percent) and jaccard.prefix_length(n, percent) <= n
+
+
+def test_candidates_of_a_shared_passage_grow_with_the_input(spark, monkeypatch):
+    """Short texts of their own around one passage: unlike each other, so pairs of them must not be listed."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    seen = {}
+    write = jaccard.written_table
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "jaccard-spans":
+            x, y = out.alias("x"), out.alias("y")
+            met = (jaccard.F.col("x.shingle") == jaccard.F.col("y.shingle")) & (jaccard.F.col("x.unit") < jaccard.F.col("y.unit"))
+            seen["rows"] = x.join(y, met & jaccard.may_link(jaccard.span("x"), jaccard.span("y"), 80)).count()
+        return out
+
+    monkeypatch.setattr(jaccard, "written_table", counted)
+    passage = " ".join(f"p{j}" for j in range(20))
+    rows = {}
+    for size in (60, 300):
+        texts = [(i, " ".join(f"w{i}x{j}" for j in range(14)) + " " + passage) for i in range(size)]
+        texts += [(size + i, t + " more") for i, t in texts[:5]]
+        docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+        got = {r.doc_id: r.component_id for r in jaccard.component_rows(docs, 5, 80).collect()}
+        assert got == {**{i: i for i in range(size)}, **{size + i: i for i in range(5)}}
+        rows[size] = seen["rows"]
+    assert rows[300] <= 6 * max(rows[60], 5)
+
+
 def test_documents(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     got = jaccard.component_rows(documents)
