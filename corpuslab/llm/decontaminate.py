@@ -10,7 +10,8 @@ The benchmark is a stated query set: it is read in blocks of at most ``BLOCK_WOR
 (its size is bounded by that) and meets all documents in one scan. Documents are never shuffled, and a document is
 tiled in the task that holds it, whatever number of copies it has.
 
-Edge cases: null or wordless documents and items match nothing; an item shorter than a seed must occur as a whole; a
+Edge cases: seed pairs are held in blocks and joined to runs, so a text of one repeated word needs a run per diagonal;
+null or wordless documents and items match nothing; an item shorter than a seed must occur as a whole; a
 null item_id or doc_id is kept; repeated rows repeat their pairs; equal items each get their pair; an empty benchmark
 gives no pairs; extra columns are ignored.
 """
@@ -38,6 +39,7 @@ BLOCK_WORDS = 1 << 20
 WORD = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so powers never vanish
 PIECE = 1 << 14
+PAIRS = 1 << 20  # seed pairs that are held at once
 
 Tile = tuple[int, int, int]  # first word in the document, first word in the item, words
 
@@ -58,14 +60,16 @@ def karp_rabin(words: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
-def runs_of(pairs: np.ndarray, k: int) -> list[Tile]:
-    """Maximal common runs from seed pairs ``(document word, item word)``: neighbours on a diagonal."""
-    order = np.lexsort((pairs[:, 0], pairs[:, 0] - pairs[:, 1]))
-    i, d = pairs[order, 0], (pairs[:, 0] - pairs[:, 1])[order]
-    cut = np.flatnonzero((np.diff(i) != 1) | (np.diff(d) != 0)) + 1
-    starts = np.concatenate(([0], cut))
-    ends = np.concatenate((cut, [len(i)]))
-    return [(int(i[s]), int(i[s] - d[s]), int(e - s + k - 1)) for s, e in zip(starts, ends)]
+def joined(runs: np.ndarray) -> np.ndarray:
+    """Rows ``item, diagonal, first, end`` (places of seeds in the document) with those that touch on a diagonal made one."""
+    if not len(runs):
+        return runs
+    runs = runs[np.lexsort((runs[:, 2], runs[:, 1], runs[:, 0]))]
+    new = np.ones(len(runs), bool)
+    new[1:] = (runs[1:, :2] != runs[:-1, :2]).any(1) | (runs[1:, 2] != runs[:-1, 3])
+    first = np.flatnonzero(new)
+    last = np.concatenate((first[1:], [len(runs)])) - 1
+    return np.concatenate([runs[first, :3], runs[last, 3:]], 1)
 
 
 def tile(runs: list[Tile], doc_words: int, item_words: int, k: int) -> list[Tile]:
@@ -104,6 +108,8 @@ class Benchmark:
             if len(words):
                 self.ids.append(item)
                 self.words.append(words)
+        self.flat = np.concatenate(self.words) if self.words else np.empty(0, np.uint64)
+        self.begin = np.concatenate(([0], np.cumsum([len(w) for w in self.words]))).astype(np.int64)
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for length in sorted({min(k, len(w)) for w in self.words}):
             mine = [n for n, w in enumerate(self.words) if min(k, len(w)) == length]
@@ -114,44 +120,60 @@ class Benchmark:
             order = np.argsort(value, kind="stable")
             self.seeds[length] = (value[order], item[order], place[order])
 
-    def pairs(self, words: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """Seed pairs of one document by (item, seed length); the document is walked piece by piece."""
-        found: dict[tuple[int, int], list[np.ndarray]] = {}
-        for length, (value, item, place) in self.seeds.items():
-            for at in range(0, max(0, len(words) - length + 1), PIECE):
-                own = karp_rabin(words[at:at + PIECE + length - 1], length)
-                low = np.searchsorted(value, own, "left")
-                many = np.searchsorted(value, own, "right") - low
-                hit = np.flatnonzero(many)
-                if not len(hit):
-                    continue
-                many, low = many[hit], low[hit]
-                rows = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-                table = np.stack([np.repeat(hit + at, many), place[rows]], 1)
-                items = item[rows]
-                for n in np.unique(items):
-                    found.setdefault((int(n), length), []).append(table[items == n])
-        return {key: np.concatenate(parts) for key, parts in found.items()}
+    def runs(self, words: np.ndarray, length: int) -> np.ndarray:
+        """Maximal common runs of one document with all items, as rows of ``joined``.
+
+        Seed pairs are made block by block (at most ``PAIRS``, or those of one word of the document), compared word by
+        word, as a hash collision is no match, and joined to runs before the next block, so a text of one repeated word
+        costs a run per diagonal and not a pair per place.
+        """
+        value, item, place = self.seeds[length]
+        found, size = [np.empty((0, 4), np.int64)], 0
+        for at in range(0, max(0, len(words) - length + 1), PIECE):
+            own = karp_rabin(words[at:at + PIECE + length - 1], length)
+            low = np.searchsorted(value, own, "left")
+            many = np.searchsorted(value, own, "right") - low
+            hit = np.flatnonzero(many)
+            low, many = low[hit], many[hit]
+            before = np.cumsum(many) - many
+            start = 0
+            while start < len(hit):
+                end = max(start + 1, int(np.searchsorted(before + many, before[start] + PAIRS, "right")))
+                n = many[start:end]
+                rows = np.repeat(low[start:end] - (before[start:end] - before[start]), n) + np.arange(n.sum())
+                i, j, which = np.repeat(hit[start:end] + at, n), place[rows], item[rows]
+                start, same = end, np.ones(len(rows), bool)
+                for step in range(length):
+                    same &= words[i + step] == self.flat[self.begin[which] + j + step]
+                i, j, which = i[same], j[same], which[same]
+                part = joined(np.stack([which, i - j, i, i + 1], 1))
+                found.append(part)
+                size += len(part)
+                if size > PAIRS // 4:
+                    found = [joined(np.concatenate(found))]
+                    size = 0
+        return joined(np.concatenate(found))
 
     def leaks(self, words: np.ndarray, coverage: float) -> list[tuple[int | None, float, list[Tile]]]:
         """``(item_id, coverage, tiles)`` of every item that one document leaks."""
         out: list[tuple[int | None, float, list[Tile]]] = []
-        for (n, length), pairs in self.pairs(words).items():
-            own = self.words[n]
-            reach = np.zeros(len(own) + 1, np.int64)  # words of the item under any shared seed: an upper bound
-            places = np.unique(pairs[:, 1])
-            np.add.at(reach, places, 1)
-            np.add.at(reach, places + length, -1)
-            if (np.cumsum(reach)[:-1] > 0).sum() < coverage * len(own):
-                continue
-            at = np.unique(pairs, axis=0)
-            same = np.ones(len(at), bool)
-            for j in range(length):  # word by word: a hash collision is no match
-                same &= words[at[:, 0] + j] == own[at[:, 1] + j]
-            tiles = tile(runs_of(at[same], length), len(words), len(own), length) if same.any() else []
-            covered = sum(t[2] for t in tiles)
-            if tiles and covered >= coverage * len(own):
-                out.append((self.ids[n], covered / len(own), sorted(tiles)))
+        for length in self.seeds:
+            runs = self.runs(words, length)
+            bounds = np.flatnonzero(np.diff(runs[:, 0], prepend=-1, append=len(self.words)))
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                n, own = int(runs[low, 0]), runs[low:high]
+                size = len(self.words[n])
+                first = own[:, 2] - own[:, 1]
+                end = own[:, 3] - own[:, 1] + length - 1
+                reach = np.zeros(size + 1, np.int64)  # words of the item under any run: an upper bound
+                np.add.at(reach, first, 1)
+                np.add.at(reach, end, -1)
+                if (np.cumsum(reach)[:-1] > 0).sum() < coverage * size:
+                    continue
+                tiles = tile(list(zip(own[:, 2].tolist(), first.tolist(), (end - first).tolist())), len(words), size, length)
+                covered = sum(t[2] for t in tiles)
+                if tiles and covered >= coverage * size:
+                    out.append((self.ids[n], covered / size, sorted(tiles)))
         return out
 
 

@@ -37,6 +37,35 @@ def test_like_the_definition():
         assert round(sum(f[1] for f in found) * len(item)) == greedy(doc, item, 3), (doc, item)
 
 
+def test_repeated_words_in_bounded_memory(monkeypatch):
+    """Every seed of the text meets every seed of the item: 6 million pairs."""
+    import tracemalloc
+
+    item, text = b"same " * 300, b"same " * 20_000 + b"other " + b"same " * 20
+    bench = dc.Benchmark([(1, item), (2, b"same same same same same other thing and more words")])
+    words = dc.words_of(text, WordHashes())
+    monkeypatch.setattr(dc, "PAIRS", 1 << 17)
+    tracemalloc.start()
+    found = bench.leaks(words, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(1, 1.0, [(0, 0, 300)]), (2, 0.6, [(19_995, 0, 6)])]
+    assert peak < 100 << 20
+
+
+def test_blocks_of_pairs_do_not_matter(monkeypatch):
+    rng = random.Random(9)
+    for _ in range(40):
+        items = [(n, " ".join(rng.choice("ab") for _ in range(rng.randint(3, 30))).encode()) for n in range(4)]
+        doc = dc.words_of(" ".join(rng.choice("aab") for _ in range(rng.randint(0, 80))).encode(), WordHashes())
+        monkeypatch.setattr(dc, "PAIRS", 1 << 20)
+        want = dc.Benchmark(items, 3).leaks(doc, 0.1)
+        monkeypatch.setattr(dc, "PAIRS", 4)
+        monkeypatch.setattr(dc, "PIECE", 7)
+        assert dc.Benchmark(items, 3).leaks(doc, 0.1) == want
+        monkeypatch.undo()
+
+
 def test_reordered_passages_and_clean_documents(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     docs = spark.createDataFrame([
