@@ -47,9 +47,9 @@ GRAM = 20
 EIGHT = 8  # bytes read at once
 MOST_WINDOWS = 62  # of a piece; one bit each in a signed long
 DEPTH = 56  # bytes that the direct sort looks at, a multiple of eight and at least SPAN
-STRETCH = 1 << 19  # bytes worked on at once
+STRETCH = 1 << 18  # bytes worked on at once
 RUNS = 1 << 18  # runs held before they are sent
-PACKED = 1 << 25  # bytes of text whose keys meet in one packet range
+PACKED = 1 << 24  # bytes of text whose keys meet in one packet range
 KEY_BITS = 28  # of the bitmap of shared keys
 BLOCK = 1 << 20  # bytes of pieces sorted together
 HOT = 1 << 15  # distinct pieces of one key that are still sorted in a block
@@ -145,10 +145,11 @@ def key_packets(texts: DataFrame, ranges: int) -> DataFrame:
         key, mark = (np.concatenate(c) for c in zip(*found))
         order = np.lexsort((mark, key))
         key, mark = key[order], mark[order]
+        pair = np.concatenate([[True], (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])])
+        key, mark = key[pair], mark[pair]  # a text may have a key in many runs: the last text must be kept with one of them
         new = np.concatenate([[True], key[1:] != key[:-1]])
         ends = np.concatenate([new[1:], [True]])
-        keep = (new | ends) & np.concatenate([[True], (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])])
-        key, mark = key[keep], mark[keep]
+        key, mark = key[new | ends], mark[new | ends]
         part = (key * np.uint64(ranges) >> np.uint64(48)).astype(np.int64) if ranges < 1 << 16 else (key % np.uint64(ranges)).astype(np.int64)
         order = np.lexsort((key, mark, part))  # rows of one text together compress
         key, mark, part = key[order], mark[order], part[order]
@@ -174,8 +175,12 @@ def key_packets(texts: DataFrame, ranges: int) -> DataFrame:
     return texts.select("mark", "data").mapInArrow(run, "part long, n int, body binary")
 
 
-def shared_keys(packets: DataFrame) -> DataFrame:
-    """``id``: keys of two or more texts. A range has the keys of about ``PACKED`` bytes of text."""
+def shared_keys(packets: DataFrame, ranges: int | None = None) -> DataFrame:
+    """``id``: keys of two or more texts. A range has the keys of about ``PACKED`` bytes of text.
+
+    With the number of ``ranges`` there are as many partitions, which adaptive execution does not join to larger ones: what
+    a task receives comes as one Arrow batch.
+    """
 
     def judge(pairs: list[np.ndarray]) -> pa.RecordBatch:
         key, mark = np.concatenate(pairs, axis=1)
@@ -188,16 +193,17 @@ def shared_keys(packets: DataFrame) -> DataFrame:
     def run(batches):
         part, pairs = None, []
         for batch in batches:
-            for own, n, body in zip(*(c.to_pylist() for c in batch.columns)):
+            for own, n, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if own != part and pairs:
                     yield judge(pairs)
                     pairs = []
                 part = own
-                pairs.append(unpack(n, body, 2))
+                pairs.append(unpack(n, body.as_buffer(), 2))
         if pairs:
             yield judge(pairs)
 
-    return packets.repartition("part").sortWithinPartitions("part").mapInArrow(run, "id long")
+    dealt = packets.repartition(ranges, "part") if ranges else packets.repartition("part")
+    return dealt.sortWithinPartitions("part").mapInArrow(run, "id long")
 
 
 # -- suffix sorting ----------------------------------------------------------------------------------------------
@@ -474,7 +480,8 @@ def repeated_rows(docs: DataFrame, text: str = "text", key: str = "doc_id") -> t
 
     context = docs.sparkSession.sparkContext
     size = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    keys = shared_keys(key_packets(texts, max(1, math.ceil(size / PACKED))))
+    ranges = max(1, math.ceil(size / PACKED))
+    keys = shared_keys(key_packets(texts, ranges), ranges)
     known = context.broadcast(bitmap(keys, "id", KEY_BITS))
     gone = written_table(removed_runs(shared_pieces(texts, known)), "repeats-gone")
     known.destroy()

@@ -126,3 +126,16 @@ def test_hot_key_sends_two_rows_a_task(spark):
     shared = {r.id for r in repeats.shared_keys(repeats.key_packets(frame, 3)).collect()}
     data = np.frombuffer(passage.encode(), np.uint8)
     assert set((repeats.mix(repeats.window_keys(data)[:31]) >> np.uint64(16)).tolist()) <= shared
+
+
+def test_key_that_a_text_has_twice(spark):
+    """The text with the larger mark has the shared passage two times: its key is still sent with both marks."""
+    rng = random.Random(1)
+    own = lambda: "".join(rng.choice("abcdefghijklmnop ") for _ in range(60))
+    passage = own()
+    bodies = [own() + passage + own(), own() + passage + own() + passage + own()]
+    for marks in ((1 << 20, 2 << 20), (2 << 20, 1 << 20)):
+        frame = spark.createDataFrame([(m, b.encode()) for m, b in zip(marks, bodies)], "mark long, data binary").coalesce(1)
+        assert repeats.shared_keys(repeats.key_packets(frame, 2)).count() > 0
+    rows = [(i, bodies[i % 2]) for i in range(2)] + [(2, own() + passage), (3, (passage + own()) * 3)]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)) == brute(rows)
