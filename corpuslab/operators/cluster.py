@@ -22,7 +22,7 @@ MAX_CLUSTERS = 4096
 NEGLIGIBLE = 1e-12  # share of the spread of the data below which two vectors count as one
 SEED_ROUNDS = 5
 MOST_SEED_ROUNDS = 30
-DIRECT_ROWS = 20_000
+CELLS = 1 << 20  # distances held at once by a task
 MOST_SLICES = 20
 MOST_ROUNDS = 100
 LEAST_SHARE = 0.01  # of the largest centre's rows; below it a centre is replaced
@@ -149,61 +149,114 @@ def seed_candidates(
     return variance, {r: (found[r][weights[r].counts > 0], weights[r].counts[weights[r].counts > 0]) for r in found}
 
 
-def lloyd_pass(
-    vectors: DataFrame, models: dict[int, np.ndarray], vec: str = "embedding", direct: bool = False
-) -> dict[int, Stats]:
+class Assigner:
+    """Nearest centres of many models at once: one matrix product for all distances and one for all sums.
+
+    Models of equal size lie side by side, so that a step of the search for the least distance serves all of them.
+    """
+
+    def __init__(self, models: dict[int, np.ndarray]):
+        sizes: dict[int, list[int]] = {}
+        for m, c in models.items():
+            sizes.setdefault(len(c), []).append(m)
+        self.groups = []  # first row, centres and models of a block
+        blocks, at = [], 0
+        for k, names in sizes.items():
+            stacked = np.stack([models[m] for m in names], axis=1)  # k x models x d
+            blocks.append(stacked.reshape(k * len(names), -1))
+            self.groups.append((at, k, names))
+            at += k * len(names)
+        centers = np.concatenate(blocks)
+        self.origin = centers.mean(0)  # so that an offset of the data does not cancel digits
+        moved = centers - self.origin
+        self.known = np.hstack([-2.0 * moved, (moved * moved).sum(1)[:, None]])
+        self.sums = np.zeros_like(centers)
+        self.counts = np.zeros(len(centers), dtype=np.int64)
+        self.costs = {m: 0.0 for m in models}
+        self.rows = int(min(4096, max(64, CELLS // len(centers))))
+
+    def add(self, points: np.ndarray) -> None:
+        for begin in range(0, len(points), self.rows):
+            self._add(points[begin:begin + self.rows])
+
+    def _add(self, points: np.ndarray) -> None:
+        moved = points - self.origin
+        square = (moved * moved).sum(1)
+        gaps = self.known @ np.hstack([moved, np.ones((len(moved), 1))]).T  # less the square of the point, equal for all
+        own = np.empty_like(gaps)
+        for at, k, names in self.groups:
+            block = gaps[at:at + k * len(names)].reshape(k, len(names), -1)
+            least, label = block[0].copy(), np.zeros(block.shape[1:], dtype=np.int32)
+            for c in range(1, k):  # the first of equal distances wins
+                np.copyto(label, c, where=block[c] < least)
+                np.minimum(least, block[c], out=least)
+            mine = own[at:at + k * len(names)].reshape(block.shape)
+            mine[...] = label[None] == np.arange(k, dtype=np.int32)[:, None, None]
+            for m, cost in zip(names, np.maximum(least + square, 0.0).sum(1).tolist()):
+                self.costs[m] += cost
+        self.sums += own @ points
+        self.counts += own.sum(1).astype(np.int64)
+
+    def partials(self) -> pa.RecordBatch:
+        """A row per model and cluster that has rows; a model's cost stands in its first one."""
+        rows = []
+        for at, k, names in self.groups:
+            for j, m in enumerate(names):
+                cost = self.costs[m]
+                for c in range(k):
+                    place = at + c * len(names) + j
+                    if self.counts[place]:
+                        rows.append((m, c, int(self.counts[place]), cost, place))
+                        cost = 0.0
+        model, cluster, n, cost, place = zip(*rows)
+        totals = self.sums[list(place)]
+        return pa.record_batch(
+            [
+                pa.array(model, pa.int32()),
+                pa.array(cluster, pa.int32()),
+                pa.array(n, pa.int64()),
+                pa.array(cost, pa.float64()),
+                pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * totals.shape[1], totals.ravel()),
+            ],
+            names=["model", "cluster", "n", "cost", "total"],
+        )
+
+
+def lloyd_pass(vectors: DataFrame, models: dict[int, np.ndarray], vec: str = "embedding") -> dict[int, Stats]:
     """One scan that assigns every vector in every model.
 
     Tasks reduce their rows to one partial sum per (model, cluster); only those are shuffled, and the
-    driver receives one row per (model, cluster). ``direct`` leaves out that shuffle, for callers that
-    know the number of partial rows to be small.
+    driver receives one row per (model, cluster), whatever the number of tasks.
     """
     schema = "model INT, cluster INT, n BIGINT, cost DOUBLE, total ARRAY<DOUBLE>"
     tables = {m: np.asarray(c, dtype=np.float64) for m, c in models.items()}
+    if not tables:
+        return {}
 
     def partial(batches):
-        sums = {m: np.zeros_like(c) for m, c in tables.items()}
-        counts = {m: np.zeros(len(c), dtype=np.int64) for m, c in tables.items()}
-        costs = {m: np.zeros(len(c)) for m, c in tables.items()}
+        found = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            points = to_matrix(batch.column(0))
-            for m, centers in tables.items():
-                gaps = pairwise_squared(points, centers)
-                label = gaps.argmin(1)
-                counts[m] += np.bincount(label, minlength=len(centers))
-                costs[m] += np.bincount(label, weights=gaps[np.arange(len(label)), label], minlength=len(centers))
-                order = np.argsort(label, kind="stable")
-                present, first = np.unique(label[order], return_index=True)
-                sums[m][present] += np.add.reduceat(points[order], first, axis=0)
-        rows = [(m, c, int(counts[m][c]), float(costs[m][c]), sums[m][c]) for m in tables for c in range(len(tables[m])) if counts[m][c]]
-        if rows:
-            yield pa.record_batch(
-                [
-                    pa.array([r[0] for r in rows], pa.int32()),
-                    pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([r[3] for r in rows], pa.float64()),
-                    pa.array([r[4] for r in rows], pa.list_(pa.float64())),
-                ],
-                names=["model", "cluster", "n", "cost", "total"],
-            )
-
-    partials = vectors.select(vec).mapInArrow(partial, schema)
-    if not direct:
-        total = vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
-        partials = partials.groupBy("model", "cluster").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"), total, F.count(F.lit(1)).alias("parts")
-        )
-    rows = partials.collect()
+            found = found or Assigner(tables)
+            found.add(to_matrix(batch.column(0)))
+        if found is not None:
+            yield found.partials()
+
+    total = vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
+    rows = vectors.select(vec).mapInArrow(partial, schema).groupBy("model", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), total, F.count(F.lit(1)).alias("parts")
+    ).toArrow().combine_chunks()
     out = {m: Stats(np.zeros_like(c), np.zeros(len(c), dtype=np.int64), 0.0, 0) for m, c in tables.items()}
-    for row in rows:
-        found = out[row.model]
-        found.sums[row.cluster] += row.total
-        found.counts[row.cluster] += row.n
-        found.inertia += row.cost
-        found.partials += 1 if direct else row.parts
+    if rows.num_rows == 0:
+        return out
+    totals = to_matrix(rows.column("total"))
+    for at, (m, c, n, cost, parts) in enumerate(zip(*(rows.column(name).to_pylist() for name in ("model", "cluster", "n", "cost", "parts")))):
+        found = out[m]
+        found.sums[c] = totals[at]
+        found.counts[c] = n
+        found.inertia += cost
+        found.partials += parts
     return out
 
 
@@ -218,12 +271,10 @@ def run_lloyd(
     centers = {i: np.array(starts[key], dtype=np.float64) for i, key in enumerate(keys)}
     rounds = dict.fromkeys(centers, 0)
     active = set(centers)
-    direct = False
     for _ in range(max_iter):
         if not active:
             break
-        stats = lloyd_pass(vectors, {m: centers[m] for m in active}, vec, direct)
-        direct = sum(found.partials for found in stats.values()) <= DIRECT_ROWS
+        stats = lloyd_pass(vectors, {m: centers[m] for m in active}, vec)
         for m, found in stats.items():
             means = found.sums / np.maximum(found.counts, 1)[:, None]
             moved = np.where(found.counts[:, None] > 0, means, centers[m])
@@ -248,7 +299,21 @@ def fit_kmeans_scan(
     id_col: str = "id",
     vec: str = "embedding",
 ) -> dict[int, Fit]:
-    """Best of ``n_init`` restarts for every requested k, all fitted on the same scans."""
+    """Best of ``n_init`` restarts for every requested k, all fitted on the same scans.
+
+    The scans read a narrow copy with a file per core: a small table in one row group would be worked on by one task.
+    """
+    vectors = vectors.select(id_col, vec)
+    copy = scratch_path(vectors.sparkSession, "points")
+    vectors.repartition(vectors.sparkSession.sparkContext.defaultParallelism, id_col, vec).write.parquet(copy)
+    points = vectors.sparkSession.read.parquet(copy)
+    try:
+        return _fit_kmeans_scan(points, ks, n_init, max_iter, seed, tol, id_col, vec)
+    finally:
+        remove_table(vectors.sparkSession, copy)
+
+
+def _fit_kmeans_scan(vectors, ks, n_init, max_iter, seed, tol, id_col, vec):
     variance, candidates = seed_candidates(vectors, max(ks), n_init, seed, id_col, vec)
     starts = {}
     for k in ks:

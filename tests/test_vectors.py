@@ -236,3 +236,19 @@ def test_sampled_fit_meets_every_row(spark, monkeypatch):
     got = queries_vectors.kmeans_sampled(spark, "").collect()
     sizes = [r.cluster_size for r in got]
     assert sum(sizes) == 6_000 and len(sizes) == 5 and min(sizes) == 3 and got[0].inertia < 200
+
+
+def test_pass_sends_one_row_per_centre(spark):
+    """Whatever the number of tasks, the driver gets a row per model and cluster; sums agree with a plain count."""
+    rng = np.random.default_rng(5)
+    points = np.round(rng.normal(size=(900, 6)), 3) + 1000.0
+    frame = spark.createDataFrame([(str(i), p.tolist()) for i, p in enumerate(points)], "id STRING, embedding ARRAY<DOUBLE>").repartition(9)
+    models = {0: points[:3], 1: points[10:15], 2: points[20:23], 3: points[[30, 30, 31]], 4: points[40:41]}
+    assert not hasattr(cl, "DIRECT_ROWS")  # no way past the aggregation
+    for m, found in cl.lloyd_pass(frame, models).items():
+        gaps = ((points[:, None] - models[m][None]) ** 2).sum(2)
+        label = gaps.argmin(1)
+        assert found.counts.tolist() == np.bincount(label, minlength=len(models[m])).tolist()
+        assert np.allclose(found.sums, [points[label == c].sum(0) for c in range(len(models[m]))])
+        assert np.isclose(found.inertia, gaps.min(1).sum())
+    assert cl.lloyd_pass(frame.filter("false"), models)[1].counts.sum() == 0
