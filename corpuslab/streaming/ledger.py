@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ENTRY = "file STRING, first_pos BIGINT, step BIGINT, comments BIGINT, whole BOOLEAN, batch_id BIGINT"
+ENTRY = "file STRING, first_pos BIGINT, step BIGINT, comments BIGINT, whole BOOLEAN, last BIGINT, batch_id BIGINT"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -88,10 +88,12 @@ class Ledger:
         base = self._base(spark, version).filter(F.col("bucket").isin(hit)).drop("bucket")
         return base.unionByName(self._log(spark, version)).join(wanted, "file", "left_semi")
 
-    def append(self, entries: DataFrame, batch_id: int, step: int) -> None:
-        """Marks row ranges (``whole`` false) or files as done; the same batch and step again replaces its rows."""
+    def append(self, entries: DataFrame, batch_id: int, step: int, last: int | None = None) -> None:
+        """Marks row ranges (``whole`` false; the steps from ``step`` to ``last``) or files as done; the same batch and
+        step again replaces its rows."""
         rows = entries.select(
-            "file", "first_pos", F.lit(step).cast("bigint").alias("step"), "comments", "whole", F.lit(batch_id).cast("bigint").alias("batch_id"))
+            "file", "first_pos", F.lit(step).cast("bigint").alias("step"), "comments", "whole", F.lit(last).cast("bigint").alias("last"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"))
         replace_part(rows.coalesce(1), f"{self.path}/log", "batch_id", "step")  # one narrow row per file of a batch
 
     def compact(self, spark: SparkSession, batch_id: int) -> bool:

@@ -225,3 +225,21 @@ def test_cooldown_of_a_long_key_stays_small(spark):
         at = int(np.searchsorted(everything, want[-1] + 24 * hour))
     assert opened == want
     assert most <= 90_000 and not shelf.maps and not shelf.values
+
+
+def test_short_steps_are_committed_together(spark, tmp_path, monkeypatch):
+    """A file in two chunks and steps of two rows: few writes, every step with its rows, positions of the whole file."""
+    writes = []
+    monkeypatch.setattr(ingest, "_commit", lambda *a, real=ingest._commit: (writes.append([g[0] for g in a[-1]]), real(*a)))
+    monkeypatch.setattr(ingest, "COMMIT_ROWS", 9)
+    monkeypatch.setattr(ingest, "PART_ROWS", 4)
+    job = ingest.WatchJob(str(tmp_path / "in"), str(tmp_path / "out"), step_rows=2)
+    batch = spark.createDataFrame(
+        [("f", 0, json.dumps([f"t{i}" for i in range(10)])), ("f", 10, '["u", "v", "w"]'), ("g", 0, '["x"]')],
+        "file STRING, first_pos BIGINT, content STRING")
+    ingest.process_batch(job, ENCODER)(batch, 0)
+    assert writes == [[0, 1, 2, 3], [4, 5, 6]]
+    rows = ingest.vectors(spark, job).collect()
+    assert sorted((r.file, r.pos, r.step) for r in rows) == [("f", i, i // 2) for i in range(13)] + [("g", 0, 0)]
+    marks = {(r.step, r.last) for r in job.ledger.entries(spark).filter("NOT whole").collect()}
+    assert marks == {(0, 3), (4, 6)}
