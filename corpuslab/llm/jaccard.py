@@ -13,12 +13,16 @@ Sets are the distinct ``k``-word shingles of whole texts. Two sets link when ``1
 4. Skipping by answers: in every list the entries are first compared with one leader only. Sets that resemble a leader
    form a unit, whether they link with it or not, and their answers follow from the leader's:
 
+   * A set that is in no unit, but shares enough lists with some members of one, is compared with its leader too and
+     joins the unit if it resembles the leader.
    * Across units, whole units are compared through their leaders. As the Jaccard distance is a metric, the leaders'
-     distance settles all members when it exceeds the units' radii and the threshold together.
+     distance settles all members when it exceeds the units' radii and the threshold together. Where it does not, the
+     smaller unit's members become guests of the larger one: they are compared with its leader, and with its members as below.
    * Inside a unit with leader ``o`` only differences are joined. With ``Dx = o - x`` and ``Ax = x - o``,
      ``|x & y| = |o| - |Dx| - |Dy| + |Dx & Dy| + |Ax & Ay|``. Two members that do not both link with ``o`` must
-     therefore share so many of their (few) differences that a prefix of those, rarest first, finds them. So a group of
-     near copies costs as much as its differences, not the square of its size.
+     therefore share so many of their (few) differences that a prefix of those, rarest first, finds them. Differences
+     that only one member has are left out before prefixes are cut. So a group of near copies costs as much as its
+     differences, not the square of its size.
 
 Links that could join two components are all found; a link between two sets that both link with their unit's leader
 need not be listed, since the result is the component of every document. Exact: sets are compared as 64-bit shingle hashes, everything else follows from them.
@@ -54,6 +58,7 @@ MOST_FREQUENT = 1 << 18  # shingles that are moved to the end
 MARGIN = 1e-9
 EXPECTED = 0.25  # share of the shorter prefix that a leader and a member have in common
 ALIKE = 0.3  # least similarity of a unit's member to its leader
+UNLINKED = 16  # members without a link to their leader that a unit may have before another one leads
 BITMAP_BITS = 28  # power of two: at most 32 MB
 
 
@@ -242,22 +247,69 @@ def linked(percent: int) -> Column:
 
 # -- units -------------------------------------------------------------------------------------------------------
 
-def units_of(near: DataFrame, percent: int) -> DataFrame:
-    """``id, unit, far, hit, shared``: members of units, distance and overlap with the leader ``unit``, whether they link with it.
+def members_of(pairs: DataFrame, percent: int) -> DataFrame:
+    """``id, unit, far, hit``: every ``b`` that resembles an ``a``, with the most similar one as its leader ``unit``; their
+    distance, and whether they link."""
+    best = F.min(F.struct((1 - F.col("shared") / F.col("joint")).alias("far"), F.col("a").alias("unit"), linked(percent).alias("hit")))
+    return pairs.filter(F.col("shared") >= ALIKE * F.col("joint")).groupBy(F.col("b").alias("id")).agg(best.alias("m")).select(
+        "id", "m.unit", "m.far", "m.hit")
 
-    A leader is no member itself; a member takes the most similar of its leaders.
-    """
+
+def units_of(near: DataFrame, percent: int) -> DataFrame:
+    """Members of units. A leader is no member itself."""
     alike = near.filter(F.col("shared") >= ALIKE * F.col("joint"))
     leaders = alike.select("a").distinct().join(alike.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-    best = F.min(F.struct((1 - F.col("shared") / F.col("joint")).alias("far"), F.col("a").alias("unit"), linked(percent).alias("hit"), "shared"))
-    return alike.join(leaders, "a").groupBy(F.col("b").alias("id")).agg(best.alias("m")).select("id", "m.unit", "m.far", "m.hit", "m.shared")
+    return members_of(alike.join(leaders, "a"), percent)
+
+
+def centred(units: DataFrame, bags: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Units again, and the pairs compared for it: where more than ``UNLINKED`` members do not link with the leader, the
+    member nearest to it leads, as a leader with edits of its own is far from all, and its nearest member has the fewest."""
+    large = units.groupBy("unit").agg(F.count_if(~F.col("hit")).alias("m"), F.min(F.struct("far", "id")).alias("first"))
+    large = large.filter(F.col("m") > UNLINKED).select("unit", F.col("first.id").alias("a"))
+    pairs = units.join(large, "unit").filter("a <> id").select("a", F.col("id").alias("b")).unionByName(large.select("a", F.col("unit").alias("b")))
+    led = written_table(compare(pairs, bags), "jaccard-centres")
+    return units.join(large, "unit", "left_anti").select(units.columns).unionByName(members_of(led, percent)), led
+
 
+def unit_spans(lists: DataFrame, units: DataFrame, name: str) -> DataFrame:
+    """``shingle, unit, low, high, before, after``: extremes of a unit's entries, in lists of several units. A set without unit is one of its own."""
+    owned = lists.select("shingle", "id", "n", "pos").join(units.select("id", "unit"), "id", "left").withColumn(
+        "unit", F.coalesce("unit", "id"))
+    spans = owned.groupBy("shingle", "unit").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("pos").alias("before"), F.max(F.col("n") - F.col("pos") - 1).alias("after"))
+    in_list = Window.partitionBy("shingle")
+    return written_table(spans.withColumn("_units", F.count(F.lit(1)).over(in_list)).filter("_units > 1").drop("_units"), name)
+
+
+def met_units(x: DataFrame, y: DataFrame, which: Column, percent: int) -> DataFrame:
+    """``a, b``: units of ``x`` and ``y`` that share enough lists; ``which`` picks the pairs."""
+    met = x.alias("x").join(y.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & which & may_link(span("x"), span("y"), percent))
+    met = met.groupBy(F.col("x.unit").alias("a"), F.col("y.unit").alias("b")).agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.greatest("x.low", "y.low")).alias("n"))
+    return met.filter(F.col("c") >= needed(F.col("n"), percent)).select("a", "b")
 
-def links_inside(units: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between members of one unit of which at least one does not link with the leader."""
+
+def near_units(lists: DataFrame, units: DataFrame, near: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
+    """``a, b, shared, joint``: leaders of units, and sets without unit that share enough lists with any members of theirs.
+
+    The first comparison misses a set that differs much from the leader: what it shares with it is mostly outside of prefixes.
+    """
+    spans = unit_spans(lists, units, "jaccard-single")
+    led = units.select("unit").distinct()
+    met = met_units(spans.join(led, "unit", "left_semi"), spans.join(led, "unit", "left_anti"), F.lit(True), percent)
+    return compare(met.join(near, ["a", "b"], "left_anti"), bags)
+
+
+def links_inside(units: DataFrame, guests: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of one unit, guests included, of which at least one does not link with the leader.
+
+    Two guests are left out: they were compared where they are members.
+    """
     bag = lambda side: bags.select(F.col("id").alias(side), F.col("bag").alias(f"bag_{side}"))
-    active = units.filter("NOT hit").select("unit").distinct()  # elsewhere all members are in one component
-    both = units.join(active, "unit").hint("merge").join(bag("id"), "id").hint("merge").join(bag("unit"), "unit")
+    present = units.select("id", "unit", "hit", F.lit(False).alias("guest")).unionByName(guests.withColumn("guest", F.lit(True)))
+    active = present.filter("NOT hit").select("unit").distinct()  # elsewhere all members are in one component
+    both = present.join(active, "unit").hint("merge").join(bag("id"), "id").hint("merge").join(bag("unit"), "unit")
     # short of linking with the leader: negative for linked members
     rate = percent / (100 + percent)
     short = rate * (F.size("bag_unit") + F.size("bag_id")) - F.size(F.array_intersect("bag_unit", "bag_id"))
@@ -265,89 +317,57 @@ def links_inside(units: DataFrame, bags: DataFrame, percent: int) -> DataFrame:
     tagged = F.concat(
         F.transform(F.array_except("bag_id", "bag_unit"), lambda e: F.struct(e.alias("e"), F.lit(True).alias("added"))),
         F.transform(F.array_except("bag_unit", "bag_id"), lambda e: F.struct(e.alias("e"), F.lit(False).alias("added"))))
-    differ = both.select("id", "unit", "hit", short.alias("short"), slack.alias("slack"), tagged.alias("tagged"))
-    rows = differ.select("id", "unit", "hit", "short", "slack", F.size("tagged").alias("n"), F.explode("tagged").alias("t")).select(
-        "id", "unit", "hit", "short", "slack", "n", "t.e", "t.added")
-    rows = written_table(rows, "jaccard-differences")
+    own = ["id", "unit", "hit", "guest", "short", "slack"]
+    differ = both.select("id", "unit", "hit", "guest", short.alias("short"), slack.alias("slack"), tagged.alias("tagged"))
+    rows = written_table(differ.select(*own, F.explode("tagged").alias("t")).select(*own, "t.e", "t.added"), "jaccard-differences")
+    # a difference of one member alone is in common with nobody: only the others count
     often = rows.groupBy("unit", "e", "added").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    ranked = rows.join(often, ["unit", "e", "added"], "left").withColumn(
-        "pos", F.row_number().over(Window.partitionBy("id", "unit").orderBy(F.coalesce("times", F.lit(1)), "e", "added")))
+    of_member = Window.partitionBy("id", "unit")
+    ranked = rows.join(often, ["unit", "e", "added"]).withColumns({
+        "pos": F.row_number().over(of_member.orderBy("times", "e", "added")), "n": F.count(F.lit(1)).over(of_member)})
     # two unlinked members share at least short + slack differences, a linked and an unlinked one at least
     # the unlinked one's short and the linked one's short + slack
     least = lambda c: F.greatest(F.lit(1), F.ceil(c - MARGIN))
     ranked = ranked.withColumns({
         "inner": F.col("n") - least(F.col("short") + F.col("slack")) + 1, "outer": F.col("n") - least(F.col("short")) + 1})
-    index = ranked.filter("times > 1").filter(F.col("pos") <= F.when(F.col("hit"), F.col("inner")).otherwise(F.col("outer")))
+    index = ranked.filter(F.col("pos") <= F.when(F.col("hit"), F.col("inner")).otherwise(F.col("outer")))
     index = written_table(index.select(
-        "unit", "e", "added", "id", "hit", "short", "slack", "pos", "n", (F.col("pos") <= F.col("inner")).alias("early")), "jaccard-index")
+        "unit", "e", "added", "id", "hit", "guest", "short", "slack", "pos", "n", (F.col("pos") <= F.col("inner")).alias("early")), "jaccard-index")
     x, y = index.filter("NOT hit").alias("x"), index.alias("y")
     same = (F.col("x.unit") == F.col("y.unit")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.added") == F.col("y.added"))
     allowed = F.col("y.hit") | (F.col("x.early") & F.col("y.early") & (F.col("x.id") < F.col("y.id")))
     # differences before, at and after this one must be enough for what the two need in common
     reach = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     enough = reach >= F.col("x.short") + F.col("y.short") + F.col("x.slack") - MARGIN
-    met = x.join(y, same & allowed & enough).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    met = x.join(y, same & allowed & enough & ~(F.col("x.guest") & F.col("y.guest"))).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     return compare(written_table(met, "jaccard-inside"), bags).filter(linked(percent)).select("a", "b")
 
 
-def links_across(lists: DataFrame, units: DataFrame, near: DataFrame, bags: DataFrame, percent: int) -> list[DataFrame]:
-    """Links ``a, b`` between leaders of different units, and between members that the leaders' answers leave open."""
-    owned = lists.select("shingle", "id", "n", "pos").join(units, "id", "left").select(
-        "shingle", "id", "n", "pos", F.coalesce("unit", "id").alias("unit"), F.coalesce("far", F.lit(0.0)).alias("far"),
-        F.coalesce("hit", F.lit(True)).alias("hit"), F.coalesce("shared", "n").alias("shared"))
-    owned = written_table(owned, "jaccard-owned")
-    spans = owned.groupBy("shingle", "unit").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("pos").alias("before"), F.max(F.col("n") - F.col("pos") - 1).alias("after"))
-    in_list = Window.partitionBy("shingle")
-    spans = written_table(
-        spans.withColumn("_units", F.count(F.lit(1)).over(in_list)).filter("_units > 1").drop("_units"), "jaccard-spans")
-    met = spans.alias("x").join(
-        spans.alias("y"),
-        (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.unit") < F.col("y.unit")) & may_link(span("x"), span("y"), percent))
-    met = met.groupBy(F.col("x.unit").alias("a"), F.col("y.unit").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.collect_list("x.shingle").alias("common"), F.min(F.greatest("x.low", "y.low")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
-    met = written_table(met.select("a", "b", "common"), "jaccard-met")  # a list is no longer than a prefix
+def links_across(lists: DataFrame, units: DataFrame, near: DataFrame, bags: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``a, b`` between leaders of different units; and ``id, unit, hit``: guests, members that this leaves open.
 
-    known = near.filter("a < b").join(met, ["a", "b"], "left_semi")
+    Of two units that may hold further links, the members of the smaller one and its leader are guests of the larger one.
+    """
+    spans = unit_spans(lists, units, "jaccard-spans")
+    met = written_table(met_units(spans, spans, F.col("x.unit") < F.col("y.unit"), percent), "jaccard-met")
+    known = near.filter("a < b").join(met, ["a", "b"], "left_semi").distinct()
     answers = written_table(compare(met.join(known, ["a", "b"], "left_anti"), bags).unionByName(known), "jaccard-answers")
-    radius = units.groupBy("unit").agg(F.max("far").alias("r"))
-    side = lambda c: radius.select(F.col("unit").alias(c), F.col("r").alias(f"r_{c}"))
-    judged = answers.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    sizes = units.groupBy("unit").agg(F.max("far").alias("r"), F.count(F.lit(1)).alias("m"))
+    side = lambda c: sizes.select(F.col("unit").alias(c), F.col("r").alias(f"r_{c}"), F.col("m").alias(f"m_{c}"))
     distance = (1 - F.col("shared") / F.col("joint")).alias("distance")
     limit = 1 - percent / 100 + MARGIN
-    judged = written_table(judged.select("a", "b", linked(percent).alias("hit"), distance, "shared", "r_a", "r_b"), "jaccard-judged")
-    open_ = judged.filter("r_a IS NOT NULL OR r_b IS NOT NULL").filter(
-        F.col("distance") - F.coalesce("r_a", F.lit(0.0)) - F.coalesce("r_b", F.lit(0.0)) <= limit).join(met, ["a", "b"])
-    swap = F.col("r_a").isNull()  # the first of a pair of units always has members
-    unsettled = open_.select(
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"),
-        F.col("hit").alias("met"), "distance", F.col("shared").alias("with_b"), F.when(swap, None).otherwise(F.col("r_b")).alias("r_b"),
-        F.explode("common").alias("shingle"))
-    part = lambda end, own: owned.select(
-        "shingle", F.col("unit").alias(end), *[F.col(c).alias(f"{own}_{c}") for c in ("id", "n", "pos", "far", "hit", "shared")])
-    # Against a single set b the overlaps with the leader decide further: of x only what it has outside of the leader
-    # can make up for a smaller overlap of b, and the other way round.
-    rest = 1 - percent / 100
-    near_b = F.col("r_b").isNotNull() | (
-        (F.col("x_shared") - F.col("with_b") <= rest * F.col("x_n") + MARGIN)
-        & (F.col("with_b") - F.col("x_shared") <= rest / (1 - rest) * F.col("x_n") + MARGIN))
-    # a member that has too few of the shingles its unit shares with the other one links with nobody there
-    one = part("a", "x")
-    own = ["x_id", "x_n", "x_far", "x_hit"]
-    inner = unsettled.alias("u").join(one.alias("o"), (F.col("u.a") == F.col("o.a")) & (F.col("u.shingle") == F.col("o.shingle")) & (
-        F.col("distance") - F.col("x_far") - F.coalesce("r_b", F.lit(0.0)) <= limit) & near_b).groupBy("u.a", "b", "met", "distance", *own).agg(
-        F.collect_list(F.struct(F.col("u.shingle").alias("shingle"), "x_pos")).alias("e"))  # no longer than a prefix
-    inner = inner.filter(F.size("e") >= needed(F.col("x_n"), percent)).select(
-        "a", "b", "met", "distance", *own, F.explode("e").alias("e")).select("a", "b", "met", "distance", *own, "e.shingle", "e.x_pos")
-    two = part("b", "y")
-    inner = inner.alias("u").join(two.alias("o"), (F.col("u.b") == F.col("o.b")) & (F.col("u.shingle") == F.col("o.shingle")) & (
-        F.col("distance") - F.col("x_far") - F.col("y_far") <= limit) & ~(F.col("met") & F.col("x_hit") & F.col("y_hit"))
-        & ~((F.col("x_id") == F.col("u.a")) & (F.col("y_id") == F.col("u.b"))) & may_link(entry("x_"), entry("y_"), percent))
-    inner = inner.groupBy(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.max(F.greatest("x_n", "y_n")).alias("n")).filter(F.col("c") >= needed(F.col("n"), percent))
-    inner = written_table(inner.select("a", "b"), "jaccard-inner")
-    late = compare(inner, bags).filter(linked(percent)).select("a", "b")
-    return [judged.filter("hit").select("a", "b"), late]
+    judged = answers.select("a", "b", linked(percent).alias("hit"), distance).join(side("a"), "a", "left").join(side("b"), "b", "left")
+    judged = written_table(judged.na.fill(0), "jaccard-judged")
+    open_ = judged.filter("m_a + m_b > 0").filter(F.col("distance") - F.col("r_a") - F.col("r_b") <= limit)
+    turned = F.col("m_a") < F.col("m_b")
+    either = lambda c, d, name: F.when(turned, F.col(c)).otherwise(F.col(d)).alias(name)
+    open_ = open_.select(either("b", "a", "a"), either("a", "b", "unit"), either("r_b", "r_a", "r"), "distance")
+    visits = open_.join(units.select("unit", "id", "far"), "unit").filter(F.col("distance") - F.col("far") - F.col("r") <= limit)
+    visits = visits.select("a", F.col("id").alias("b")).unionByName(open_.select("a", F.col("unit").alias("b")))
+    compared = compare(visits, bags).join(side("a"), "a").filter(distance - F.col("r_a") <= limit)
+    guests = written_table(compared.select(F.col("b").alias("id"), F.col("a").alias("unit"), linked(percent).alias("hit")), "jaccard-guests")
+    return judged.filter("hit").select("a", "b"), guests
 
 
 # -- the join ----------------------------------------------------------------------------------------------------
@@ -380,9 +400,15 @@ def component_rows(docs: DataFrame, k: int = 4, percent: int = 85, key: str = "d
         F.count(F.lit(1)).alias("c"), F.min(F.least("n", "l_n")).alias("n")).filter(
         F.col("c") >= EXPECTED * F.least(prefix, F.col("n")))
     near = written_table(compare(first, bags), "jaccard-near")
-    units = written_table(units_of(near, percent), "jaccard-units")
-    links = [near.filter(linked(percent)).select("a", "b"), links_inside(units, bags, percent),
-             *links_across(lists, units, near, bags, percent)]
+    units, led = centred(written_table(units_of(near, percent), "jaccard-led"), bags, percent)
+    units = written_table(units, "jaccard-units")
+    near = near.unionByName(led)
+    more = written_table(near_units(lists, units, near, bags, percent), "jaccard-more")
+    near = near.unionByName(more)
+    units = written_table(units.unionByName(members_of(more, percent)), "jaccard-units")
+    leading, guests = links_across(lists, units, near, bags, percent)
+    links = [near.filter(linked(percent)).select("a", "b"), leading, guests.filter("hit").select(F.col("unit").alias("a"), F.col("id").alias("b")),
+             links_inside(units, guests, bags, percent)]
     merged = components(reduce(DataFrame.unionByName, links), "jaccard-merged")
     of_id = merged.select(F.col("node").alias("id"), F.col("label").alias("component"))
     labels = classes.drop("prefix").join(of_id, "id", "left").select(

@@ -114,6 +114,57 @@ def test_candidates_of_a_shared_passage_grow_with_the_input(spark, monkeypatch):
     assert rows[300] <= 6 * max(rows[60], 5)
 
 
+def edited_copies(rng, size, most):
+    """Copies of one text of 150 words with up to ``most`` words of their own: some are far from every other one."""
+    base = [f"b{j}" for j in range(150)]
+    rows = []
+    for i in range(size):
+        words = base.copy()
+        for e, at in enumerate(rng.sample(range(150), rng.randint(1, most))):
+            words[at] = f"u{i}x{e}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_candidates_of_a_group_of_copies_grow_with_the_group(spark, monkeypatch):
+    """Members far from their leader, or of a leader far from all, must not meet all others."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    seen = {}
+    write = jaccard.written_table
+
+    def kept(df, name):
+        seen[name] = write(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(jaccard, "written_table", kept)
+    rows = edited_copies(random.Random(1), 400, 9)
+    got = jaccard.component_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(rows, 5, 80)
+    assert seen["jaccard-inside"].count() <= 8 * len(rows)
+
+
+def test_guests_of_a_larger_unit(spark, monkeypatch):
+    """A chain of edits is cut into units: neighbours link across them, though the leaders do not."""
+    seen = {}
+    write = jaccard.written_table
+
+    def kept(df, name):
+        seen[name] = write(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(jaccard, "written_table", kept)
+    rng = random.Random(4)
+    rows, chain = [], [f"b{j}" for j in range(60)]
+    for i in range(60):  # a chain of edits: near neighbours link, far ones do not
+        chain[i] = f"c{i}"
+        rows.append((i, " ".join(chain)))
+    rng.shuffle(rows)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    got = jaccard.component_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(rows, 4, 85)
+    assert seen["jaccard-guests"].count() > 0
+
+
 def test_documents(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     got = jaccard.component_rows(documents)
