@@ -263,10 +263,11 @@ def units_of(near: DataFrame, percent: int) -> DataFrame:
 
 
 def centred(units: DataFrame, bags: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Units again, and the pairs compared for it: where more than ``UNLINKED`` members do not link with the leader, the
-    member nearest to it leads, as a leader with edits of its own is far from all, and its nearest member has the fewest."""
-    large = units.groupBy("unit").agg(F.count_if(~F.col("hit")).alias("m"), F.min(F.struct("far", "id")).alias("first"))
-    large = large.filter(F.col("m") > UNLINKED).select("unit", F.col("first.id").alias("a"))
+    """Units again, and the pairs compared for it: where more than ``UNLINKED`` members, and most of them, do not link with
+    the leader, the member nearest to it leads, as a leader with edits of its own is far from all, and its nearest member has the fewest."""
+    large = units.groupBy("unit").agg(
+        F.count_if(~F.col("hit")).alias("m"), F.count_if("hit").alias("linked"), F.min(F.struct("far", "id")).alias("first"))
+    large = large.filter((F.col("m") > UNLINKED) & (F.col("m") > F.col("linked"))).select("unit", F.col("first.id").alias("a"))
     pairs = units.join(large, "unit").filter("a <> id").select("a", F.col("id").alias("b")).unionByName(large.select("a", F.col("unit").alias("b")))
     led = written_table(compare(pairs, bags), "jaccard-centres")
     return units.join(large, "unit", "left_anti").select(units.columns).unionByName(members_of(led, percent)), led
